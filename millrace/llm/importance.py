@@ -12,11 +12,11 @@ the cut, so it grows with the corpus.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import chunks, mix64, stored, utf8
@@ -90,13 +90,14 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, smooth: float = 1.0) -> np.n
     return np.log(p / q)
 
 
-def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """doc_id, n_grams, log_weight of every row; a text too short for an n-gram weighs 0."""
-    table = docs.sparkSession.sparkContext.broadcast(ratios)  # 65,536 doubles, whatever the corpus
+def log_weight(spark: SparkSession, ratios: np.ndarray) -> Callable[[str], Column]:
+    """A function of a text column: struct of n_grams and log_weight; a text too short for an n-gram weighs 0."""
+    table = spark.sparkContext.broadcast(ratios)  # 65,536 doubles, whatever the corpus
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            blobs = utf8(pdf["text"])
+    @F.pandas_udf("n_grams long, log_weight double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            blobs = utf8(texts)
             weight, grams = np.zeros(len(blobs)), np.zeros(len(blobs), np.int64)
             for a, b in chunks(blobs, PIECE):
                 for found, sizes in buckets(blobs[a:b]):
@@ -104,9 +105,9 @@ def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                     ends = np.cumsum(sizes)
                     weight[a:b] += sums[ends] - sums[ends - sizes]
                     grams[a:b] += sizes
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_grams": grams, "log_weight": np.round(weight, 6)})
+            yield pd.DataFrame({"n_grams": grams, "log_weight": np.round(weight, 6)})
 
-    return docs.select("doc_id", "text").mapInPandas(score, "doc_id long, n_grams long, log_weight double")
+    return score
 
 
 def cut_of(scores: np.ndarray, good: np.ndarray, keep: float) -> float:
@@ -155,35 +156,52 @@ def top_k_threshold(keys: DataFrame, k: int, bins: int = 4096) -> tuple[float, i
     return -key, int(last)
 
 
-def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: float = 0.998, temperature: float = 0.02, evidence: int = 256, max_labelled: int = MAX_LABELLED, seed: int = 17) -> DataFrame:
+class Sampler:
+    """A fitted model and the k-th key: which rows of the documents it was fitted on stay."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: float = 0.998, temperature: float = 0.02, evidence: int = 256, max_labelled: int = MAX_LABELLED, seed: int = 17) -> None:
+        spark = docs.sparkSession
+        self.temperature, self.evidence, self.seed = temperature, evidence, seed
+        rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
+        named = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("good")).where("doc_id is not null and good is not null")
+        sample = named.groupBy("doc_id").agg(F.max("good").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
+        known = spark.createDataFrame([(r[0], r[1]) for r in sample], "doc_id long, good int")  # at most max_labelled rows
+        target, raw = model_counts(rows.join(F.broadcast(known), "doc_id", "left").select("text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("target")))
+        self.weigh = log_weight(spark, log_ratios(target, raw) if target.any() else np.zeros(BUCKETS))
+        parts = self.columns(F.col("doc_id"), F.col("weight"))
+        self.scored = stored(rows.select("doc_id", self.weigh("text").alias("weight")).select("doc_id", "weight.*", *(c.alias(n) for n, c in parts.items())), "weights")
+        judged = self.scored.join(F.broadcast(known), "doc_id").select("value", "good").toPandas()
+        cut = cut_of(judged["value"].to_numpy(float), judged["good"].to_numpy() == 1, keep) if target.any() else -np.inf
+        total, k = self.scored.agg(F.count("*"), F.count_if(F.col("value") >= F.lit(float(cut)))).first()
+        self.last = None if k == total else (np.inf, 0) if k == 0 else top_k_threshold(self.scored, k)
+
+    def columns(self, doc_id: Column, weight: Column) -> dict[str, Column]:
+        value = weight["log_weight"] * F.least(F.lit(1.0), F.lit(float(self.evidence)) / F.greatest(F.lit(1), weight["n_grams"]))
+        uniform = (F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(self.seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+        return {"value": value, "key": F.round(value / self.temperature - F.log(-F.log(uniform)), 9)}
+
+    def kept(self, doc_id: Column, key: Column) -> Column:
+        if self.last is None:
+            return F.lit(True)
+        least, last = self.last
+        return (key > F.lit(least)) | ((key == F.lit(least)) & (doc_id <= F.lit(last)))
+
+
+def resample(docs: DataFrame, labels: DataFrame, **options: object) -> DataFrame:
     """doc_id, n_grams, log_weight, key, kept of every row with an id.
 
     ``key`` is the log weight, scaled to at most ``evidence`` n-grams so that length alone doesn't decide
     and divided by ``temperature``, plus Gumbel noise that depends on the id and the seed only.
     Null and empty texts weigh 0.  A null id is left out.  Repeated rows get equal keys and are kept or go
-    together, save at the cut, where the smaller id stays.  Without a good label every row is kept.
-    An empty table gives an empty result.
+    together.  Without a good label every row is kept.  An empty table gives an empty result.
     """
-    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
-    named = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("good")).where("doc_id is not null and good is not null")
-    sample = named.groupBy("doc_id").agg(F.max("good").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    rows = sample.collect()  # at most max_labelled
-    known = docs.sparkSession.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, good int")
-    marked = docs.join(F.broadcast(known), "doc_id", "left").select("doc_id", "text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("target"))
-    target, raw = model_counts(marked)
-    ratios = log_ratios(target, raw) if target.any() else np.zeros(BUCKETS)
-    value = F.col("log_weight") * F.least(F.lit(1.0), F.lit(float(evidence)) / F.greatest(F.lit(1), "n_grams"))
-    uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    noise = -F.log(-F.log(uniform))
-    scored = stored(log_weights(docs, ratios).withColumn("value", value).withColumn("key", F.round(F.col("value") / temperature + noise, 9)), "weights")
-    judged = scored.join(F.broadcast(known), "doc_id").select("value", "good").toPandas() if rows else pd.DataFrame({"value": [], "good": []})
-    cut = cut_of(judged["value"].to_numpy(float), judged["good"].to_numpy() == 1, keep) if target.any() else -np.inf
-    total, k = scored.agg(F.count("*"), F.count_if(F.col("value") >= F.lit(float(cut)))).first()
-    if k == total:
-        kept = F.lit(True)
-    elif k == 0:
-        kept = F.lit(False)
-    else:
-        key, last = top_k_threshold(scored, k)
-        kept = (F.col("key") > key) | ((F.col("key") == key) & (F.col("doc_id") <= last))
-    return scored.select("doc_id", "n_grams", "log_weight", "key", kept.alias("kept"))
+    sampler = Sampler(docs, labels, **options)
+    return sampler.scored.select("doc_id", "n_grams", "log_weight", "key", sampler.kept(F.col("doc_id"), F.col("key")).alias("kept"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+    """The rows that ``resample`` keeps, with all their columns, by a second scoring instead of a shuffle; rows without an id stay."""
+    sampler = Sampler(docs, labels, id_col, text_col, **options)
+    doc_id = docs[id_col].cast("long")
+    key = sampler.columns(doc_id, sampler.weigh(docs[text_col]))["key"]
+    return docs.where(doc_id.isNull() | sampler.kept(doc_id, key))

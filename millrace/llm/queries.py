@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import html, importance, packing, pieces, repetition, simhash, topk, toxicity, warc
+from millrace.llm import html, importance, packing, pieces, repetition, simhash, suffix, topk, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.cut_spans(table(spark, sf_dir, "documents"))
+
+
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,10 +59,18 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), with_ids=False)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_importance, op3_warc, op4_topk, op5_packing, op6_html, op7_simhash, op8_repetition, op9_toxicity, op10_pieces)
+    f.__name__: f for f in (op1_suffix, op2_importance, op3_warc, op4_topk, op5_packing, op6_html, op7_simhash, op8_repetition, op9_toxicity, op10_pieces)
 }
 
+QUERIES["pipeline"] = pipeline
+
 ORACLE_SQL: dict[str, str] = {
     "op4_topk": """
         WITH v AS (

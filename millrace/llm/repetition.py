@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from millrace.llm.common import mix64
 
@@ -96,6 +98,12 @@ def measure(text: str | None) -> tuple:
     return n, word_chars, symbols, dup_lines, repeat_words, dup_line_chars, share, failed, not failed and not over
 
 
+@F.pandas_udf(BooleanType())
+def passes(texts: pd.Series) -> pd.Series:
+    """The verdict alone, as a column."""
+    return pd.Series([measure(t)[-1] for t in texts], dtype=bool)
+
+
 def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Measures and verdict of every row: one output row per input row, no shuffle.
 

@@ -229,3 +229,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = classes.join(comps, classes["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     hexed: Column = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(named, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
+    """The rows of each component's smallest id, with all their columns; rows without an id stay.
+
+    Repeated rows of that id are one document and stay together.
+    """
+    found = simhash_components(docs, id_col, text_col, **options)
+    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
+    kept = docs.join(chosen, docs[id_col].cast("long") == chosen["__chosen"], "left_semi")
+    return kept.union(docs.where(docs[id_col].isNull()))

@@ -1,7 +1,8 @@
 """Toxicity scores by a counterfactually regularised linear classifier.
 
-Words of a text, lower-cased, are its features (present or not).  The classifier is a logistic
-regression over the words whose document frequencies differ most between the classes.  Every labelled
+A text's features are its words, lower-cased, and the first four to seven characters of longer words
+(present or not), so that inflected forms of a word count together.  The classifier is a logistic
+regression over the features whose document frequencies differ most between the classes.  Every labelled
 text with an identity term gets a twin in which each term is swapped for the next of its group; the
 squared difference of the two scores is penalised, so that a group's mention alone moves no score.
 """
@@ -29,7 +30,9 @@ IDENTITY_TERMS = (
 SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY_TERMS for i, term in enumerate(group)}
 
 WORD = re.compile(r"\w+")
-MAX_LABELLED = 12_000
+PREFIXES = (4, 5, 6, 7)
+#: At most this many labelled rows, half of them for each class, are read to fit; row weights restore the classes' shares.
+MAX_LABELLED = 6_000
 MAX_FEATURES = 512
 CACHE = 300_000
 
@@ -42,34 +45,38 @@ def code(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "replace"))
 
 
+def codes_of(word: str) -> list[int]:
+    return [code(word), *(code(f"{word[:n]}*") for n in PREFIXES if len(word) > n)]
+
+
 class Model:
     """Weights by feature code; fixed size, whatever the corpus."""
 
     def __init__(self, weights: dict[int, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
-        self.known: dict[str, float] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def weight(self, word: str) -> float:
-        w = self.weights.get(code(word), 0.0)
+    def active(self, word: str) -> tuple[int, ...]:
         if len(self.known) > CACHE:
             self.known.clear()
-        self.known[word] = w
-        return w
+        self.known[word] = found = tuple(c for c in codes_of(word) if c in self.weights)
+        return found
 
     def score(self, text: str | None) -> float:
-        known, weight = self.known, self.weight
-        found = [w if (w := known.get(x)) is not None else weight(x) for x in words_of(text)]
-        z = self.bias + sum(sorted(w for w in found if w))
+        known, active = self.known, self.active
+        found = {c for x in words_of(text) for c in (known[x] if x in known else active(x))}
+        z = self.bias + sum(self.weights[c] for c in sorted(found))
         return 1.0 / (1.0 + np.exp(-z))
 
 
-def fit(texts: list[np.ndarray], twins: list[np.ndarray | None], labels: np.ndarray, ridge: float = 1.0, fairness: float = 10.0, features: int = MAX_FEATURES, rounds: int = 25) -> Model:
+def fit(texts: list[np.ndarray], twins: list[np.ndarray | None], labels: np.ndarray, shares: tuple[float, float] | None = None, ridge: float = 0.3, fairness: float = 10.0, features: int = MAX_FEATURES, rounds: int = 25) -> Model:
     """Newton steps on log loss + ridge * |w|^2 / 2 + fairness * sum (w . (x - twin))^2 / 2.
 
+    ``shares`` are the classes' shares (0, 1) among all labels, for which rows are weighted.
     Without labels of both classes only the bias is fitted.
     """
     n, good = len(texts), int((labels == 1).sum())
-    prior = (good + 0.5) / (n + 1.0)
+    prior = (good + 0.5) / (n + 1.0) if shares is None else min(max(shares[1], 1e-3), 1 - 1e-3)
     if not good or good == n:
         return Model({}, float(np.log(prior / (1 - prior))))
     flat = np.concatenate(texts)
@@ -100,9 +107,10 @@ def fit(texts: list[np.ndarray], twins: list[np.ndarray | None], labels: np.ndar
     w = np.zeros(len(chosen) + 1)
     w[-1] = np.log(prior / (1 - prior))
     y = (labels == 1).astype(float)
+    heavy = np.where(labels == 1, prior * n / good, (1 - prior) * n / (n - good))
     for _ in range(rounds):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + penalty, x.T @ (y - q) - penalty @ w)
+        step = np.linalg.solve((x * (heavy * q * (1 - q))[:, None]).T @ x + penalty, x.T @ (heavy * (y - q)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -112,14 +120,16 @@ def fit(texts: list[np.ndarray], twins: list[np.ndarray | None], labels: np.ndar
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, **options: float) -> Model:
     """Fit on at most ``max_labelled`` labelled rows outside the held-out fold, chosen by a hash of the id."""
     named = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")).where("doc_id is not null and label is not null").where(~held_out())
-    rows = named.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
+    named = named.groupBy("doc_id").agg(F.max("label").alias("label"))
+    counts = {r[0]: r[1] for r in named.groupBy((F.col("label") == 1).alias("toxic")).count().collect()}
+    rows = [r for bad in (True, False) for r in named.where((F.col("label") == 1) == bad).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled // 2).collect()]
     sample = docs.sparkSession.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, label int")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [words_of(t) for t in pdf["text"]]
             twin = [{SWAP.get(w, w) for w in ws} if not ws.isdisjoint(SWAP) else None for ws in found]
-            pack = lambda ws: None if ws is None else np.array(sorted(map(code, ws)), "<u4").tobytes()
+            pack = lambda ws: None if ws is None else np.array(sorted({c for w in ws for c in codes_of(w)}), "<u4").tobytes()
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "codes": [pack(w) for w in found], "twin": [pack(w) for w in twin]})
 
     used = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(extract, "doc_id long, label int, codes binary, twin binary").toPandas().sort_values(["doc_id"], kind="stable")
@@ -127,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_labe
         return Model({}, 0.0)
     arrays = [np.frombuffer(c, "<u4") for c in used["codes"]]
     twins = [None if t is None else np.frombuffer(t, "<u4") for t in used["twin"]]
-    return fit(arrays, twins, used["label"].to_numpy(), **options)
+    total = sum(counts.values())
+    return fit(arrays, twins, used["label"].to_numpy(), (counts.get(False, 0) / total, counts.get(True, 0) / total), **options)
 
 
 def held_out():  # noqa: ANN201
