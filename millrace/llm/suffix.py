@@ -33,9 +33,9 @@ LENGTH = 50
 ANCHOR = 24
 SPREAD = LENGTH - ANCHOR + 1
 LOW = np.uint64(63)
-PIECE = 1 << 20
+PIECE = 1 << 18
 UNIT_BYTES = 6 << 20
-BATCH = 1 << 16
+BATCH = 1 << 18
 
 # ---------------------------------------------------------------- segments of a unit
 
@@ -69,24 +69,19 @@ def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
         none = np.empty(0, np.int64)
         return none, none, none, none.astype(np.uint64)
     key = gram_hashes(data)
-    at = np.arange(len(key), dtype=np.uint64)
-    key = (key & ~LOW) | (at & LOW)
+    key = (key & ~LOW) | (np.arange(len(key), dtype=np.uint64) & LOW)
     low = sliding_min(key, SPREAD)
-    at = at[: len(low)]
-    anchor = (at + ((low - at) & LOW)).astype(np.int64)
     fits = np.zeros(len(low) + 1, np.int8)
     ok = ends - starts >= LENGTH
     np.add.at(fits, starts[ok], 1)
     np.add.at(fits, ends[ok] - LENGTH + 1, -1)
     valid = np.cumsum(fits[:-1], dtype=np.int8) > 0
-    where = np.flatnonzero(valid)
-    if not len(where):
-        none = np.empty(0, np.int64)
-        return none, none, none, none.astype(np.uint64)
-    a = anchor[where]
-    new = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (where[1:] != where[:-1] + 1))))
-    first = where[new]
-    last = where[np.append(new[1:] - 1, len(where) - 1)]
+    # Windows of different texts are never next to each other, and equal minima next to each other are one anchor.
+    new = valid.copy()
+    new[1:] &= (low[1:] != low[:-1]) | ~valid[:-1]
+    done = valid.copy()
+    done[:-1] &= (low[1:] != low[:-1]) | ~valid[1:]
+    first, last = np.flatnonzero(new), np.flatnonzero(done)
     return np.searchsorted(starts, first, "right") - 1, first, last, low[first] & ~LOW
 
 
@@ -197,35 +192,39 @@ def windows_of(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(rows).view(f"S{LENGTH}").ravel(), counts
 
 
-def matched(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(unit, segment, mask): which windows of each segment start in a document smaller than the segment's own.
+def matched(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(units, segments, masks): which windows of the segments start in a document smaller than the segment's own.
 
-    ``rows`` are (document, unit, segment, bytes).  Equal segments are indexed once, for the smallest document.
+    ``rows`` are (document, unit, segment, bytes); bit i of a mask is the i-th window; masks of 0 are left out.
+    Equal segments are indexed once, for the smallest document.
     """
     rows.sort(key=lambda r: r[:3])
     family = Family()
     at = 0
     seen: dict[bytes, int] = {}
     while at < len(rows):
-        batch, size = [], 0
+        batch: list[tuple[int, int, int, bytes]] = []
+        copies: list[tuple[int, int, int]] = []
+        size = 0
         while at < len(rows) and size < BATCH:
-            doc, unit, segment, data = rows[at]
+            row = doc, unit, segment, data = rows[at]
             at += 1
-            if data in seen:  # this segment whole is in an earlier document, or the same one
-                if seen[data] < doc:
-                    yield unit, segment, np.ones(len(data) - LENGTH + 1, bool)
-                    continue
-            else:
-                seen[data] = doc
-            batch.append((doc, unit, segment, data))
+            if seen.setdefault(data, doc) < doc:  # an earlier document has the whole segment
+                copies.append((unit, segment, (1 << len(data) - LENGTH + 1) - 1))
+                continue
+            batch.append(row)
             size += len(data) - LENGTH + 1
+        if copies:
+            yield tuple(np.array(x) for x in zip(*copies, strict=True))
         if batch:
             windows, counts = windows_of([b[3] for b in batch])
             docs = np.repeat(np.array([b[0] for b in batch], np.int64), counts)
-            masks = family.add(windows, docs) < docs
-            for (_, unit, segment, _), mask in zip(batch, np.split(masks, np.cumsum(counts)[:-1]), strict=True):
-                if mask.any():
-                    yield unit, segment, mask
+            hit = family.add(windows, docs) < docs
+            start = np.cumsum(counts) - counts
+            bit = np.arange(len(docs)) - np.repeat(start, counts)
+            masks = np.add.reduceat(hit.astype(np.int64) << bit, start)
+            some = np.flatnonzero(masks)
+            yield np.array([batch[i][1] for i in some], np.int64), np.array([batch[i][2] for i in some], np.int64), masks[some]
 
 
 # ---------------------------------------------------------------- the plan
@@ -323,26 +322,27 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
             for n, d, i in zip(sizes, np.frombuffer(r.docs, np.int64).tolist(), np.frombuffer(r.numbers, np.int32).tolist(), strict=True):
                 rows.append((d, r.unit, i, data[at : at + n]))
                 at += n
-        answers: dict[int, tuple[list[int], list[bytes]]] = {}
-        for unit, segment, mask in matched(rows):
-            names, masks = answers.setdefault(unit, ([], []))
-            names.append(segment)
-            masks.append(np.packbits(mask, bitorder="little").tobytes().ljust(4, b"\0"))
+        found = list(matched(rows))
         bucket = int(pdf["bucket"].iloc[0])
-        out = [(u, bucket, 1, np.array(names, np.int32).tobytes(), b"".join(masks)) for u, (names, masks) in answers.items()]
+        out = []
+        if found:
+            units_, names, masks = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(units_, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(units_[order])) + 1):
+                if len(part):
+                    out.append((units_[part[0]], bucket, 1, names[part].astype(np.int32).tobytes(), masks[part].astype(np.uint32).tobytes()))
         return pd.DataFrame(out, columns=["unit", "bucket", "kind", "numbers", "masks"]).astype({"unit": "int32", "bucket": "int32", "kind": "int8"})
 
     kinds = dict(rows.dtypes)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if keep_text else "")
 
-    def report(doc_id: object, blob: bytes, starts: list[np.ndarray]) -> tuple:
+    def report(doc_id: object, blob: bytes, starts: np.ndarray) -> tuple:
         removed = spans = 0
         kept = blob
-        if starts:
-            at = np.concatenate(starts)
+        if len(starts):
             step = np.zeros(len(blob) + 1, np.int32)
-            np.add.at(step, at, 1)
-            np.add.at(step, at + LENGTH, -1)
+            np.add.at(step, starts, 1)
+            np.add.at(step, starts + LENGTH, -1)
             gone = np.cumsum(step[:-1]) > 0
             removed = int(gone.sum())
             spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
@@ -358,21 +358,19 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
         if unit is None:
             return pd.DataFrame(columns=[*names, *others])
         _, numbers, found = numbered(unit, answers)
+        columns = np.array([f[1:] for f in found], np.int64).reshape(-1, 4)
+        text, first, count, number = columns.T
         least = np.full(len(numbers), np.iinfo(np.int64).max)
-        if found:
-            np.minimum.at(least, np.array([f[4] for f in found]), unit.ids[[f[1] for f in found]])
-        masks: dict[int, np.ndarray] = {}
+        np.minimum.at(least, number, unit.ids[text])
+        masks = np.zeros(len(numbers), np.int64)
         for r in answers[answers["kind"] == 1].itertuples():
-            bits = np.frombuffer(r.masks, np.uint8).reshape(-1, 4)
-            for i, m in zip(np.frombuffer(r.numbers, np.int32).tolist(), bits, strict=True):
-                masks[i] = np.flatnonzero(np.unpackbits(m, bitorder="little"))
-        starts: dict[int, list[np.ndarray]] = {}
-        for _, text, first, count, number in found:
-            if unit.ids[text] > least[number]:  # an earlier document of this unit has the whole segment
-                starts.setdefault(text, []).append(np.arange(first, first + count))
-            elif number in masks:
-                starts.setdefault(text, []).append(first + masks[number])
-        out = pd.DataFrame([report(d, b, starts.get(i, [])) for i, (d, b) in enumerate(zip(unit.ids.tolist(), unit.blobs, strict=True))], columns=names)
+            masks[np.frombuffer(r.numbers, np.int32)] = np.frombuffer(r.masks, np.uint32)
+        # A segment that an earlier document of this unit has goes whole.
+        mask = np.where(unit.ids[text] > least[number], (1 << count) - 1, masks[number])
+        row, bit = np.nonzero(mask[:, None] >> np.arange(SPREAD) & 1)
+        starts = first[row] + bit
+        ends = np.searchsorted(text[row], np.arange(len(unit.blobs)), "right")
+        out = pd.DataFrame([report(d, b, starts[i:j]) for d, b, i, j in zip(unit.ids.tolist(), unit.blobs, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)], columns=names)
         return pd.concat([out, unit.frame[others]], axis=1)
 
     told = texts.groupBy("unit").applyInPandas(tell, "unit int, bucket int, numbers binary, masks binary")
@@ -383,7 +381,7 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = pd.DataFrame([report(None, b, []) for b in utf8(pdf["text"])], columns=names)
+            out = pd.DataFrame([report(None, b, np.empty(0, np.int64)) for b in utf8(pdf["text"])], columns=names)
             yield pd.concat([out.astype({"doc_id": "Int64"}), pdf[others].reset_index(drop=True)], axis=1)
 
     every = done.union(rows.where("doc_id is null").mapInPandas(whole, full))
