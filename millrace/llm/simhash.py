@@ -131,7 +131,7 @@ def leaves(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, radius: int, shift:
 
 
 def tasks(classes: DataFrame, radius: int, block: int) -> tuple[DataFrame, int]:
-    """(task, side, fp, rep): each class once for each pair of chunks of subtrees that it takes part in.
+    """(task, side, fps, reps): each chunk of a subtree, packed and sorted, for each pair of chunks that it takes part in.
 
     A task's number is that of the lower chunk times the span, plus that of the higher; the span comes second.
     """
@@ -139,49 +139,48 @@ def tasks(classes: DataFrame, radius: int, block: int) -> tuple[DataFrame, int]:
     bits = int(min(14, max(0, np.ceil(np.log2(max(1, n / (block / 2)))))))
     prefix = F.shiftrightunsigned("fp", 64 - bits) if bits else F.lit(0).cast("long")
     sizes = {int(r[0]): int(r[1]) for r in classes.groupBy(prefix.alias("p")).count().collect()}  # at most 2**14 rows
-    parts = np.ones(1 << bits, np.int64)
+    parts = np.zeros(1 << bits, np.int64)
     for p, size in sizes.items():
         parts[p] = -(-size // block)
-    most = int(parts.max())
+    most = int(parts.max(initial=1))
     span = most << bits
     masks = [sum(1 << i for i in c) for k in range(min(radius, bits) + 1) for c in combinations(range(bits), k)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            rep = pdf["rep"].to_numpy(np.int64)
             own = (fp >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(fp), np.int64)
             chunk = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts[own]
-            mine = own * most + chunk
-            for mask in masks:
-                other = own ^ mask
-                count = np.where(np.isin(other, list(sizes)) if mask else True, parts[other], 0)
-                row = np.repeat(np.arange(len(fp)), count)
-                at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                theirs = other[row] * most + at
-                low, high = np.minimum(mine[row], theirs), np.maximum(mine[row], theirs)
-                yield pd.DataFrame({"task": low * span + high, "side": (mine[row] != low).astype(np.int8), "fp": pdf["fp"].to_numpy()[row], "rep": rep[row]})
+            yield pdf.assign(chunk=own * most + chunk)[["chunk", "fp", "rep"]]
+
+    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = pdf["fp"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(key)
+        fps, reps = key[order].tobytes(), pdf["rep"].to_numpy(np.int64)[order].tobytes()
+        mine = int(pdf["chunk"].iloc[0])
+        theirs = [p * most + k for p in (mine // most ^ mask for mask in masks) for k in range(int(parts[p]))]
+        rows = [(min(mine, t) * span + max(mine, t), int(mine > t), fps, reps) for t in theirs]
+        return pd.DataFrame(rows, columns=["task", "side", "fps", "reps"]).astype({"side": "int8"})
 
-    return classes.mapInPandas(run, "task long, side byte, fp long, rep long"), span
+    placed = classes.mapInPandas(place, "chunk long, fp long, rep long")
+    return placed.groupBy("chunk").applyInPandas(spread, "task long, side byte, fps binary, reps binary"), span
 
 
 def links(classes: DataFrame, radius: int = 3, block: int = 8192) -> DataFrame:
     """(a, b): edges of a spanning forest of each task's links between representatives, a > b."""
-
     dealt, span = tasks(classes, radius, block)
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(key=pdf["fp"].to_numpy(np.int64).view(np.uint64)).sort_values(["side", "key"], kind="stable")
-        side, key, rep = pdf["side"].to_numpy(), pdf["key"].to_numpy(np.uint64), pdf["rep"].to_numpy(np.int64)
-        cut = int(np.searchsorted(side, 1))
+        pdf = pdf.sort_values("side")
+        keys = [np.frombuffer(x, np.uint64) for x in pdf["fps"]]
+        rep = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["reps"]])
         task = int(pdf["task"].iloc[0])
-        if cut == len(side):
-            pair = task // span == task % span
-            label = trie_links(key, None, radius) if pair else np.arange(len(key))
-        elif cut == 0:
-            label = np.arange(len(key))
+        if task // span == task % span:
+            label = trie_links(keys[0], None, radius)
+        elif len(keys) == 2:
+            label = trie_links(keys[0], keys[1], radius)
         else:
-            label = trie_links(key[:cut], key[cut:], radius)
+            return pd.DataFrame({"a": rep[:0], "b": rep[:0]})
         low = rep.copy()
         np.minimum.at(low, label, rep)
         root = low[label]
