@@ -1,10 +1,674 @@
-"""The registered queries over the driver's tables, and their SQL."""
+"""The registered queries over the driver's tables, each beside the SQL that must give the same rows.
+
+Inputs that the tables lack (messy text) are built by expressions that both engines read alike.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.functions import text as T
+from millrace.functions.udfs import jaro_winkler, parse_alias_list
+from millrace.operators import geo as G
+from millrace.operators import linkage as L
+from millrace.operators import rows as R
+from millrace.plans import quality as Q
+from millrace.sources.contracts import Contract, fields
+from millrace.sources.readers import unpivot_production
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):  # noqa: ANN201
+    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def t(spark: SparkSession, sf_dir: str, name: str, *exprs: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.selectExpr(*exprs) if exprs else df
+
+
+# ---------------------------------------------------------------- history and changes
+
+YEARS = ("o_custkey AS entity", "CAST(year(o_orderdate) AS INT) AS yr", "o_orderpriority AS attr")
+SPANS_SQL = """
+    y AS (SELECT o_custkey AS entity, CAST(year(o_orderdate) AS INT) AS yr, min(o_orderpriority) AS attr FROM orders GROUP BY 1, 2),
+    f AS (SELECT *, lag(attr) OVER w AS before, lag(yr) OVER w AS back FROM y WINDOW w AS (PARTITION BY entity ORDER BY yr)),
+    m AS (SELECT *, CASE WHEN before IS NULL OR attr IS DISTINCT FROM before OR yr - back > 1 THEN 1 ELSE 0 END AS starts FROM f),
+    n AS (SELECT *, CAST(sum(starts) OVER (PARTITION BY entity ORDER BY yr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS version_number FROM m),
+    s AS (SELECT entity, version_number, min(attr) AS attr, min(yr) AS valid_from_year, max(yr) AS last_observed_year FROM n GROUP BY 1, 2),
+    spans AS (SELECT *, lead(valid_from_year) OVER (PARTITION BY entity ORDER BY version_number) AS valid_to_year FROM s)
+"""
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.islands(t(spark, sf_dir, "orders", *YEARS), "entity", "yr", "attr")
+
+
+@query(f"WITH {SPANS_SQL} SELECT entity, version_number, attr, valid_from_year, last_observed_year, valid_to_year, valid_to_year IS NULL AS is_current FROM spans")
+def q_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans(spark, sf_dir)
+
+
+CHANGES_SQL = f"""
+    {SPANS_SQL},
+    w AS (SELECT *, lag(attr) OVER v AS p, lead(attr) OVER v AS nx, lead(valid_from_year) OVER v AS until FROM spans WINDOW v AS (PARTITION BY entity ORDER BY version_number)),
+    ex AS (SELECT entity, version_number, until - valid_from_year AS years FROM w WHERE p = nx AND p IS DISTINCT FROM attr AND until - valid_from_year <= 3),
+    tr AS (
+        SELECT w.*, EXISTS (SELECT 1 FROM ex WHERE ex.entity = w.entity AND ex.version_number IN (w.version_number, w.version_number - 1)) AS trip,
+               (SELECT min(years) FROM ex WHERE ex.entity = w.entity AND ex.version_number IN (w.version_number, w.version_number - 1)) AS years
+        FROM w WHERE p IS NOT NULL
+    ),
+    changes AS (
+        SELECT entity, version_number, valid_from_year AS change_year, p AS from_owner_normalized, attr AS to_owner_normalized, trip AS in_round_trip, years AS round_trip_years,
+               CAST(levenshtein(p, attr) AS BIGINT) AS normalized_edit_distance,
+               CASE WHEN p = attr THEN 'observation_gap' WHEN levenshtein(p, attr) <= 2 THEN 'likely_typo' WHEN contains(attr, p) OR contains(p, attr) THEN 'name_refinement' WHEN trip THEN 'round_trip' ELSE 'credible_transfer' END AS change_class
+        FROM tr
+    )
+"""
+
+
+@query(f"WITH {CHANGES_SQL} SELECT * FROM changes")
+def q_ownership_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.ownership_changes(spans(spark, sf_dir), "entity", "attr").drop("classification_confidence", "classification_rule")
+
+
+@query(f"""
+    WITH {CHANGES_SQL},
+    g AS (SELECT l_orderkey, l_linenumber, count(*) AS n, count(DISTINCT l_shipdate) AS dates FROM lineitem GROUP BY 1, 2),
+    lg AS (SELECT attr, lag(attr) OVER (PARTITION BY entity ORDER BY yr) AS p FROM y)
+    SELECT 0 AS level, 'rows supplied more than once' AS stage, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS noisy_units FROM g
+    UNION ALL SELECT 0, 'of those, differing in date', CAST(count(*) FILTER (WHERE dates > 1) AS BIGINT) FROM g
+    UNION ALL SELECT 1, 'consecutive changes', CAST(count(*) FILTER (WHERE p IS NOT NULL AND attr IS DISTINCT FROM p) AS BIGINT) FROM lg
+    UNION ALL SELECT 2, 'after classification', CAST(count(*) FILTER (WHERE change_class = 'credible_transfer') AS BIGINT) FROM changes
+""")
+def q_noise_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grain = t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.count_distinct("l_shipdate").alias("dates"))
+    years = t(spark, sf_dir, "orders", *YEARS).groupBy("entity", "yr").agg(F.min("attr").alias("attr"))
+    lagged = years.withColumn("p", F.lag("attr").over(Window.partitionBy("entity").orderBy("yr")))
+    row = lambda level, stage, n: (F.lit(level).alias("level"), F.lit(stage).alias("stage"), n.alias("noisy_units"))
+    return (
+        grain.agg(*row(0, "rows supplied more than once", F.count_if(F.expr("n > 1"))))
+        .union(grain.agg(*row(0, "of those, differing in date", F.count_if(F.expr("dates > 1")))))
+        .union(lagged.agg(*row(1, "consecutive changes", F.count_if(F.col("p").isNotNull() & ~F.col("attr").eqNullSafe(F.col("p"))))))
+        .union(q_ownership_change(spark, sf_dir).agg(*row(2, "after classification", F.count_if(F.col("change_class") == "credible_transfer"))))
+    )
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) = 1")
+def q_dedup_qualify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return R.first_per_key(rows, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_shipdate"])
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT l_shipdate) AS BIGINT) AS dates FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def q_dup_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.count_distinct("l_shipdate").alias("dates")).where("n > 1")
+
+
+@query(f"WITH {SPANS_SQL} SELECT a.entity, a.version_number AS left_version, b.version_number AS right_version FROM spans a JOIN spans b ON a.entity = b.entity AND a.version_number < b.version_number AND a.valid_from_year < coalesce(b.valid_to_year, 9999) AND b.valid_from_year < coalesce(a.valid_to_year, 9999) + 1")
+def q_interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed instead of half-open ends on the left side, so that neighbours do overlap."""
+    wide = spans(spark, sf_dir)
+    a, b = wide.alias("a"), wide.alias("b")
+    end = lambda x: F.coalesce(F.col(f"{x}.valid_to_year"), F.lit(9999))
+    on = (F.col("a.entity") == F.col("b.entity")) & (F.col("a.version_number") < F.col("b.version_number")) & (F.col("a.valid_from_year") < end("b")) & (F.col("b.valid_from_year") < end("a") + 1)
+    return a.join(b, on).select(F.col("a.entity"), F.col("a.version_number").alias("left_version"), F.col("b.version_number").alias("right_version"))
+
+
+@query("SELECT CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS not_one_current")
+def q_history_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = spans(spark, sf_dir)
+    return Q.no_overlap(made, "entity").agg(F.count("*").alias("overlaps")).crossJoin(Q.one_current(made, "entity").agg(F.count("*").alias("not_one_current")))
+
+
+# ---------------------------------------------------------------- text functions
+
+SENTINEL = "CASE o_orderkey % 7 WHEN 0 THEN 'unknown' WHEN 1 THEN '>0' WHEN 2 THEN NULL WHEN 3 THEN ' N/A ' WHEN 4 THEN '2022-06' WHEN 5 THEN '1,234.5' ELSE CAST(o_custkey AS VARCHAR(20)) END"
+
+
+@query(f"""
+    WITH x AS (SELECT o_orderkey, {SENTINEL} AS v FROM orders)
+    SELECT o_orderkey, CASE WHEN v IS NULL THEN 'absent' WHEN lower(trim(v)) IN ('unknown', 'n/a', 'na', 'none', '-') THEN 'unknown' WHEN trim(v) LIKE '>%' OR trim(v) LIKE '<%' THEN 'bounded'
+           WHEN try_cast(replace(trim(v), ',', '') AS DOUBLE) IS NOT NULL THEN 'reported' ELSE 'unparsed' END AS status, try_cast(replace(trim(v), ',', '') AS DOUBLE) AS number FROM x
+""")
+def q_sentinel_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "orders", "o_orderkey", f"{SENTINEL} AS v").select("o_orderkey", T.sentinel_status(F.col("v")).alias("status"), T.sentinel_value(F.col("v")).alias("number"))
+
+
+YEAR_TEXT = "CASE o_orderkey % 6 WHEN 0 THEN '9999' WHEN 1 THEN '>2019' WHEN 2 THEN '2022-06' WHEN 3 THEN '20191' WHEN 4 THEN NULL ELSE CAST(year(o_orderdate) AS VARCHAR(4)) END"
+
+
+@query(f"""
+    WITH x AS (SELECT o_orderkey, {YEAR_TEXT} AS v FROM orders), z AS (SELECT o_orderkey, try_cast(regexp_extract(v, '(\\d{{4}})', 1) AS INTEGER) AS a, try_cast(regexp_extract(v, '\\b(\\d{{4}})\\b', 1) AS INTEGER) AS b FROM x)
+    SELECT o_orderkey, CASE WHEN a BETWEEN 1700 AND 2030 THEN a END AS anywhere, CASE WHEN b BETWEEN 1700 AND 2030 THEN b END AS alone FROM z
+""")
+def q_plausible_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "orders", "o_orderkey", f"{YEAR_TEXT} AS v").select("o_orderkey", T.plausible_year(F.col("v")).alias("anywhere"), T.parse_year(F.col("v")).alias("alone"))
+
+
+OWNER = "concat(c_name, CASE c_custkey % 6 WHEN 0 THEN ' Corp.' WHEN 1 THEN ' Holdings, Inc' WHEN 2 THEN ' Co' WHEN 3 THEN ' & Company' WHEN 4 THEN ' AG' ELSE ' Corporate' END)"
+LEGAL = r"\b(inc|incorporated|corp|corporation|co|company|ltd|limited|llc|lp|plc|group|holdings?|sa|ag|nv|bv)\b"
+
+
+@query(f"SELECT c_custkey, nullif(trim(regexp_replace(regexp_replace(lower({OWNER}), '{LEGAL}', '', 'g'), '[^a-z0-9]+', ' ', 'g')), '') AS owner FROM customer")
+def q_normalize_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer", "c_custkey", f"{OWNER} AS v").select("c_custkey", T.normalize_owner(F.col("v")).alias("owner"))
+
+
+ZIP = "CASE c_custkey % 6 WHEN 0 THEN concat(CAST(c_custkey AS VARCHAR(20)), '.0') WHEN 1 THEN '16003-1234' WHEN 2 THEN ' N/A ' WHEN 3 THEN '' WHEN 4 THEN '123456789' ELSE CAST(c_custkey AS VARCHAR(20)) END"
+
+
+@query(f"""
+    WITH x AS (SELECT c_custkey, regexp_replace(nullif(trim({ZIP}), ''), '\\.0+$', '') AS v FROM customer), z AS (SELECT c_custkey, nullif(regexp_extract(v, '^(\\d{{1,9}})', 1), '') AS a, nullif(regexp_extract(v, '^(\\d+)', 1), '') AS b FROM x)
+    SELECT c_custkey, lpad(substr(a, 1, 5), 5, '0') AS zip5, CASE WHEN length(b) < 5 THEN lpad(b, 5, '0') ELSE b END AS fips FROM z
+""")
+def q_zip5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer", "c_custkey", f"{ZIP} AS v").select("c_custkey", T.zip5(F.col("v")).alias("zip5"), T.pad_fips(F.col("v"), 5).alias("fips"))
+
+
+PADDED = "CASE c_custkey % 5 WHEN 0 THEN concat('  ', c_name, '   x ') WHEN 1 THEN '   ' WHEN 2 THEN ' Unknown' WHEN 3 THEN NULL ELSE 'n/a' END"
+
+
+@query(f"""
+    WITH x AS (SELECT c_custkey, {PADDED} AS v FROM customer)
+    SELECT c_custkey, nullif(trim(v), '') AS cleaned, CASE WHEN v IS NOT NULL AND lower(trim(v)) NOT IN ('', 'unknown', 'n/a', 'na', 'none', 'null', 'nan', '-') THEN trim(regexp_replace(v, '\\s+', ' ', 'g')) END AS known FROM x
+""")
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer", "c_custkey", f"{PADDED} AS v").select("c_custkey", T.clean_text(F.col("v")).alias("cleaned"), T.clean(F.col("v")).alias("known"))
+
+
+COUNTED = "CASE p_partkey % 6 WHEN 0 THEN '1 (#5)' WHEN 1 THEN '3 (not melting)' WHEN 2 THEN 'Not melting' WHEN 3 THEN NULL WHEN 4 THEN ' 12*' ELSE CAST(p_size AS VARCHAR(9)) END"
+
+
+@query(f"SELECT p_partkey, try_cast(regexp_extract(v, '^\\s*(\\d+)', 1) AS BIGINT) AS n, coalesce(contains(lower(v), 'not melting'), false) AS not_melting FROM (SELECT p_partkey, {COUNTED} AS v FROM part)")
+def q_leading_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "part", "p_partkey", f"{COUNTED} AS v").select("p_partkey", T.leading_int(F.col("v")).alias("n"), T.not_melting(F.col("v")).alias("not_melting"))
+
+
+PLACE = "CASE c_custkey % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN concat(' ', CAST(c_custkey % 90 AS VARCHAR(9)), '.25 , -', CAST(c_custkey % 180 AS VARCHAR(9)), '.5 ') WHEN 2 THEN NULL ELSE concat(CAST(c_custkey % 90 AS VARCHAR(9)), ',', CAST(c_custkey % 180 AS VARCHAR(9))) END"
+PAIR = r"^\s*(-?\d+(?:\.\d+)?)\s*,\s*(-?\d+(?:\.\d+)?)\s*$"
+
+
+@query(f"SELECT c_custkey, try_cast(regexp_extract(v, '{PAIR}', 1) AS DOUBLE) AS lat, try_cast(regexp_extract(v, '{PAIR}', 2) AS DOUBLE) AS lon FROM (SELECT c_custkey, {PLACE} AS v FROM customer)")
+def q_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lat, lon = T.split_coordinates(F.col("v"))
+    return t(spark, sf_dir, "customer", "c_custkey", f"{PLACE} AS v").select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+
+
+ADDRESS = "concat(CAST(c_custkey + 10000 AS VARCHAR(20)), CASE c_custkey % 4 WHEN 0 THEN ' South Boundary Road' WHEN 1 THEN ' N. Main Street' WHEN 2 THEN ' Industrial Parkway East' ELSE ' Route' END, ', Town, ST ', CAST(20000 + c_custkey % 70000 AS VARCHAR(20)), CASE WHEN c_custkey % 2 = 0 THEN '-1234' ELSE '' END)"
+
+
+@query(f"SELECT c_custkey, list_extract(regexp_extract_all({ADDRESS}, '\\b(\\d{{5}})(?:-\\d{{4}})?\\b', 1), -1) AS zip FROM customer")
+def q_extract_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer", "c_custkey", f"{ADDRESS} AS v").select("c_custkey", T.extract_zip(F.col("v")).alias("zip"))
+
+
+STREET_CASE = "CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in T.STREET_TOKENS.items()) + " ELSE w END"
+
+
+@query(f"""
+    WITH x AS (SELECT c_custkey, trim(regexp_replace(regexp_replace(lower(split_part({ADDRESS}, ',', 1)), '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS v FROM customer)
+    SELECT c_custkey, array_to_string(list_transform(string_split(v, ' '), lambda w: {STREET_CASE}), ' ') AS street FROM x
+""")
+def q_street(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer", "c_custkey", f"{ADDRESS} AS v").select("c_custkey", T.normalize_street(F.col("v")).alias("street"))
+
+
+STATE = "CASE c_custkey % 6 WHEN 0 THEN 'New York' WHEN 1 THEN ' ohio ' WHEN 2 THEN 'TX' WHEN 3 THEN 'Quebec' WHEN 4 THEN 'Atlantis' ELSE 'n/a' END"
+
+
+@query("SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'NY' WHEN 1 THEN 'OH' WHEN 2 THEN 'TX' WHEN 3 THEN 'QC' END AS code FROM customer")
+def q_subdivision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "customer", "c_custkey", f"{STATE} AS v").select("c_custkey", T.normalize_subdivision(F.col("v")).alias("code"))
+
+
+ALIASES = "concat(p_name, '; ', p_brand, '|', p_type, ';;', p_name)"
+
+
+@query(f"""
+    WITH x AS (SELECT p_partkey, lower(p_name) AS primary_name, list_filter(list_transform(regexp_split_to_array({ALIASES}, '[;|]'), lambda a: trim(regexp_replace(regexp_replace(lower(a), '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g'))), lambda a: a <> '') AS names FROM part)
+    SELECT p_partkey, CAST(len(names) AS INTEGER) AS n, array_to_string(list_sort(list_filter(list_distinct(names), lambda a: a <> primary_name)), '/') AS others, list_contains(names, primary_name) AS has_primary FROM x
+""")
+def q_alias_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = t(spark, sf_dir, "part", "p_partkey", "lower(p_name) AS primary_name", f"{ALIASES} AS v").withColumn("names", T.split_aliases(F.col("v")))
+    return names.select("p_partkey", F.size("names").alias("n"), F.array_join(T.other_names(F.col("names"), F.col("primary_name")), "/").alias("others"), F.array_contains("names", F.col("primary_name")).alias("has_primary"))
+
+
+LITERAL = "CASE p_partkey % 4 WHEN 0 THEN concat('[''', p_name, ''', \"', p_brand, '\"]') WHEN 1 THEN p_name WHEN 2 THEN '[]' ELSE NULL END"
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat(p_name, '/', p_brand) WHEN 1 THEN p_name ELSE '' END AS items FROM part")
+def q_alias_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "part", "p_partkey", f"{LITERAL} AS v").select("p_partkey", F.array_join(parse_alias_list(F.col("v")), "/").alias("items"))
+
+
+COPY = "CASE doc_id % 3 WHEN 0 THEN regexp_replace(text, '[^\\\\x00-\\\\x7F]', '?') WHEN 1 THEN regexp_replace(text, '[^\\\\x00-\\\\x7F]', '??') ELSE text END"
+
+
+@query("""
+    WITH x AS (SELECT doc_id, text AS o, CASE doc_id % 3 WHEN 0 THEN regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') WHEN 1 THEN regexp_replace(text, '[^\\x00-\\x7F]', '??', 'g') ELSE text END AS c FROM documents),
+         z AS (SELECT doc_id, regexp_matches(o, '[^\\x00-\\x7F]') AS non_ascii, contains(c, '?') AS marks, regexp_matches(o, '[^\\x00-\\x7F]') AND contains(c, '?') AND NOT contains(o, '?') AS degraded, length(o) <> length(c) AS longer FROM x)
+    SELECT doc_id, non_ascii, marks, degraded, degraded AND longer AS lossy FROM z
+""")
+def q_encoding_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, c = F.col("o"), F.col("c")
+    x = t(spark, sf_dir, "documents", "doc_id", "text AS o", f"{COPY} AS c")
+    return x.select("doc_id", T.has_non_ascii(o).alias("non_ascii"), T.replacement_char(c).alias("marks"), T.is_degraded(o, c).alias("degraded"), T.is_lossy(o, c).alias("lossy"))
+
+
+@query("""
+    WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 3 THEN NULL ELSE concat(event_type, ':', CAST(user_id AS VARCHAR)) END AS k, event_type, value FROM events),
+         b AS (SELECT k, value AS value_clean FROM e WHERE event_id % 2 = 1 AND k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY event_id) = 1)
+    SELECT e.event_id, b.value_clean, CASE WHEN e.k IS NULL THEN 'unaligned_no_key' WHEN b.k IS NOT NULL THEN 'aligned' ELSE 'unaligned_no_match' END AS alignment_status
+    FROM e LEFT JOIN b ON e.k = b.k WHERE e.event_id % 2 = 0
+""")
+def q_align_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = t(spark, sf_dir, "events", "event_id", "CASE WHEN event_id % 10 = 3 THEN NULL ELSE concat(event_type, ':', CAST(user_id AS STRING)) END AS k", "value")
+    return R.align_vintages(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"), "k", ["value"], ["event_id"]).select("event_id", "value_clean", "alignment_status")
+
+
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS plant_id, CAST(y AS BIGINT) AS year, m AS metric, v AS value_raw, try_cast(replace(v, ',', '') AS DOUBLE) AS value_ttpa FROM (
+        SELECT c_custkey, 2019 AS y, 'crude_steel' AS m, CASE WHEN c_custkey % 3 = 0 THEN 'unknown' ELSE CAST(c_custkey AS VARCHAR) END AS v FROM customer
+        UNION ALL SELECT c_custkey, 2019, 'bof_steel', CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE '1,000.5' END FROM customer
+        UNION ALL SELECT c_custkey, 2020, 'crude_steel', '>0' FROM customer) WHERE v IS NOT NULL
+""")
+def q_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = t(spark, sf_dir, "customer", "array(CAST(c_custkey AS STRING), c_name, CASE WHEN c_custkey % 3 = 0 THEN 'unknown' ELSE CAST(c_custkey AS STRING) END, CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE '1,000.5' END, '>0') AS cells")
+    banner = [None, None, "2019", None, "2020"]
+    labels = ["Plant ID", "Plant name (English)", "Crude steel production 2019 (ttpa)", "BOF steel production 2019 (ttpa)", "Crude steel production 2020 (ttpa)"]
+    return unpivot_production(grid, banner, labels).select("plant_id", "year", "metric", "value_raw", "value_ttpa")
+
+
+@query("SELECT event_type, CAST(get_json AS BIGINT) AS k, CAST(count(*) AS BIGINT) AS n FROM (SELECT event_type, json_extract_string(props, '$.k') AS get_json FROM events) GROUP BY 1, 2")
+def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "events").groupBy("event_type", F.get_json_object("props", "$.k").try_cast("bigint").alias("k")).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- joins and aggregates
+
+
+@query("SELECT n_regionkey, min(n_name) AS some_name, bool_or(n_nationkey % 2 = 0) AS any_even, CAST(count(DISTINCT n_name) AS BIGINT) AS names, string_agg(DISTINCT n_name, '; ' ORDER BY n_name) AS all_names FROM nation GROUP BY 1")
+def q_any_value_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array_join(F.array_sort(F.collect_set("n_name")), "; ")
+    return t(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min("n_name").alias("some_name"), F.bool_or(F.col("n_nationkey") % 2 == 0).alias("any_even"), F.count_distinct("n_name").alias("names"), names.alias("all_names"))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def q_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "part").join(t(spark, sf_dir, "lineitem").where("l_quantity > 45"), F.col("p_partkey") == F.col("l_partkey"), "left_semi").select("p_partkey", "p_name")
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
+def q_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = t(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return Q.relationships(t(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", done, "c_custkey")
+
+
+@query("""
+    WITH o AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+    SELECT c_custkey, n, CASE WHEN n IS NULL THEN 'never_compared' ELSE 'candidate' END AS status FROM customer LEFT JOIN o ON o_custkey = c_custkey
+""")
+def q_left_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    return t(spark, sf_dir, "customer").select("c_custkey").join(o, "c_custkey", "left").withColumn("status", F.when(F.col("n").isNull(), "never_compared").otherwise("candidate"))
+
+
+@query("""
+    WITH f AS (SELECT event_id, user_id % 50 AS u, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS k FROM events), d AS (SELECT u, k, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY 1, 2)
+    SELECT f.event_id, d.n, f.k IS DISTINCT FROM 'error' AS not_error FROM f JOIN d ON f.u = d.u AND coalesce(f.k, 'x') = coalesce(d.k, 'x')
+""")
+def q_null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = t(spark, sf_dir, "events", "event_id", "user_id % 50 AS u", "CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS k").withColumn("kk", F.coalesce("k", F.lit("x")))
+    d = f.groupBy("u", "kk").agg(F.count("*").alias("n"))
+    return f.join(d, ["u", "kk"]).select("event_id", "n", (~F.col("k").eqNullSafe("error")).alias("not_error"))
+
+
+@query("""
+    SELECT concat('c:', CAST(c_custkey AS VARCHAR)) AS k, 'customer' AS kind, c_name AS name, CAST(NULL AS DOUBLE) AS supply_balance, c_mktsegment AS segment FROM customer
+    UNION ALL SELECT concat('s:', CAST(s_suppkey AS VARCHAR)), 'supplier', s_name, s_acctbal, NULL FROM supplier
+""")
+def q_union_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = t(spark, sf_dir, "customer", "concat('c:', CAST(c_custkey AS STRING)) AS k", "'customer' AS kind", "c_name AS name", "CAST(NULL AS DOUBLE) AS supply_balance", "c_mktsegment AS segment")
+    s = t(spark, sf_dir, "supplier", "concat('s:', CAST(s_suppkey AS STRING)) AS k", "'supplier' AS kind", "s_name AS name", "s_acctbal AS supply_balance", "CAST(NULL AS STRING) AS segment")
+    return c.unionByName(s)
+
+
+@query("""
+    SELECT l_suppkey, CAST(count(*) AS BIGINT) AS n, round(quantile_cont(l_quantity, 0.5), 6) AS median, round(quantile_cont(l_quantity, 0.75), 6) AS p75, round(quantile_cont(l_quantity, 0.9), 6) AS p90, max(l_quantity) AS most, CAST(count(*) FILTER (WHERE l_quantity >= 45) AS BIGINT) AS large
+    FROM lineitem GROUP BY 1
+""")
+def q_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = lambda p: F.round(F.percentile("l_quantity", p), 6)
+    return t(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), q(0.5).alias("median"), q(0.75).alias("p75"), q(0.9).alias("p90"), F.max("l_quantity").alias("most"), F.count_if(F.expr("l_quantity >= 45")).alias("large"))
+
+
+EDGES = (0.0, 0.01, 0.1, 0.5, 0.9, 0.99, 1.01)
+SHARE = "(p_retailprice - 900) / 1300"
+
+
+@query(
+    "WITH p AS (SELECT " + SHARE + " AS p FROM part), b AS (SELECT * FROM (VALUES "
+    + ", ".join(f"({i}, '[{a:g}, {b:g})', {a}, {b})" for i, (a, b) in enumerate(zip(EDGES[:-1], EDGES[1:], strict=True)))
+    + ") v(position, bucket, lo, hi)) SELECT bucket, CAST(position AS INTEGER) AS position, CAST(count(p) AS BIGINT) AS n FROM b LEFT JOIN p ON p >= lo AND p < hi GROUP BY 1, 2"
+)
+def q_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.histogram(t(spark, sf_dir, "part", f"{SHARE} AS p"), "p", EDGES)
+
+
+@query("SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey) = 1")
+def q_best_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return R.first_per_key(rows, ["l_suppkey"], [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber", "l_partkey"]).drop("l_partkey")
+
+
+@query("SELECT c_custkey, c_nationkey, CAST(count(*) OVER (PARTITION BY c_nationkey) AS BIGINT) AS nation_size, count(*) OVER (PARTITION BY c_nationkey) > 60 AS crowded FROM customer")
+def q_crowding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = t(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("nation_size"))  # counted before it moves: a window would sort each nation in one task
+    return t(spark, sf_dir, "customer").join(sizes, "c_nationkey").select("c_custkey", "c_nationkey", "nation_size", (F.col("nation_size") > 60).alias("crowded"))
+
+
+@query("""
+    SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(count(CASE WHEN doc_id % 5 <> 0 THEN source END) AS BIGINT) AS with_source, CAST(count(*) FILTER (WHERE length(text) > 1000) AS BIGINT) AS long_texts FROM documents GROUP BY lang
+    UNION ALL SELECT NULL, CAST(count(*) AS BIGINT), CAST(count(CASE WHEN doc_id % 5 <> 0 THEN source END) AS BIGINT), CAST(count(*) FILTER (WHERE length(text) > 1000) AS BIGINT) FROM documents
+""")
+def q_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents")
+    parts = F.count("*").alias("n"), F.count(F.when(F.col("doc_id") % 5 != 0, F.col("source"))).alias("with_source"), F.count_if(F.length("text") > 1000).alias("long_texts")
+    return d.groupBy("lang").agg(*parts).union(d.agg(F.lit(None).cast("string").alias("lang"), *parts))
+
+
+@query("""
+    SELECT CAST(count(*) AS BIGINT) AS bronze, CAST(count(DISTINCT (l_orderkey, l_linenumber)) FILTER (WHERE l_returnflag <> 'N') AS BIGINT) AS mart, CAST(count(*) FILTER (WHERE l_returnflag = 'N') AS BIGINT) AS other_version,
+           CAST(count(*) FILTER (WHERE l_returnflag <> 'N') - count(DISTINCT (l_orderkey, l_linenumber)) FILTER (WHERE l_returnflag <> 'N') AS BIGINT) AS repeats, true AS reconciles FROM lineitem
+""")
+def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "lineitem")
+    mart = R.first_per_key(rows.where("l_returnflag <> 'N'").select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber"], ["l_partkey"]).agg(F.count("*").alias("mart"))
+    kept = F.col("l_returnflag") != "N"
+    grain = F.struct("l_orderkey", "l_linenumber")
+    bronze = rows.agg(F.count("*").alias("bronze"), F.count_if(~kept).alias("other_version"), (F.count_if(kept) - F.count_distinct(F.when(kept, grain))).alias("repeats"))
+    return bronze.crossJoin(mart).select("bronze", "mart", "other_version", "repeats", (F.col("bronze") == F.col("mart") + F.col("other_version") + F.col("repeats")).alias("reconciles"))
+
+
+PART_CONTRACT = Contract(
+    "part", StructType(fields("p_partkey p_name p_brand", nullable=False)), unique=(("p_name", "p_brand"),),
+    patterns={"p_brand": r"^Brand#[1-4]$"}, ranges={"p_size": (1, 40)}, allowed={"p_type": ("ECONOMY", "STANDARD")},
+)
+
+
+@query("""
+    SELECT 'p_partkey is not null' AS rule, CAST(count(*) FILTER (WHERE p_partkey IS NULL) AS BIGINT) AS violations FROM part
+    UNION ALL SELECT 'p_name is not null', count(*) FILTER (WHERE p_name IS NULL) FROM part
+    UNION ALL SELECT 'p_brand is not null', count(*) FILTER (WHERE p_brand IS NULL) FROM part
+    UNION ALL SELECT 'p_brand matches ^Brand#[1-4]$', count(*) FILTER (WHERE NOT regexp_matches(p_brand, '^Brand#[1-4]$')) FROM part
+    UNION ALL SELECT 'p_size between 1 and 40', count(*) FILTER (WHERE NOT p_size BETWEEN 1 AND 40) FROM part
+    UNION ALL SELECT 'p_type in [''ECONOMY'', ''STANDARD'']', count(*) FILTER (WHERE p_type NOT IN ('ECONOMY', 'STANDARD')) FROM part
+    UNION ALL SELECT 'unique [''p_name'', ''p_brand'']', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM part GROUP BY p_name, p_brand HAVING count(*) > 1)
+""")
+def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PART_CONTRACT.violations(t(spark, sf_dir, "part"))
+
+
+@query("""
+    WITH a AS (SELECT c_nationkey AS k, CAST(count(*) AS BIGINT) AS before FROM customer WHERE c_nationkey < 20 GROUP BY 1), b AS (SELECT s_nationkey AS k, CAST(count(*) AS BIGINT) AS after FROM supplier WHERE s_nationkey > 4 GROUP BY 1)
+    SELECT coalesce(a.k, b.k) AS k, before, after, after - before AS change FROM a FULL JOIN b ON a.k = b.k
+""")
+def q_weight_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = t(spark, sf_dir, "customer").where("c_nationkey < 20").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("before"))
+    b = t(spark, sf_dir, "supplier").where("s_nationkey > 4").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("after"))
+    return a.join(b, "k", "full_outer").withColumn("change", F.col("after") - F.col("before"))
+
+
+@query("SELECT o_orderkey, round(o_totalprice - 150000, 2) AS change FROM orders ORDER BY abs(round(o_totalprice - 150000, 2)) DESC, o_orderkey LIMIT 15")
+def q_top_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") - 150000, 2).alias("change")).orderBy(F.abs("change").desc(), "o_orderkey").limit(15)
+
+
+# ---------------------------------------------------------------- linkage
+
+LEFT = ("CAST(s_suppkey AS STRING) AS unique_id", "CASE WHEN s_suppkey % 25 = 0 THEN NULL ELSE CAST(s_nationkey AS STRING) END AS county_fips", "CASE WHEN s_suppkey % 25 = 0 THEN NULL ELSE lpad(CAST(CAST(floor(s_acctbal / 100) AS INT) AS STRING), 5, '0') END AS zip5", "CASE WHEN s_suppkey % 25 = 0 THEN NULL ELSE CAST(s_nationkey % 5 AS STRING) END AS state", "s_name AS plant_name")
+RIGHT = ("CAST(c_custkey AS STRING) AS unique_id", "CASE WHEN c_custkey % 500 = 0 THEN NULL ELSE CAST(c_nationkey AS STRING) END AS county_fips", "CASE WHEN c_custkey % 500 = 0 THEN NULL ELSE lpad(CAST(CAST(floor(c_acctbal / 100) AS INT) AS STRING), 5, '0') END AS zip5", "CASE WHEN c_custkey % 500 = 0 THEN NULL ELSE CAST(c_nationkey % 5 AS STRING) END AS state", "c_name AS plant_name")
+as_sql = lambda exprs, table: "SELECT " + ", ".join(exprs).replace("STRING", "VARCHAR") + f" FROM {table}"
+FRAMES_SQL = f"l AS ({as_sql(LEFT, 'supplier')}), r AS ({as_sql(RIGHT, 'customer')})"
+BLOCK_SQL = "l.county_fips = r.county_fips OR l.zip5 = r.zip5 OR l.state = r.state OR coalesce(l.county_fips, l.zip5, l.state) IS NULL OR coalesce(r.county_fips, r.zip5, r.state) IS NULL"
+
+
+def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return t(spark, sf_dir, "supplier", *LEFT), t(spark, sf_dir, "customer", *RIGHT)
+
+
+@query(f"WITH {FRAMES_SQL} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r, CASE WHEN l.county_fips = r.county_fips THEN 'county_fips' WHEN l.zip5 = r.zip5 THEN 'zip5' WHEN l.state = r.state THEN 'state' ELSE 'fallback' END AS blocked_by FROM l JOIN r ON {BLOCK_SQL}")
+def q_blocking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.block_pairs(*frames(spark, sf_dir)).select("unique_id_l", "unique_id_r", "blocked_by")
+
+
+@query(f"""
+    WITH {FRAMES_SQL}, n AS (SELECT (SELECT count(*) FROM l) AS a, (SELECT count(*) FROM r) AS b, (SELECT count(*) FROM l WHERE coalesce(county_fips, zip5, state) IS NULL) AS x, (SELECT count(*) FROM r WHERE coalesce(county_fips, zip5, state) IS NULL) AS y, (SELECT count(*) FROM l JOIN r ON {BLOCK_SQL}) AS p)
+    SELECT CAST(a * b AS BIGINT) AS cartesian_pairs, CAST(p AS BIGINT) AS blocked_pairs, CAST(x * b + y * a - x * y AS BIGINT) AS fallback_pairs, round(1.0::DOUBLE - p::DOUBLE / (a * b)::DOUBLE, 9) AS reduction_ratio FROM n
+""")
+def q_blocking_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    l, r = frames(spark, sf_dir)
+    return L.blocking_report(l, r, L.block_pairs(l, r)).withColumn("reduction_ratio", F.round("reduction_ratio", 9))
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of distinct part names that share their last word."""
+    n = t(spark, sf_dir, "part").select(F.col("p_name").alias("n"), F.substring_index("p_name", " ", -1).alias("k")).distinct()
+    return n.select("k", F.col("n").alias("a")).join(n.select("k", F.col("n").alias("b")), "k").drop("k")
+
+
+NAMES_SQL = "n AS (SELECT DISTINCT p_name AS n, list_extract(string_split(p_name, ' '), -1) AS k FROM part), p AS (SELECT x.n AS a, y.n AS b FROM n x JOIN n y ON x.k = y.k)"
+
+
+@query(f"WITH {NAMES_SQL} SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS jw FROM p")
+def q_jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names(spark, sf_dir).select("a", "b", F.round(jaro_winkler(F.col("a"), F.col("b")), 6).alias("jw"))
+
+
+@query(f"WITH {NAMES_SQL} SELECT a, b, CAST(levenshtein(a, b) AS BIGINT) AS distance, CAST(CASE WHEN a = b THEN 3 WHEN levenshtein(a, b) <= 1 THEN 2 WHEN levenshtein(a, b) <= 3 THEN 1 ELSE 0 END AS INTEGER) AS gamma_street FROM p")
+def q_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = names(spark, sf_dir).select(F.col("a").alias("street_l"), F.col("b").alias("street_r"))
+    return pairs.select(F.col("street_l").alias("a"), F.col("street_r").alias("b"), F.levenshtein("street_l", "street_r").cast("bigint").alias("distance"), L.edit_distance("street", "street").gamma())
+
+
+SMALL_LEFT = (*LEFT, "lower(replace(s_name, '#', ' ')) AS street", "CAST(s_suppkey % 40 AS BIGINT) AS start_year", "CAST(s_nationkey AS STRING) AS county_fips_effective", "CAST(s_suppkey % 9 AS DOUBLE) * 1000 AS county_distance_m")
+SMALL_RIGHT = (*RIGHT, "lower(replace(c_name, '#', ' ')) AS street", "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey % 40 AS BIGINT) END AS start_year", "CAST(c_nationkey AS STRING) AS county_fips_effective", "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(0 AS DOUBLE) END AS county_distance_m")
+GAMMA_SQL = f"""
+    l AS ({as_sql(SMALL_LEFT, 'supplier')}), r AS ({as_sql(SMALL_RIGHT, 'customer')}),
+    g AS (
+        SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r,
+            CASE WHEN l.zip5 IS NULL OR r.zip5 IS NULL THEN -1 WHEN l.zip5 = r.zip5 THEN 1 ELSE 0 END AS gamma_zip5,
+            CASE WHEN l.street = r.street THEN 3 WHEN levenshtein(l.street, r.street) <= 1 THEN 2 WHEN levenshtein(l.street, r.street) <= 3 THEN 1 ELSE 0 END AS gamma_street,
+            CASE WHEN l.start_year IS NULL OR r.start_year IS NULL THEN -1 WHEN l.start_year = r.start_year THEN 2 WHEN abs(l.start_year - r.start_year) <= 3 THEN 1 ELSE 0 END AS gamma_start_year,
+            CASE WHEN l.county_fips_effective IS NULL OR r.county_fips_effective IS NULL THEN -1 WHEN l.county_fips = r.county_fips THEN 3
+                 WHEN l.county_fips_effective = r.county_fips_effective AND greatest(coalesce(l.county_distance_m, 1e9), coalesce(r.county_distance_m, 1e9)) <= 500 THEN 2
+                 WHEN l.county_fips_effective = r.county_fips_effective AND greatest(coalesce(l.county_distance_m, 1e9), coalesce(r.county_distance_m, 1e9)) <= 5000 THEN 1 ELSE 0 END AS gamma_county
+        FROM l JOIN r ON {BLOCK_SQL}
+    )
+"""
+GAMMAS = ("gamma_zip5", "gamma_street", "gamma_start_year", "gamma_county")
+
+
+def comparisons() -> list[L.Comparison]:
+    return [L.exact("zip5", "zip5", trained_out_by=("zip5",)), L.edit_distance("street", "street"), L.within("start_year", "start_year"), L.area("county", "county_fips", "county_fips_effective", "county_distance_m", trained_out_by=("county_fips",))]
+
+
+def gammas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = L.block_pairs(t(spark, sf_dir, "supplier", *SMALL_LEFT), t(spark, sf_dir, "customer", *SMALL_RIGHT))
+    return pairs.select("*", *(c.gamma() for c in comparisons()))
+
+
+@query(f"WITH {GAMMA_SQL} SELECT * FROM g")
+def q_gamma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gammas(spark, sf_dir).select("unique_id_l", "unique_id_r", *GAMMAS)
+
+
+@query(f"WITH {GAMMA_SQL} SELECT {', '.join(GAMMAS)}, CAST(count(*) AS BIGINT) AS n FROM g GROUP BY ALL")
+def q_gamma_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gammas(spark, sf_dir).groupBy(*GAMMAS).agg(F.count("*").alias("n"))
+
+
+FIXED = L.Weights(
+    0.01,
+    {"zip5": {1: 0.8, 0: 0.2}, "street": {3: 0.5, 2: 0.2, 1: 0.1, 0: 0.2}, "start_year": {2: 0.7, 1: 0.2, 0: 0.1}, "county": {3: 0.9, 2: 0.04, 1: 0.03, 0: 0.03}},
+    {"zip5": {1: 0.01, 0: 0.99}, "street": {3: 0.001, 2: 0.002, 1: 0.007, 0: 0.99}, "start_year": {2: 0.03, 1: 0.15, 0: 0.82}, "county": {3: 0.05, 2: 0.01, 1: 0.02, 0: 0.92}},
+)
+WEIGHT_SQL = "log2(0.01::DOUBLE / 0.99::DOUBLE) + " + " + ".join("CASE gamma_" + n + " " + " ".join(f"WHEN {g} THEN log2({m}::DOUBLE / {FIXED.u[n][g]}::DOUBLE)" for g, m in by.items()) + " ELSE 0 END" for n, by in FIXED.m.items())
+
+
+@query(f"WITH {GAMMA_SQL}, w AS (SELECT *, {WEIGHT_SQL} AS mw FROM g) SELECT unique_id_l, unique_id_r, round(mw, 6) AS match_weight, round(1 / (1 + pow(2.0, -mw)), 6) AS match_probability FROM w")
+def q_score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = L.score(gammas(spark, sf_dir), comparisons(), FIXED)
+    return scored.select("unique_id_l", "unique_id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 6).alias("match_probability"))
+
+
+@query()
+def q_em_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """m, u, weights and support of each level; u from blocked pairs here, as the tables have no pairs at random."""
+    pairs = gammas(spark, sf_dir)
+    l, r = t(spark, sf_dir, "supplier").count(), t(spark, sf_dir, "customer").count()
+    return L.comparator_report(pairs, comparisons(), L.estimate(pairs, pairs, comparisons(), l, r))
+
+
+# ---------------------------------------------------------------- strata, queues, evaluation
+
+PAIRS = ("CAST(l_suppkey AS STRING) AS unique_id_l", "CAST(l_partkey AS STRING) AS unique_id_r", "l_quantity / 50 AS match_probability", "concat(CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING), '.', CAST(l_partkey AS STRING), '.', CAST(l_suppkey AS STRING)) AS pair_id", "l_suppkey % 50 = 7 AS special")
+STRATA_SQL = f"""
+    q AS ({as_sql(PAIRS, 'lineitem')}),
+    c AS (SELECT *, count(*) FILTER (WHERE match_probability >= 0.9) OVER (PARTITION BY unique_id_l) AS nl, count(*) FILTER (WHERE match_probability >= 0.9) OVER (PARTITION BY unique_id_r) AS nr FROM q),
+    s AS (SELECT *, CASE WHEN match_probability >= 0.1 AND match_probability < 0.9 THEN 'ambiguous' WHEN match_probability >= 0.9 AND (nl > 1 OR nr > 1) THEN 'contested' WHEN special THEN 'cook_county'
+                         WHEN match_probability >= 0.99 THEN 'high_confidence' WHEN match_probability < 0.01 THEN 'low_confidence' ELSE 'unsampled' END AS stratum FROM c)
+"""
+
+
+def stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.strata(t(spark, sf_dir, "lineitem", *PAIRS), F.col("special"))
+
+
+@query(f"WITH {STRATA_SQL} SELECT pair_id, unique_id_l, unique_id_r, match_probability, stratum FROM s")
+def q_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified(spark, sf_dir).select("pair_id", "unique_id_l", "unique_id_r", "match_probability", "stratum")
+
+
+QUOTAS = {"ambiguous": 30, "contested": 30, "unsampled": 0}
+QUEUE_SQL = f"{STRATA_SQL}, d AS (SELECT DISTINCT pair_id, stratum FROM s), k AS (SELECT pair_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY md5(concat(pair_id, '||20260919')), pair_id) AS draw_rank FROM d), queue AS (SELECT * FROM k WHERE draw_rank <= CASE stratum WHEN 'ambiguous' THEN 30 WHEN 'contested' THEN 30 WHEN 'unsampled' THEN 0 ELSE draw_rank END)"
+
+
+def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.draw(stratified(spark, sf_dir).select("pair_id", "stratum").distinct(), "stratum", "pair_id", QUOTAS, 20260919)
+
+
+@query(f"WITH {QUEUE_SQL} SELECT pair_id, stratum, CAST(draw_rank AS BIGINT) AS draw_rank FROM queue")
+def q_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queue(spark, sf_dir)
+
+
+@query(f"""
+    WITH {QUEUE_SQL}, n AS (SELECT unnest(['ambiguous', 'contested', 'cook_county', 'high_confidence', 'low_confidence', 'unsampled']) AS stratum),
+    a AS (SELECT n.stratum, CAST((SELECT count(*) FROM d WHERE d.stratum = n.stratum) AS BIGINT) AS available, CAST((SELECT count(*) FROM queue WHERE queue.stratum = n.stratum) AS BIGINT) AS drawn FROM n)
+    SELECT * FROM a UNION ALL SELECT 'TOTAL', CAST(sum(available) AS BIGINT), CAST(sum(drawn) AS BIGINT) FROM a
+""")
+def q_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.composition(queue(spark, sf_dir), stratified(spark, sf_dir).select("pair_id", "stratum").distinct())
+
+
+@query(f"WITH {STRATA_SQL} SELECT unique_id_l, array_to_string(list(DISTINCT unique_id_r ORDER BY unique_id_r), ',') AS claims, CAST(count(DISTINCT unique_id_r) AS BIGINT) AS n FROM s WHERE stratum = 'contested' GROUP BY 1 HAVING count(DISTINCT unique_id_r) > 1")
+def q_contested_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = stratified(spark, sf_dir).where("stratum = 'contested'").select("unique_id_l", "unique_id_r").distinct().groupBy("unique_id_l").agg(F.array_sort(F.collect_list("unique_id_r")).alias("ids"))
+    return claims.select("unique_id_l", F.array_join("ids", ",").alias("claims"), F.size("ids").cast("bigint").alias("n")).where("n > 1")
+
+
+LABELLED_SQL = "j AS (SELECT l.doc_id, l.quality = 1 AS truth, least(d.n_chars / 4000.0::DOUBLE, 1.0::DOUBLE) AS p, d.lang AS stratum FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
+RATES_SQL = "CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) END AS precision, CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) END AS recall"
+COUNTS_SQL = "CAST(count(*) FILTER (WHERE p >= {0} AND truth) AS BIGINT) AS tp, CAST(count(*) FILTER (WHERE p >= {0} AND NOT truth) AS BIGINT) AS fp, CAST(count(*) FILTER (WHERE p < {0} AND truth) AS BIGINT) AS fn, CAST(count(*) FILTER (WHERE p < {0} AND NOT truth) AS BIGINT) AS tn"
+FINAL_SQL = "tp, fp, fn, tn, round(precision, 9) AS precision, round(recall, 9) AS recall, round(CASE WHEN precision > 0 AND recall > 0 THEN 2 * precision * recall / (precision + recall) END, 9) AS f1"
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents", "doc_id", "least(n_chars / 4000.0D, 1.0D) AS p", "lang AS stratum")
+    return t(spark, sf_dir, "labels", "doc_id", "quality = 1 AS truth").join(d, "doc_id")
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@query(f"WITH {LABELLED_SQL}, c AS (SELECT {COUNTS_SQL.format('0.5')} FROM j), r AS (SELECT *, {RATES_SQL} FROM c) SELECT {FINAL_SQL} FROM r")
+def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(L.confusion(labelled(spark, sf_dir), p="p", truth=F.col("truth")))
+
+
+THRESHOLDS = (0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99)
+
+
+@query(f"WITH {LABELLED_SQL}, t AS (SELECT unnest({list(THRESHOLDS)}::DOUBLE[]) AS threshold), c AS (SELECT threshold, {COUNTS_SQL.format('threshold')} FROM j, t GROUP BY threshold), r AS (SELECT *, {RATES_SQL} FROM c) SELECT threshold, {FINAL_SQL} FROM r")
+def q_pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(L.precision_recall(labelled(spark, sf_dir), THRESHOLDS, p="p", truth=F.col("truth")))
+
+
+@query(f"WITH {LABELLED_SQL}, c AS (SELECT stratum, {COUNTS_SQL.format('0.5')} FROM j GROUP BY stratum), r AS (SELECT *, {RATES_SQL} FROM c) SELECT stratum, {FINAL_SQL} FROM r")
+def q_confusion_by_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(L.confusion(labelled(spark, sf_dir), ["stratum"], p="p", truth=F.col("truth")))
+
+
+@query(f"WITH {LABELLED_SQL} SELECT stratum, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE truth) AS BIGINT) AS matches, round(quantile_cont(p, 0.5), 6) AS median, round(avg(CASE WHEN (p >= 0.5) = truth THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS agreement FROM j GROUP BY 1")
+def q_by_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    agrees = F.avg(((F.col("p") >= 0.5) == F.col("truth")).cast("double"))
+    return labelled(spark, sf_dir).groupBy("stratum").agg(F.count("*").alias("n"), F.count_if("truth").alias("matches"), F.round(F.percentile("p", 0.5), 6).alias("median"), F.round(agrees, 6).alias("agreement"))
+
+
+@query("SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, arg_max(length(text), turn) AS n_chars FROM (SELECT conv_id, turn, min(role) AS role, min(text) AS text FROM conversations GROUP BY 1, 2) GROUP BY conv_id")
+def q_latest_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = t(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"), F.min("text").alias("text"))
+    last = one.groupBy("conv_id").agg(F.max_by(F.struct("turn", "role", F.length("text").cast("bigint").alias("n_chars")), "turn").alias("d"))
+    return last.select("conv_id", "d.*")
+
+
+@query("""
+    SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(DISTINCT conv_id) AS BIGINT) AS decided, CAST(count(*) - count(DISTINCT conv_id) AS BIGINT) AS superseded, array_to_string(list_sort(list(DISTINCT role)), ',') AS annotators,
+           coalesce(bool_and(turn > 0), false) AS all_late, coalesce(bool_or(turn > 0), false) AS any_late FROM conversations
+""")
+def q_log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "conversations").agg(
+        F.count("*").alias("lines"), F.count_distinct("conv_id").alias("decided"), (F.count("*") - F.count_distinct("conv_id")).alias("superseded"), F.array_join(F.array_sort(F.collect_set("role")), ",").alias("annotators"),
+        F.coalesce(F.bool_and(F.col("turn") > 0), F.lit(False)).alias("all_late"), F.coalesce(F.bool_or(F.col("turn") > 0), F.lit(False)).alias("any_late"),
+    )
+
+
+# ---------------------------------------------------------------- geometry
+
+POINT = ("c_custkey", "c_acctbal / 1000 AS x", "CAST(c_custkey % 97 AS DOUBLE) / 10 AS y")
+BOXES = [("a", 0.0, 0.0, 4.0, 4.0), ("b", 4.0, 0.0, 8.0, 4.0), ("c", 1.0, 5.0, 3.0, 9.0)]
+
+
+def boxes(spark: SparkSession) -> DataFrame:
+    ring = lambda a, b, c, d: [[{"x": x, "y": y} for x, y in ((a, b), (c, b), (c, d), (a, d))]]
+    rows = [(g, g.upper(), i, ring(a, b, c, d), "plane") for i, (g, a, b, c, d) in enumerate(BOXES)]
+    return spark.createDataFrame(rows, "geo_id string, name string, position int, rings array<array<struct<x: double, y: double>>>, crs string")
+
+
+BOX_SQL = "b AS (SELECT * FROM (VALUES " + ", ".join(f"('{g}', {i}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for i, (g, a, b, c, d) in enumerate(BOXES)) + ") v(geo_id, position, x0, y0, x1, y1)), p AS (SELECT c_custkey, c_acctbal / 1000 AS x, CAST(c_custkey % 97 AS DOUBLE) / 10 AS y FROM customer)"
+
+
+@query(f"WITH {BOX_SQL} SELECT c_custkey, min(geo_id) AS geo_id FROM p JOIN b ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY 1")
+def q_point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.point_in_polygon(t(spark, sf_dir, "customer", *POINT), boxes(spark), "c_custkey", "x", "y")
+
+
+@query(f"WITH {BOX_SQL}, d AS (SELECT c_custkey, geo_id, position, sqrt(pow(greatest(x0 - x, 0, x - x1), 2) + pow(greatest(y0 - y, 0, y - y1), 2)) AS m FROM p, b) SELECT c_custkey, geo_id AS nearest_geo_id, round(m, 6) AS nearest_distance_m FROM d QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY m, position) = 1")
+def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = G.nearest_polygon(t(spark, sf_dir, "customer", *POINT), boxes(spark), "c_custkey", "x", "y", project=False)
+    return near.withColumn("nearest_distance_m", F.round("nearest_distance_m", 6))
