@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import stored
+
 #: Elements that end the block before them and start another.
 BLOCK = frozenset("address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 #: Elements without content.
@@ -41,6 +43,9 @@ DIGITS = re.compile(r"\d+")
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 MAX_PATHS = 3
+#: Bytes of winning paths that a task may hold; with more, pages are joined to them by host and salt.
+MAX_BROADCAST = 16 << 20
+SALT = 64
 
 
 class Block:
@@ -239,7 +244,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     Null and empty pages, and pages without article text, give an empty text.  A null url is a host of its
     own kind (empty name); null ids and repeated rows are treated like others; an empty table gives an
-    empty result.  Votes are counted before they move; the join to the winners may split a frequent host.
+    empty result.  Votes are counted before they move; a frequent host's pages are never in one task.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^(?:[^/?#]*//)?(?:[^/?#@]*@)?([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
@@ -258,4 +263,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             texts = [extract(h, list(w) if w is not None else []) for h, w in zip(pdf["html"], pdf["winning"], strict=True)]
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": list(map(len, texts))})
 
-    return rows.join(winners, "host", "left").select("page_id", "url", "html", "winning").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    winners = stored(winners, "winners")
+    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length(F.array_join("winning", "")) + 64)).first()[0] or 0
+    if size <= MAX_BROADCAST:  # no page moves
+        joined = rows.join(F.broadcast(winners), "host", "left")
+    else:  # every host's pages in SALT parts
+        salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALT))
+        joined = rows.withColumn("salt", salt).join(winners.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long")))), ["host", "salt"], "left")
+    return joined.select("page_id", "url", "html", "winning").mapInPandas(run, "page_id long, url string, text string, n_chars long")
