@@ -47,8 +47,8 @@ def utf8(texts: Iterable[str | None]) -> list[bytes]:
     return [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
 
 
-def chunks(blobs: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive blobs with at most ``limit`` bytes each, or a single longer one."""
+def chunks(blobs: list[bytes] | list[str], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive blobs (or texts) with at most ``limit`` bytes (characters) each, or a single longer one."""
     start = size = 0
     for i, b in enumerate(blobs):
         if size and size + len(b) > limit:

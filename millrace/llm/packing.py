@@ -8,36 +8,53 @@ fixed steps (``HARD`` points).  A point of cost is one id of padding.  With posi
     best[j] = c[j] + min over cuts i with p[j] - p[i] <= size of (best[i] + size - (p[j] - p[i]))
 
 whose inner minimum of ``best[i] + p[i]`` a monotone queue gives as the window moves, or without any
-padding from a cut i at a power of two before j, as such windows are not padded.
+padding from a cut i at a power of two (of at least ``LEAST``) before j, as such windows are not padded.
 """
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from millrace.llm.common import chunks
+
 END_ID = 1
 SIZE = 2048
 SENTENCE, HARD = 2, 24
 STEP = 64
 CHUNK = 1 << 19
-CACHE = 500_000
+PIECE = 10 << 20
+CACHE = 600_000
+#: Shorter windows than this are padded like others, so that texts aren't cut into crumbs.
+LEAST = 128
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Runs of these characters normalise one by one: lower case is all that the tokenizer changes.
+SIMPLE = re.compile(r"[\x00-\x7fÀ-ÿœŒ]+")
+#: The tokenizer's pattern for them.
+TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^a-z0-9ß-öø-ÿœ]+")
+
+
 class WordTokenizer:
     """Ids of texts by a ``tokenizers`` file whose pre-tokenizer drops white space.
 
-    No token spans white space, so each distinct run of other characters is encoded once and kept;
-    the library encodes new runs many at a time, parted by a special token.
+    No token spans white space, so each distinct run of other characters is encoded once and kept.  A new
+    run is cut into the tokenizer's words, and only words that are new too go to the library, many at a
+    time: the last piece of each ends in the end-of-word mark.  Runs with characters that normalise in
+    context go to the library whole, parted by a special token.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,66 +63,130 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id("<|endoftext|>")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 2, bool)
+        self.last = np.zeros(max(vocab.values()) + 2, bool)
         for piece, i in vocab.items():
             body = piece.removesuffix("</w>")
+            self.last[i] = body != piece
             self.ends[i] = body != piece and body.rstrip("\"')»”’")[-1:] in {".", "!", "?"}
 
-    def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            text = " <|endoftext|> ".join(w.decode("utf-8") for w in part)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            data, start = ids.tobytes(), 0
-            for w, end in zip(part, [*(np.flatnonzero(ids == self.mark) * 4).tolist(), len(data)], strict=True):
-                self.known[w] = data[start:end]
-                start = end + 4
-        for w in words:
-            if b"<|" in w:
-                self.known[w] = np.array(self.tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids, np.uint32).tobytes()
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def split(self, keys: list, ids: np.ndarray, cuts: np.ndarray, gap: int, into: dict) -> None:
+        """Keep the bytes of the ids between cuts, ``gap`` ids after each left out."""
+        if len(cuts) != len(keys):
+            raise ValueError("the tokenizer gave other words than its pattern")
+        data, start = ids.tobytes(), 0
+        for key, end in zip(keys, (cuts * 4).tolist(), strict=True):
+            into[key] = data[start:end]
+            start = end + 4 * gap
+
+    def learn(self, runs: list[str]) -> None:
+        cut: list[tuple[str, list[str]]] = []
+        whole: list[str] = []
+        find = TOKEN.findall
+        for r in runs:
+            if "<|" in r:
+                self.known[r] = self.ids(r).tobytes()
+            elif r.isascii() or SIMPLE.fullmatch(r):
+                cut.append((r, find(r.lower())))
+            else:
+                whole.append(r)
+        if len(self.words) > CACHE:
+            self.words, self.old_words = {}, self.words
+        known, old = self.words, self.old_words
+        new = []
+        for w in {w for _, words in cut for w in words}.difference(known):
+            if w in old:
+                known[w] = old[w]
+            else:
+                new.append(w)
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            ids = self.ids(" ".join(part))
+            self.split(part, ids, np.flatnonzero(self.last[ids]) + 1, 0, self.words)
+        get = self.words.__getitem__
+        for r, words in cut:
+            self.known[r] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
+        for at in range(0, len(whole), 4096):
+            part = whole[at : at + 4096]
+            ids = self.ids(" <|endoftext|> ".join(part))
+            self.split(part, ids, np.append(np.flatnonzero(ids == self.mark), len(ids)), 1, self.known)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Each text's ids as unsigned 32-bit integers; a null text has none."""
-        split = [t.encode("utf-8", "replace").split() if isinstance(t, str) else [] for t in texts]
-        for at in range(0, len(split), 256):
-            part = split[at : at + 256]
-            if len(self.known) > CACHE:
-                self.known.clear()
-            new = set().union(*part).difference(self.known)
-            self.learn(list(new))
-            get = self.known.__getitem__
-            for words in part:
-                yield np.frombuffer(b"".join(map(get, words)), np.uint32)
+        """Each text's ids as unsigned 32-bit integers; a null text has none.
+
+        Arrow splits the texts and numbers the distinct runs; ids are gathered for all runs at once.
+        """
+        for a, b in chunks([t if isinstance(t, str) else "" for t in texts], PIECE):
+            array = pa.array([t.encode("utf-8", "replace").decode() if isinstance(t, str) else "" for t in texts[a:b]], pa.large_string())
+            runs = pc.ascii_split_whitespace(array)
+            flat = runs.flatten().dictionary_encode()
+            names, index = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), flat.indices.to_numpy()
+            if len(self.known) > CACHE:  # the last generation stays at hand
+                self.known, self.old = {"": b""}, self.known
+            known, old = self.known, self.old
+            parts = list(map(known.get, names))
+            missing = [i for i, p in enumerate(parts) if p is None]
+            unseen = []
+            for i in missing:
+                r = names[i]
+                if (p := old.get(r)) is None:
+                    unseen.append(r)
+                else:
+                    known[r] = p
+            self.learn(unseen)
+            for i in missing:
+                parts[i] = known[names[i]]
+            sizes = np.fromiter(map(len, parts), np.int32, len(parts)) >> 2
+            ids = np.frombuffer(b"".join(parts), np.uint32)
+            counts = sizes[index]
+            ends = np.cumsum(counts, dtype=np.int32)
+            at = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[index] - (ends - counts), counts)
+            at += np.arange(len(at), dtype=np.int32)
+            out = ids[at]
+            cuts = np.concatenate(([0], ends))[runs.offsets.to_numpy()].tolist()
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                yield out[i:j]
 
 
 def best_cuts(pos: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
     """Indices of the cuts of the cheapest packing of [pos[0], pos[-1]]; gaps are at most ``size``."""
     n = len(pos)
-    powers = [1 << k for k in range(size.bit_length()) if 1 << k < size]
+    powers = [1 << k for k in range(size.bit_length()) if LEAST <= 1 << k < size]
     jumps: dict[int, list[int]] = {}
     for p in powers:
         at = np.searchsorted(pos, pos - p)
         for j in np.flatnonzero(pos[at] == pos - p).tolist():
             jumps.setdefault(j, []).append(int(at[j]))
     p, c = pos.tolist(), cost.tolist()
-    best, back = [0] * n, [0] * n
-    queue: deque[tuple[int, int]] = deque([(p[0], 0)])  # (best + position, cut), increasing in both
+    best, back, key = [0] * n, [0] * n, [0] * n  # key: best + position
+    key[0] = p[0]
+    queue: deque[int] = deque([0])  # cuts in the window, with rising keys
+    jump = jumps.get
     for j in range(1, n):
         here = p[j]
-        while here - p[queue[0][1]] > size:
+        i = queue[0]
+        while here - p[i] > size:
             queue.popleft()
-        total, i = queue[0][0] + size - here, queue[0][1]
-        for k in jumps.get(j, ()):
-            if best[k] < total:
-                total, i = best[k], k
-        best[j], back[j] = total + c[j], i
-        key = best[j] + here
-        while queue and queue[-1][0] >= key:
+            i = queue[0]
+        total = key[i] + size - here
+        if found := jump(j):
+            for k in found:
+                if best[k] < total:
+                    total, i = best[k], k
+        total += c[j]
+        best[j], back[j] = total, i
+        key[j] = total = total + here
+        while queue and key[queue[-1]] >= total:
             queue.pop()
-        queue.append((key, j))
+        queue.append(j)
     cuts, j = [], n - 1
     while j:
         cuts.append(j)
@@ -199,6 +280,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     names = [c.split(" ")[0] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gc.disable()  # nothing here makes cycles, and the caches are large
         words = WordTokenizer(tokenizer_path)
         packer = Packer(size, TaskContext.get().partitionId() << 40)
         frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
@@ -216,5 +298,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         rows = list(packer.flush(True))
         if rows:
             yield frame(rows)
+        gc.enable()
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)
