@@ -26,6 +26,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame, rows: int = 3000) -> DataFrame:
+    """The frame, for whose Arrow batches of texts the session's row limit is lowered: they take memory on both sides."""
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+    return df
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, mix64, stored, utf8
+from millrace.llm.common import chunks, mix64, small_batches, stored, utf8
 
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 16
@@ -162,7 +162,7 @@ class Sampler:
     def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: float = 0.998, temperature: float = 0.02, evidence: int = 256, max_labelled: int = MAX_LABELLED, seed: int = 17) -> None:
         spark = docs.sparkSession
         self.temperature, self.evidence, self.seed = temperature, evidence, seed
-        rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
+        rows = small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
         named = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("good")).where("doc_id is not null and good is not null")
         sample = named.groupBy("doc_id").agg(F.max("good").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
         known = spark.createDataFrame([(r[0], r[1]) for r in sample], "doc_id long, good int")  # at most max_labelled rows

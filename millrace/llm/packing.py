@@ -27,15 +27,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import chunks
+from millrace.llm.common import chunks, small_batches
 
 END_ID = 1
 SIZE = 2048
 SENTENCE, HARD = 2, 24
 STEP = 64
 CHUNK = 1 << 19
-PIECE = 10 << 20
-CACHE = 600_000
+PIECE = 12 << 20
+CACHE = 300_000
 #: Shorter windows than this are padded like others, so that texts aren't cut into crumbs.
 LEAST = 128
 
@@ -44,6 +44,7 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 #: Runs of these characters normalise one by one: lower case is all that the tokenizer changes.
 SIMPLE = re.compile(r"[\x00-\x7fÀ-ÿœŒ]+")
+ALL_SIMPLE = r"^[\x00-\x7fÀ-ÿœŒ]*$"
 #: The tokenizer's pattern for them.
 TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^a-z0-9ß-öø-ÿœ]+")
 
@@ -126,7 +127,9 @@ class WordTokenizer:
         """
         for a, b in chunks([t if isinstance(t, str) else "" for t in texts], PIECE):
             array = pa.array([t.encode("utf-8", "replace").decode() if isinstance(t, str) else "" for t in texts[a:b]], pa.large_string())
-            runs = pc.ascii_split_whitespace(array)
+            # Texts whose characters normalise one by one are lowered here, so that a word's forms are one run.
+            simple = pc.and_not(pc.match_substring_regex(array, ALL_SIMPLE), pc.match_substring(array, "<|"))
+            runs = pc.ascii_split_whitespace(pc.if_else(simple, pc.utf8_lower(array), array))
             flat = runs.flatten().dictionary_encode()
             names, index = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), flat.indices.to_numpy()
             if len(self.known) > CACHE:  # the last generation stays at hand
@@ -300,4 +303,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             yield frame(rows)
         gc.enable()
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)
+    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)

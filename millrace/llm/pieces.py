@@ -19,6 +19,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from millrace.llm.common import small_batches
+
 SPACE = "▁"
 CACHE = 500_000
 LONG = 512
@@ -268,4 +270,4 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             yield frame if with_ids else frame.drop(columns="ids")
 
     schema = "doc_id long, n_tokens long, ids array<long>, ids_sha256 string, decoded_sha256 string"
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, schema if with_ids else schema.replace("ids array<long>, ", ""))
+    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, schema if with_ids else schema.replace("ids array<long>, ", ""))

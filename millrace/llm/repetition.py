@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from millrace.llm.common import mix64
+from millrace.llm.common import mix64, small_batches
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -120,4 +120,4 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)
+    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import shared_dir, stored
+from millrace.llm.common import shared_dir, small_batches, stored
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SHIFTS = np.arange(64, dtype=np.uint64)
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.fromiter((fingerprint(t, width) for t in pdf["text"]), np.uint64, len(pdf))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp.view(np.int64)})
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null").mapInPandas(run, "doc_id long, fp long")
+    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null").mapInPandas(run, "doc_id long, fp long")
 
 
 # ---------------------------------------------------------------- one pair of subtrees

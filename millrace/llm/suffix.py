@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mix64, utf8
+from millrace.llm.common import mix64, small_batches, utf8
 
 LENGTH = 50
 ANCHOR = 24

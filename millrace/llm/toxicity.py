@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import small_batches
+
 #: Groups of identity terms; a term's counterfactual is the next one of its row (own choice, extensible).
 IDENTITY_TERMS = (
     ("woman", "man"), ("women", "men"), ("girl", "boy"), ("female", "male"),
@@ -151,7 +153,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     Null and empty texts get the score of a text without features.  Null ids are scored and not held out;
     repeated rows get equal scores; without labels every score is one half; an empty table gives an empty result.
     """
-    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    docs = small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     model = train(docs, labels, label_col, **options)
     weights, bias = model.weights, model.bias
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh_path, stored
+from millrace.llm.common import fresh_path, small_batches, stored
 
 MAGIC = 0x184D2A5D
 DICT_BYTES = 64 << 10
@@ -121,7 +121,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     attempts are in no row of the table and are never read.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
+    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
     keys = rows.where(F.octet_length("html") >= min_bytes).where("page_id is not null").select("page_id", "digest")
     first = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     known = keys.join(first, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
