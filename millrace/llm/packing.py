@@ -91,19 +91,23 @@ class WordTokenizer:
     def learn(self, runs: list[str]) -> None:
         cut: list[tuple[str, list[str]]] = []
         whole: list[str] = []
+        alone: list[str] = []
         find = TOKEN.findall
         for r in runs:
-            if "<|" in r:
+            if r.isalpha() and r.isascii():  # one word
+                alone.append(r)
+            elif "<|" in r:
                 self.known[r] = self.ids(r).tobytes()
             elif r.isascii() or SIMPLE.fullmatch(r):
                 cut.append((r, find(r.lower())))
             else:
                 whole.append(r)
-        if len(self.words) > CACHE:
+        if len(self.words) > 2 * CACHE:
             self.words, self.old_words = {}, self.words
         known, old = self.words, self.old_words
         new = []
-        for w in {w for _, words in cut for w in words}.difference(known):
+        lower = [r.lower() for r in alone]
+        for w in {w for _, words in cut for w in words}.union(lower).difference(known):
             if w in old:
                 known[w] = old[w]
             else:
@@ -113,6 +117,7 @@ class WordTokenizer:
             ids = self.ids(" ".join(part))
             self.split(part, ids, np.flatnonzero(self.last[ids]) + 1, 0, self.words)
         get = self.words.__getitem__
+        self.known.update(zip(alone, map(get, lower), strict=True))
         for r, words in cut:
             self.known[r] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
         for at in range(0, len(whole), 4096):
