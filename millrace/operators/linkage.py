@@ -222,7 +222,8 @@ def m_from_labels(labelled: DataFrame, comparisons: Sequence[Comparison], weight
 def term_frequencies(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """Relative frequency of each value in both frames together."""
     both_sides = left.select(column).union(right.select(column)).where(F.col(column).isNotNull())
-    return both_sides.groupBy(column).agg(F.count("*").alias("n")).withColumn("tf", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1)))).select(column, "tf")
+    total = both_sides.agg(F.count("*").alias("__total"))
+    return both_sides.groupBy(column).agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select(column, (F.col("n") / F.col("__total")).alias("tf"))
 
 
 def score(pairs: DataFrame, comparisons: Sequence[Comparison], weights: Weights, frequencies: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -277,16 +278,22 @@ AMBIGUOUS = (0.1, 0.9)
 STRATA = ("ambiguous", "contested", "cook_county", "high_confidence", "low_confidence", "unsampled")
 
 
-def contested(pairs: DataFrame, bar: float = 0.9, left: str = "unique_id_l", right: str = "unique_id_r", p: str = "match_probability") -> Column:
-    """Whether a pair and another one of either of its records both claim at least ``bar``."""
-    claims = lambda c: F.count_if(F.col(p) >= bar).over(Window.partitionBy(c))
-    return (F.col(p) >= bar) & ((claims(left) > 1) | (claims(right) > 1))
+def with_contested(pairs: DataFrame, bar: float = 0.9, left: str = "unique_id_l", right: str = "unique_id_r", p: str = "match_probability") -> DataFrame:
+    """Flag ``contested``: a pair and another one of either of its records both claim at least ``bar``.
+
+    Claims are counted before they move and joined back, so that a record with very many pairs fills no task.
+    """
+    high = pairs.where(F.col(p) >= bar)
+    several = lambda c: high.groupBy(F.col(c).alias("__id")).agg(F.count("*").alias("__n")).where("__n > 1").select("__id", F.lit(True).alias(f"__{c}"))
+    l, r = several(left).withColumnRenamed("__id", "__il"), several(right).withColumnRenamed("__id", "__ir")
+    joined = pairs.join(l, F.col(left) == F.col("__il"), "left").join(r, F.col(right) == F.col("__ir"), "left")
+    return joined.withColumn("contested", (F.col(p) >= bar) & F.coalesce(f"__{left}", f"__{right}", F.lit(False))).drop("__il", "__ir", f"__{left}", f"__{right}")
 
 
 def strata(pairs: DataFrame, special: Column, bar: float = 0.9, **names: str) -> DataFrame:
     """The first stratum that holds for each pair."""
     p = F.col(names.get("p", "match_probability"))
-    marked = pairs.withColumn("__contested", contested(pairs, bar, **names))
+    marked = with_contested(pairs, bar, **names).withColumnRenamed("contested", "__contested")
     ladder = (
         F.when((p >= AMBIGUOUS[0]) & (p < AMBIGUOUS[1]), "ambiguous").when(F.col("__contested"), "contested").when(special, "cook_county")
         .when(p >= 0.99, "high_confidence").when(p < 0.01, "low_confidence").otherwise("unsampled")

@@ -85,16 +85,30 @@ def align_vintages(left: DataFrame, right: DataFrame, key: str, columns: Sequenc
     return left.join(build, key, "left").withColumn("alignment_status", status).drop("__found")
 
 
-def with_row_number(df: DataFrame, name: str = "source_row") -> DataFrame:
-    """Rows numbered from 1 in file order: file, block, then position within the partition."""
-    marked = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at"))
-    return marked.withColumn(name, F.row_number().over(Window.orderBy("__file", "__block", "__at")).cast("bigint")).drop("__file", "__block", "__at")
+def with_row_number(df: DataFrame, file: str, block: str | None = None, name: str = "source_row") -> DataFrame:
+    """Rows numbered from 1 in the order of files, their blocks, and rows in a block.
+
+    Blocks are numbered apart from each other; only their row counts meet, one row for each block.
+    """
+    keys = [file, *([block] if block else [])]
+    marked = df.withColumn("__at", F.monotonically_increasing_id())
+    counts = marked.groupBy(*keys).agg(F.count("*").alias("__n"))
+    earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*keys, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy("__at"))
+    return marked.withColumn("__within", within).join(before, keys).withColumn(name, (F.col("__before") + F.col("__within")).cast("bigint")).drop("__at", "__within", "__before")
 
 
 def draw(df: DataFrame, stratum: str, key: str, quotas: dict[str, int], seed: int) -> DataFrame:
     """At most the quota of rows of each stratum, by a hash of seed and key; strata without a quota go whole."""
     by = Window.partitionBy(stratum).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"||{seed}"))), key)
-    quota = F.lit(None).cast("int")
+    rank = F.row_number().over(by)
+    whole = df.where(~F.col(stratum).isin(list(quotas)) | F.col(stratum).isNull()).withColumn("draw_rank", rank.cast("bigint"))
+    if not quotas:
+        return whole
+    quota = F.lit(0)
     for name, n in quotas.items():
         quota = F.when(F.col(stratum) == name, n).otherwise(quota)
-    return df.withColumn("draw_rank", F.row_number().over(by).cast("bigint")).where(quota.isNull() | (F.col("draw_rank") <= quota))
+    # The constant bound lets Spark limit each stratum before it moves.
+    some = df.where(F.col(stratum).isin(list(quotas))).withColumn("__rank", rank).where(F.col("__rank") <= max(quotas.values())).where(F.col("__rank") <= quota)
+    return whole.unionByName(some.withColumn("draw_rank", F.col("__rank").cast("bigint")).drop("__rank"))

@@ -10,14 +10,14 @@ import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.functions import text as T
 from millrace.functions.udfs import parse_alias_list
-from millrace.operators.rows import align_vintages
+from millrace.operators.rows import align_vintages, with_row_number
 from millrace.sources.contracts import require
 
 # Headers that no rule splits right.
@@ -200,7 +200,7 @@ def read_furnaces(spark: SparkSession, kind: str, version: str, path: str) -> Da
     text = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")
     facility, fid = T.drop_float_suffix(T.clean_text(text("id"))), T.drop_float_suffix(T.clean_text(text("fid")))
     year = T.leading_int(text("year"))
-    numbered = raw.withColumn("source_row", F.row_number().over(Window.orderBy("source_file", F.monotonically_increasing_id())).cast("bigint"))
+    numbered = with_row_number(raw, "source_file")
     key = F.concat(F.lit(f"{kind}:"), facility)
     return numbered.select(
         key.alias("furnace_key"), F.lit(kind).alias("furnace_type"), facility.alias("facility_id"), fid.alias("fid"), year.alias("year"),
@@ -258,8 +258,8 @@ DECISION = "pair_id string, unique_id_l string, unique_id_r string, verdict stri
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     """The log with line numbers; blank lines are skipped, a corrupt one is an error with its number."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__at"))
-    numbered = lines.withColumn("line", F.row_number().over(Window.orderBy("__file", "__at")).cast("bigint")).where(F.trim("value") != "")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+    numbered = with_row_number(lines, "__file", "__block", "line").where(F.trim("value") != "")
     parsed = numbered.select("line", "value", F.from_json("value", DECISION + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
     bad = parsed.where("d is null or d._corrupt is not null or d.pair_id is null").orderBy("line").first()
     if bad is not None:
