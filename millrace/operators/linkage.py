@@ -30,7 +30,10 @@ def block_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS, i
     nested loop.  Records without any key meet the whole other side: that part is a rule of the model,
     and Spark runs it as a nested loop over the few keyless rows.
     """
+    spark = left.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     l, r = sided(with_key_flag(left, keys), "l"), sided(with_key_flag(right, keys), "r")
+    r = r.repartition(parts, f"{id_col}_r")  # the pairs cost more than the frames: spread what makes them
     same = lambda k: F.col(f"{k}_l") == F.col(f"{k}_r")
     passes = []
     for i, k in enumerate(keys):
@@ -85,7 +88,7 @@ def exact(name: str, column: str, **options: tuple[str, ...]) -> Comparison:
 
 def edit_distance(name: str, column: str, limits: Sequence[int] = (1, 3)) -> Comparison:
     l, r = both(column)
-    return Comparison(name, l.isNull() | r.isNull(), (("exact", l == r), *((f"levenshtein_{n}", F.levenshtein(l, r) <= n) for n in limits)))
+    return Comparison(name, l.isNull() | r.isNull(), (("exact", l == r), *((f"levenshtein_{n}", F.levenshtein(l, r, n) >= 0) for n in limits)))  # bounded: -1 beyond n
 
 
 def closest(name: str, columns: Sequence[str], limits: Sequence[float] = (0.92, 0.85)) -> Comparison:
