@@ -27,6 +27,7 @@ MAGIC = 0x184D2A5D
 DICT_BYTES = 64 << 10
 SAMPLE_BYTES = 2 << 20
 ROLL_BYTES = 32 << 20
+TASK_BYTES = 64 << 20
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -125,7 +126,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     keys = rows.where(F.octet_length("html") >= min_bytes).where("page_id is not null").select("page_id", "digest")
     first = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     known = keys.join(first, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
-    marked = rows.join(known, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to")
+    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))  # else small tasks make small archives
+    marked = rows.join(known, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to").coalesce(int(tasks))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
