@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import shared_dir, small_batches, stored
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Edges in a partition of a checkpoint: components shrink fast, and their files should not outnumber them.
+EDGES = 50_000
 SHIFTS = np.arange(64, dtype=np.uint64)
 
 
@@ -207,7 +209,7 @@ def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = small.checkpoint()
+        edges = small.coalesce(max(1, -(-before[0] // EDGES))).checkpoint()
         after = mark(edges)
         if after == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
