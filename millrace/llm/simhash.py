@@ -26,6 +26,8 @@ from millrace.llm.common import shared_dir, small_batches, stored
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Edges in a partition of a checkpoint: components shrink fast, and their files should not outnumber them.
 EDGES = 50_000
+#: Up to so many edges, a table with a row for each node (16 bytes) is broadcast.
+HELD = 200_000
 SHIFTS = np.arange(64, dtype=np.uint64)
 
 
@@ -206,9 +208,10 @@ def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        held = F.broadcast if before[0] <= HELD else lambda df: df  # beyond that, joins by key that Spark splits where one is frequent
+        large = both.where("b > a").join(held(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(least.select("a", F.col("m").alias("b"))).distinct()
+        small = large.join(held(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(least.select("a", F.col("m").alias("b"))).distinct()
         edges = small.coalesce(max(1, -(-before[0] // EDGES))).checkpoint()
         after = mark(edges)
         if after == before:
