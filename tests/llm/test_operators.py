@@ -14,7 +14,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from millrace.llm import html, importance, packing, pieces, queries, repetition, simhash, suffix, topk, toxicity, warc
+from millrace.llm import html, importance, packing, pieces, queries, repetition, shingles, simhash, suffix, topk, toxicity, warc
 
 RNG = random.Random(7)
 WORDS = ["alpha", "beta", "gamma", "delta", "épsilon", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu", "nu", "xi"]
@@ -343,6 +343,57 @@ def test_long_chains_become_one_component(spark):
     assert simhash.star_components(edges.limit(0)).count() == 0
 
 
+def near_by_hand(rows):
+    """The least id of each row's component of five-word shingles at a Jaccard similarity of at least 0.8."""
+    sets = {}
+    for d, t in rows:
+        words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
+        sets.setdefault(frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset(), []).append(d)
+    keys = list(sets)
+    root = list(range(len(keys)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(keys)):
+        for b in range(a):
+            if 10 * len(keys[a] & keys[b]) >= 8 * len(keys[a] | keys[b]):
+                root[find(a)] = find(b)
+    least = {}
+    for i, k in enumerate(keys):
+        least[find(i)] = min([least.get(find(i), 1 << 62), *sets[k]])
+    return sorted((d, least[find(i)]) for i, k in enumerate(keys) for d in sets[k])
+
+
+def test_stage_of_near_duplicates_equals_brute_force(spark, data, awkward):
+    import corpus_pipeline as C
+
+    rng = random.Random(3)
+    rows = []
+    for _ in range(40):  # chains of copies with ever more edits, on both sides of the threshold
+        words = prose(rng.randrange(6, 160), rng).split()
+        for _ in range(6):
+            rows.append((len(rows), " ".join(words)))
+            words[rng.randrange(len(words))] = f"edit{rng.random()}"
+    base = prose(120, rng).split()
+    for k in range(60):  # one large group, whose last members are like some others only
+        words = base.copy()
+        for _ in range(1 + k // 20):
+            words[rng.randrange(len(words))] = f"edit{rng.random()}"
+        rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows), rows[0][1].upper()), (3, "another text of a known id")]
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    for df in (planted, queries.table(spark, data, "documents").select("doc_id", "text"), awkward.select("doc_id", "text")):
+        rows = [tuple(r) for r in df.collect()]
+        want = near_by_hand([r for r in rows if r[0] is not None])
+        assert sorted(tuple(r) for r in shingles.jaccard_components(df, block=8).collect()) == want
+        chosen = {c for _, c in want}
+        assert Counter(map(tuple, C.near_duplicates(spark, df, data).collect())) == Counter(r for r in rows if r[0] is None or r[0] in chosen)
+    assert len({c for _, c in near_by_hand([tuple(r) for r in planted.collect()])}) < planted.count() / 2
+
+
 # ---------------------------------------------------------------- 8
 
 
