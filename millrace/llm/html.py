@@ -37,6 +37,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'](?=[^\"']*>))*)>", re.S)
+#: A tag whose quotes don't match: it ends at the next ``>``.
+LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 LABELS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 DIGITS = re.compile(r"\d+")
@@ -121,11 +124,14 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
                 block.linked += len(text)
         if start >= n:
             break
-        m = TOKEN.match(page, start)
+        m = TOKEN.match(page, start) or LOOSE.match(page, start)
         if m is None:
-            after = page[start + 1 : start + 2]
-            if after.isalpha() or after == "/":  # a tag that never ends takes the rest
+            closing = page.startswith("/", start + 1)
+            if page[start + 1 + closing : start + 2 + closing] in LETTERS:  # a tag that never ends takes the rest
                 break
+            if closing and (end := page.find(">", start)) >= 0:  # a comment
+                at = end + 1
+                continue
             block.parts.append("<")
             at = start + 1
             continue

@@ -258,6 +258,10 @@ def test_main_text():
     for broken in ("", "<", "<p", "</p></div>", "<!--", "<script>x", "<p>a<table><tr><td>b", "a < b & c", "<div hidden>x</div>", "<p a='>'>t</p>", "<![CDATA[x"):
         assert isinstance(html.extract(broken, []), str)
     assert html.extract("a < b &amp; c", []) == "a < b & c"
+    for odd, text in (("a <中文> b", "a <中文> b"), ("a <été> b", "a <été> b"), ("a </3 x> b", "a b"), ("a </ p> b", "a b"), ("a </> b", "a b"), ("a </3 b", "a </3 b"), ("a <b c=\"x'> b", "a b"), ("a <", "a <"), ("a b<p", "a b")):
+        assert html.extract(f"<div>{odd}</div>" if odd.endswith(" b") and "3 b" not in odd else odd, []) == text
+        if odd.endswith("> b"):
+            assert html.extract(f"<div><p>{odd}</p><p>The text after it.</p></div>", []) == f"{text}\n\nThe text after it."
     assert html.extract("<div>" * 3000 + "deep" + "</div>" * 3000, []) == "deep"
 
 
