@@ -1,8 +1,8 @@
 """Main text of pages by host consensus.
 
 First pass: a page's blocks give scores to the containers above them, and the page votes for the
-generalised path (tags and classes, numbers removed) of its best container.  Spark counts the votes per
-host.  Second pass: a page's text is taken from the first of its host's winning paths that it has, or
+generalised path (tags and classes, numbers removed) of its best container, or of the ancestor that adds
+headings and sibling sections to it.  Spark counts the votes per host.  Second pass: a page's text is taken from the first of its host's winning paths that it has, or
 from its own best container if it has none.
 """
 
@@ -212,7 +212,34 @@ def best_container(blocks: list[Block], texts: list[str], paths: list[str]) -> s
                 break
     if not scores:
         return None
-    return paths[min(scores, key=lambda c: (-scores[c], c))]
+    best = min(scores, key=lambda c: (-scores[c], c))
+    return paths[whole(best, blocks, texts, paths)]
+
+
+def whole(best: int, blocks: list[Block], texts: list[str], paths: list[str]) -> int:
+    """The highest ancestor of a container that adds a section of text that isn't mostly links, reached without one that adds links only.
+
+    An article, main or body is whole as it is; body and what is above it hold the text of the site.
+    """
+    at = next(b.chain.index(best) for b in blocks if best in b.chain)
+    chain = next(b.chain for b in blocks if best in b.chain)
+    while at > 1 and paths[chain[at]].rpartition(">")[2].partition(".")[0] not in ("article", "main", "body", "html"):
+        above = chain[at - 1]
+        if paths[above].rpartition(">")[2].partition(".")[0] in ("body", "html"):
+            break
+        sections: Counter[int] = Counter()
+        linked: Counter[int] = Counter()
+        for b, text in zip(blocks, texts, strict=True):
+            if text and not b.skip and above in b.chain and chain[at] not in b.chain:
+                section = b.chain[at] if len(b.chain) > at else -1
+                sections[section] += len(text)
+                linked[section] += b.linked
+        if sections:
+            if all(2 * linked[c] > n for c, n in sections.items()):
+                break
+            best = above
+        at -= 1
+    return best
 
 
 def host_of(url: str | None) -> str:

@@ -265,6 +265,16 @@ def test_main_text():
     assert html.extract("<div>" * 3000 + "deep" + "</div>" * 3000, []) == "deep"
 
 
+def test_article_of_nested_divs_is_whole():
+    site = '<html><body><div class="top"><a href="/">Home of the site</a></div>{}<div class="bottom">Some site text</div></body></html>'
+    long, lead = "body text " * 30, "lead text " * 10
+    titled = site.format(f'<div class="post"><h1>The title</h1><div class="wrap"><div class="entry"><p>{long}</p></div></div></div>')
+    split = site.format(f'<div class="layout"><div class="content"><div class="lead">{lead}</div><div class="body">{long}</div></div><div class="more"><a href="/a">Another article</a> <a href="/b">And one more</a></div></div>')
+    for page, want, path in ((titled, f"The title\n\n{long.strip()}", "div.post"), (split, f"{lead.strip()}\n\n{long.strip()}", "div.content")):
+        assert html.vote(page).endswith(f">{path}")
+        assert html.extract(page, []) == html.extract(page, [html.vote(page)]) == want
+
+
 def test_consensus_helps_a_page_that_votes_otherwise(spark, data):
     other = "<html><body><div class='x'><p>" + "teaser text " * 40 + "</p></div><div class='post'><p>Short.</p></div></body></html>"
     usual = "<html><body><div class='x'><p>t</p></div><div class='post'><p>" + "main text " * 40 + "</p></div></body></html>"
