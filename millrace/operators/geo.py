@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Above this many vertices polygons are not broadcast but joined by cell.
+#: Above this many vertices nearest_polygon refuses the polygons, which each task holds.
 MAX_BROADCAST_VERTICES = 5_000_000
 
 
