@@ -499,6 +499,19 @@ def test_pieces_equal_the_library(spark, data, awkward):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_stage_of_substring_dedup_equals_brute_force(spark):
+    import corpus_pipeline as C
+
+    texts = [PASSAGE, f"{PASSAGE} {prose(20)}", f"{prose(20)} {PASSAGE} {prose(20)}", prose(40), "日本語のテキスト" * 20, f"x {'日本語のテキスト' * 10}", None, ""]
+    docs = spark.createDataFrame([(i, t, "en", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, n_chars long")
+    got = C.substring_dedup(spark, docs, "").collect()
+    kept = {d: digest for d, _, _, _, digest in cut_by_hand(list(enumerate(texts)))}
+    assert {r["doc_id"] for r in got} == set(kept) and len(got) == len(texts)
+    for r in got:
+        assert hashlib.sha256((r["text"] or "").encode()).hexdigest() == kept[r["doc_id"]] and r["n_chars"] in (None, len(r["text"] or "")) and r["lang"] == "en"
+    assert sum(len(r["text"] or "") for r in got) < sum(len(t or "") for t in texts)
+
+
 def test_pipeline(spark, data):
     import corpus_pipeline as C
 
