@@ -4,19 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests in local mode) a temporary folder is made and set.
+    Where that is unset, a local master gets a temporary folder; on a cluster, whose executors could not
+    read it, that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         path = getattr(spark, "_millrace_shared", None)
         if not path:
             path = "file://" + tempfile.mkdtemp(prefix="millrace-")
@@ -26,31 +33,70 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; it goes when the driver ends, or by ``discard``."""
+    path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at.getParent())
+    fs.deleteOnExit(at)
+    return path
 
 
-def small_batches(df: DataFrame, rows: int = 3000) -> DataFrame:
-    """The frame, for whose Arrow batches of texts the session's row limit is lowered: they take memory on both sides."""
-    spark = df.sparkSession
-    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= rows:
-        spark.conf.set(BATCH_ROWS, str(rows))
-    return df
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a working table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The frame, written in the shared folder and read back, and its path."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage by a table written in the shared folder and read back."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)[0]
+
+
+WHOLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+
+
+def map_slices(df: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = 1000) -> DataFrame:
+    """``mapInPandas`` in slices of at most ``rows`` rows, in which whole numbers never become floats.
+
+    A nullable long reaches pandas as Int64, so that ids beyond 2**53 beside a null survive; Arrow batches
+    (bounded by bytes in Spark) are cut here and no setting of the session is touched.
+    """
+    kinds = StructType.fromDDL(schema)
+    names = kinds.names
+    target = to_arrow_schema(kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def slices() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, rows):
+                    yield batch.slice(at, rows).to_pandas(types_mapper=WHOLE.get)
+
+        for frame in function(slices()):
+            if len(frame):
+                yield pa.RecordBatch.from_pandas(frame[names], schema=target, preserve_index=False)
+
+    return df.mapInArrow(run, schema)
+
+
+def exact_ids(ids: pd.Series) -> list[int | None]:
+    """Python integers, None for null, of a column of ``map_slices``."""
+    return ids.astype(object).where(ids.notna(), None).tolist()
 
 
-def stored_file(spark: SparkSession, name: str, payload: bytes) -> DataFrame:
-    return stored(spark.createDataFrame([(payload,)], "payload binary"), name)
+def frame_of(rows: list[tuple], names: list[str], ids: tuple[str, ...]) -> pd.DataFrame:
+    """A frame of rows, in which the columns ``ids`` hold integers or None and stay exact."""
+    columns = dict(zip(names, zip(*rows, strict=True) if rows else [()] * len(names), strict=True))
+    return pd.DataFrame({n: pd.array(c, dtype="Int64") if n in ids else list(c) for n, c in columns.items()})
 
 
 def utf8(texts: Iterable[str | None]) -> list[bytes]:

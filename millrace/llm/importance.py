@@ -5,9 +5,10 @@ Two generative models over hashed n-grams of bytes share one table of buckets: o
 its n-grams' probabilities.  Texts are then sampled without replacement, in proportion to tempered
 weights, by Gumbel top-k: the k largest of ``log weight / temperature + Gumbel noise``.
 
-The raw counts cover every document.  The target counts, and the cut that gives k, come from a bounded
-sample of labelled rows (``max_labelled``); k is the number of texts over the whole corpus at or above
-the cut, so it grows with the corpus.
+The raw counts cover every document.  The target counts come from a bounded sample of labelled good rows
+(``max_labelled``); no label of a bad row is ever read.  k is the number of texts of the whole corpus whose
+weight reaches what the share ``keep`` of the target has, so it grows with the corpus.  It says how many
+texts stay; which ones, the draw says: near the border the noise decides.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, mix64, small_batches, stored, utf8
+from millrace.llm.common import chunks, mix64, stored, utf8
 
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 16
 PIECE = 1 << 20
 MAX_LABELLED = 20_000
+#: The share of the target whose weights k is taken from, and what log weights are divided by before the noise.
+KEEP, TEMPERATURE = 0.995, 4.0
 
 
 def buckets(blobs: list[bytes], orders: tuple[int, ...] = ORDERS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -91,7 +94,7 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, smooth: float = 1.0) -> np.n
 
 
 def log_weight(spark: SparkSession, ratios: np.ndarray) -> Callable[[str], Column]:
-    """A function of a text column: struct of n_grams and log_weight; a text too short for an n-gram weighs 0."""
+    """A function of a text column: struct of n_grams and log_weight; a null, empty or too short text weighs 0."""
     table = spark.sparkContext.broadcast(ratios)  # 65,536 doubles, whatever the corpus
 
     @F.pandas_udf("n_grams long, log_weight double")
@@ -110,21 +113,6 @@ def log_weight(spark: SparkSession, ratios: np.ndarray) -> Callable[[str], Colum
     return score
 
 
-def cut_of(scores: np.ndarray, good: np.ndarray, keep: float) -> float:
-    """The score that best parts labelled good from bad texts, but at most the one that keeps the share ``keep`` of the good."""
-    if not good.any():
-        return -np.inf
-    most = float(np.quantile(scores[good], 1 - keep, method="lower"))
-    if good.all():
-        return most
-    order = np.argsort(scores, kind="stable")
-    bad_below = np.concatenate(([0], np.cumsum(~good[order]))) / (~good).sum()
-    good_below = np.concatenate(([0], np.cumsum(good[order]))) / good.sum()
-    at = int(np.argmax(bad_below - good_below))
-    best = float(scores[order[at]]) if at < len(order) else np.inf
-    return min(best, most)
-
-
 def top_k_threshold(keys: DataFrame, k: int, bins: int = 4096) -> tuple[float, int]:
     """(key, id) of the k-th row by key descending, then id ascending: rounds of histograms, no global sort.
 
@@ -159,19 +147,19 @@ def top_k_threshold(keys: DataFrame, k: int, bins: int = 4096) -> tuple[float, i
 class Sampler:
     """A fitted model and the k-th key: which rows of the documents it was fitted on stay."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: float = 0.998, temperature: float = 0.02, evidence: int = 256, max_labelled: int = MAX_LABELLED, seed: int = 17) -> None:
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: float = KEEP, temperature: float = TEMPERATURE, evidence: int = 256, max_labelled: int = MAX_LABELLED, seed: int = 17) -> None:
         spark = docs.sparkSession
         self.temperature, self.evidence, self.seed = temperature, evidence, seed
-        rows = small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
-        named = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("good")).where("doc_id is not null and good is not null")
-        sample = named.groupBy("doc_id").agg(F.max("good").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
-        known = spark.createDataFrame([(r[0], r[1]) for r in sample], "doc_id long, good int")  # at most max_labelled rows
+        rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
+        good = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("good")).where("doc_id is not null and good = 1").select("doc_id").distinct()
+        sample = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
+        known = spark.createDataFrame([(r[0], 1) for r in sample], "doc_id long, good int")  # at most max_labelled rows
         target, raw = model_counts(rows.join(F.broadcast(known), "doc_id", "left").select("text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("target")))
         self.weigh = log_weight(spark, log_ratios(target, raw) if target.any() else np.zeros(BUCKETS))
         parts = self.columns(F.col("doc_id"), F.col("weight"))
         self.scored = stored(rows.select("doc_id", self.weigh("text").alias("weight")).select("doc_id", "weight.*", *(c.alias(n) for n, c in parts.items())), "weights")
-        judged = self.scored.join(F.broadcast(known), "doc_id").select("value", "good").toPandas()
-        cut = cut_of(judged["value"].to_numpy(float), judged["good"].to_numpy() == 1, keep) if target.any() else -np.inf
+        aims = np.sort(self.scored.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.max("value").alias("value")).toPandas()["value"].to_numpy(float))
+        cut = float(np.quantile(aims, 1 - keep, method="lower")) if len(aims) else -np.inf
         total, k = self.scored.agg(F.count("*"), F.count_if(F.col("value") >= F.lit(float(cut)))).first()
         self.last = None if k == total else (np.inf, 0) if k == 0 else top_k_threshold(self.scored, k)
 
@@ -192,15 +180,21 @@ def resample(docs: DataFrame, labels: DataFrame, **options: object) -> DataFrame
 
     ``key`` is the log weight, scaled to at most ``evidence`` n-grams so that length alone doesn't decide
     and divided by ``temperature``, plus Gumbel noise that depends on the id and the seed only.
-    Null and empty texts weigh 0.  A null id is left out.  Repeated rows get equal keys and are kept or go
-    together.  Without a good label every row is kept.  An empty table gives an empty result.
+    Null and empty texts weigh 0.  A null id is left out; ids of any size are exact.  Repeated rows get equal
+    keys and are kept or go together; of other equal keys the smaller id is kept.  A very long text is
+    weighed whole.  Without a good label every row is kept.  An empty table gives an empty result; other
+    columns, whatever their names, are not read.
     """
     sampler = Sampler(docs, labels, **options)
     return sampler.scored.select("doc_id", "n_grams", "log_weight", "key", sampler.kept(F.col("doc_id"), F.col("key")).alias("kept"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
-    """The rows that ``resample`` keeps, with all their columns, by a second scoring instead of a shuffle; rows without an id stay."""
+    """The rows that ``resample`` keeps, with all their columns, by a second scoring instead of a shuffle.
+
+    Rows without an id stay.  Null and empty, repeated, tied and very long rows fare as in ``resample``; an empty
+    table gives an empty result; columns of any name stay as they are.
+    """
     sampler = Sampler(docs, labels, id_col, text_col, **options)
     doc_id = docs[id_col].cast("long")
     key = sampler.columns(doc_id, sampler.weigh(docs[text_col]))["key"]

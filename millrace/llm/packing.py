@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import chunks, small_batches
+from millrace.llm.common import chunks, exact_ids, frame_of, map_slices
 
 END_ID = 1
 SIZE = 2048
@@ -282,30 +282,33 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Order is that of the rows in each task and no row moves: there is no shuffle.  A null or empty text
-    is its end id alone; null ids and repeated rows are packed like others; an empty table gives no piece.
-    Sequence numbers are unique, with the task in the upper bits.
+    is its end id alone; null ids and repeated rows are packed like others (repeated rows as documents of
+    their own); ids of any size are exact.  A very long text is cut over as many sequences as it fills and
+    takes memory for its ids.  Of packings that cost the same, the one whose last cut comes first.  An empty
+    table gives no piece.  Other columns, whatever their names, are neither read nor kept.  Sequence numbers
+    are unique, with the task in the upper bits.
     """
     names = [c.split(" ")[0] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gc.disable()  # nothing here makes cycles, and the caches are large
         words = WordTokenizer(tokenizer_path)
         packer = Packer(size, TaskContext.get().partitionId() << 40)
-        frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-        for pdf in batches:
-            ids_of = pdf["doc_id"].astype("Int64").astype(object).where(pdf["doc_id"].notna(), None).tolist()
-            rows: list[tuple] = []
-            for doc_id, ids in zip(ids_of, words.encode(pdf["text"].tolist()), strict=True):
-                ends = np.flatnonzero(words.ends[ids]) + 1
-                rows += packer.add(doc_id, np.concatenate((ids, np.array([END_ID], np.uint32))), ends)
-                if len(rows) > 20_000:
-                    yield frame(rows)
-                    rows = []
-            if rows:
+        frame = lambda rows: frame_of(rows, names, ("doc_id",))
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and the caches are large
+        try:
+            for pdf in batches:
+                rows: list[tuple] = []
+                for doc_id, ids in zip(exact_ids(pdf["doc_id"]), words.encode(pdf["text"].tolist()), strict=True):
+                    ends = np.flatnonzero(words.ends[ids]) + 1
+                    rows += packer.add(doc_id, np.concatenate((ids, np.array([END_ID], np.uint32))), ends)
+                    if len(rows) > 20_000:
+                        yield frame(rows)
+                        rows = []
                 yield frame(rows)
-        rows = list(packer.flush(True))
-        if rows:
-            yield frame(rows)
-        gc.enable()
+            yield frame(list(packer.flush(True)))
+        finally:  # also when the task ends early: the worker is used again
+            if collecting:
+                gc.enable()
 
-    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)
+    return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), run, SCHEMA, rows=3000)

@@ -1,29 +1,30 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
-A text is cut before every run of spaces, as no piece has a space after another character; each
-distinct segment is encoded once.  The segments' symbols stand in one flat array.  In a round every
-segment finds its pair of best rank (leftmost of equals) with one segmented minimum, all segments merge
-that pair at once, and the array is compacted.  Segments without a pair leave; the rounds end when none
-is left.  One merge per segment and round is what the library's queue does, so results are equal.
-Segments of more than ``LONG`` symbols go through a queue of their own, which bounds the rounds.
+A text is cut into words before every run of spaces, as no piece has a space after another character;
+each distinct word is encoded once.  The words' symbols stand in one flat array, in which words are cut
+further where no piece holds the two characters.  In a round every part finds its best rank with one
+segmented minimum, all parts merge their leftmost pairs of that rank at once, and the array is compacted.
+Parts without a pair leave; the rounds end when none is left.  Where a merge makes a pair that the
+library's queue would take before the rest, the rest waits, so results are equal.  Words of any length
+take this way: a text without spaces is one word, whose rounds are bounded by its distinct ranks.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import small_batches
+from millrace.llm.common import map_slices
 
 SPACE = "▁"
 CACHE = 500_000
-LONG = 512
+#: Characters beyond which a word is merged alone.
+ALONE = 4096
 SEGMENT = re.compile("▁+[^▁]*")
 NONE = np.int64(1) << np.int64(62)
 
@@ -97,9 +98,15 @@ class PieceModel:
                     pairs[a << 21 | b] = (int(np.searchsorted(order, -self.pieces[i][1])), i)
         keys = np.array(sorted(pairs), np.int64)
         self.keys = np.append(keys, NONE)
-        self.ranks = np.array([pairs[k][0] for k in keys.tolist()] + [0], np.int64)
+        self.ranks = np.array([*(pairs[k][0] for k in keys.tolist()), NONE], np.int64)
         self.merged = np.array([pairs[k][1] for k in keys.tolist()] + [0], np.int64)
-        self.pairs = pairs
+        inside = {self.symbols[a] << 21 | self.symbols[b] for p in normal for a, b in zip(p, p[1:], strict=False)}
+        self.inner = np.append(np.array(sorted(inside), np.int64), NONE)
+        #: Two pieces' worth of characters: merges further apart than that don't meet in one round.
+        self.reach = 2 * max(map(len, normal), default=1)
+        self.rounds = 0
+        self.run = SPACE * 3 * self.reach
+        self.stride = self.space_stride()
         self.known: dict[str, bytes] = {}
         self.table = [b"" if kind in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in self.pieces]
         self.is_byte = np.array([kind == BYTE for _, _, kind in self.pieces])
@@ -112,77 +119,98 @@ class PieceModel:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, at, len(self.keys) - 1)
 
-    def merge(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge all segments of a flat array; the merged symbols and sizes, in the same order."""
+    def joinable(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether some piece holds the two characters next to each other: no merge ever crosses a place where none does."""
+        key = left << 21 | right
+        return self.inner[np.searchsorted(self.inner, key)] == key
+
+    def space_stride(self) -> int:
+        """How many spaces each piece of a long run of them takes, or 0 if that isn't known.
+
+        Where all pairs of spaces have one rank, worse than any other, they merge last and from the left: a
+        piece is complete before the next one begins, and a long run may be cut after each.
+        """
+        at = {len(p): i for i, (p, _, kind) in enumerate(self.pieces) if kind == NORMAL and set(p) == {SPACE}}
+        scores = {self.pieces[i][1] for n, i in at.items() if n > 1}
+        if len(scores) != 1 or min(s for _, s, kind in self.pieces if kind == NORMAL) < max(scores):
+            return 0
+        size = lambda n: [len(self.pieces[i][0]) for i in self.merge(np.full(n, self.symbols[SPACE]), np.array([n]))[0].tolist()]
+        runs = size(6 * self.reach)
+        return runs[0] if set(runs[:-2]) == {runs[0]} and size(6 * self.reach - runs[0]) == runs[1:] else 0
+
+    def merge(self, symbols: np.ndarray, sizes: np.ndarray, cuts: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """Merge all words of a flat array of characters; the merged symbols and each word's number of them, in order.
+
+        A word is cut into parts where no pair can join, and at ``cuts``.  In a round every part finds its best rank (a
+        segmented minimum) and merges all leftmost pairs of that rank at once.  One merge can make a pair of
+        the same or a better rank, which the library would take next; pairs to the right of it then wait for
+        the next round, unless they lie further away than what two pieces can cover.
+        """
         none = len(self.keys) - 1
-        owner = np.repeat(np.arange(len(sizes)), sizes)
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        owner = np.zeros(len(symbols), np.int64)
+        new = (word[1:] != word[:-1]) | ~self.joinable(symbols[:-1], symbols[1:])
+        new[np.array(cuts, np.int64) - 1] = True
+        owner[1:] = np.cumsum(new)
+        first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
+        word_of = word[first]
         done: list[tuple[np.ndarray, np.ndarray]] = []
         pair = np.full(len(symbols), none)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         pair[inner] = self.lookup(symbols[inner], symbols[inner + 1])
+        self.rounds = 0
         while len(symbols):
             starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-            value = np.where(pair == none, NONE, self.ranks[pair] << 32 | np.arange(len(pair)))
-            best = np.minimum.reduceat(value, starts)
+            rank = self.ranks[pair]
+            best = np.minimum.reduceat(rank, starts)
+            counts = np.diff(np.append(starts, len(symbols)))
             live = best != NONE
             if not live.all():
-                counts = np.diff(np.append(starts, len(symbols)))
                 alive = np.repeat(live, counts)
                 done.append((owner[~alive], symbols[~alive]))
-                shift = np.cumsum(~alive)
-                owner, symbols, pair = owner[alive], symbols[alive], pair[alive]
-                at = best[live] & 0xFFFFFFFF
-                at -= shift[at]
-            else:
-                at = best & 0xFFFFFFFF
+                owner, symbols, pair, rank = owner[alive], symbols[alive], pair[alive], rank[alive]
+                best, counts = best[live], counts[live]
             if not len(symbols):
                 break
-            symbols[at] = self.merged[pair[at]]
+            self.rounds += 1
+            at = np.flatnonzero(rank == np.repeat(best, counts))
+            # of pairs that overlap (runs of neighbouring positions, never across parts) every other one, leftmost first
+            run = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])))
+            begin = np.flatnonzero(run)
+            at = at[(np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))) % 2 == 0]
+            made = self.merged[pair[at]]
+            near = np.concatenate(([False], (at[1:] - at[:-1] <= self.reach) & (owner[at[1:]] == owner[at[:-1]])))
+            if near.any():
+                left = symbols[np.maximum(at - 1, 0)]
+                touch = np.concatenate(([False], at[1:] == at[:-1] + 2))
+                left[touch] = made[:-1][touch[1:]]
+                right = symbols[np.minimum(at + 2, len(symbols) - 1)]
+                at_left = np.where((at > 0) & (owner[np.maximum(at - 1, 0)] == owner[at]), self.ranks[self.lookup(left, made)], NONE)
+                at_right = np.where((at + 2 < len(owner)) & (owner[np.minimum(at + 2, len(owner) - 1)] == owner[at]), self.ranks[self.lookup(made, right)], NONE)
+                again = np.minimum(at_left, at_right) <= rank[at]
+                if again.any():
+                    before = np.cumsum(again) - again
+                    group = np.flatnonzero(~near)
+                    keep = before - np.repeat(before[group], np.diff(np.append(group, len(at)))) == 0
+                    at, made = at[keep], made[keep]
+            symbols[at] = made
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
-            at -= np.arange(len(at))  # one symbol less for each earlier segment
+            at = at - np.arange(len(at))  # one symbol less for each earlier merge
             owner, symbols, pair = owner[keep], symbols[keep], pair[keep]
             for i, j in ((at, at + 1), (at - 1, at)):
                 ok = (i >= 0) & (j < len(symbols))
                 i, j = i[ok], j[ok]
-                same = owner[i] == owner[j]
-                pair[i] = np.where(same, self.lookup(symbols[i], symbols[j]), none)
-            last = at + 1 == len(symbols)
-            pair[at[last]] = none
+                pair[i] = np.where(owner[i] == owner[j], self.lookup(symbols[i], symbols[j]), none)
+            if len(at) and at[-1] + 1 == len(symbols):
+                pair[at[-1]] = none
         owner = np.concatenate([d[0] for d in done]) if done else np.empty(0, np.int64)
         symbols = np.concatenate([d[1] for d in done]) if done else np.empty(0, np.int64)
         order = np.argsort(owner, kind="stable")
-        return symbols[order], np.bincount(owner, minlength=len(sizes))
-
-    def merge_long(self, symbols: list[int]) -> list[int]:
-        """The same for one long segment, with a queue of pairs: n log n."""
-        n = len(symbols)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap: list[tuple[int, int, int, int]] = []
-
-        def push(i: int) -> None:
-            j = right[i]
-            if j >= 0 and (found := self.pairs.get(symbols[i] << 21 | symbols[j])):
-                heapq.heappush(heap, (found[0], i, symbols[i], symbols[j]))
-
-        for i in range(n - 1):
-            push(i)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = right[i]
-            if symbols[i] != a or j < 0 or symbols[j] != b:
-                continue
-            symbols[i], symbols[j] = self.pairs[a << 21 | b][1], -1
-            right[i] = right[j]
-            if right[j] >= 0:
-                left[right[j]] = i
-            push(i)
-            if left[i] >= 0:
-                push(left[i])
-        return [s for s in symbols if s >= 0]
-
-    def learn(self, segments: list[str]) -> None:
-        """Encode segments and keep their ids."""
+        return symbols[order], np.bincount(word_of[owner], minlength=len(sizes))
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words and keep their ids; a long word is merged alone, so that its rounds don't hold up others."""
         strange: dict[int, str] = {}
         own: dict[str, int] = {}
 
@@ -192,19 +220,23 @@ class PieceModel:
                 strange[s] = ch
             return s
 
-        short = [s for s in segments if len(s) <= LONG]
-        flat = "".join(short)
-        numbers = {ch: symbol(ch) for ch in set(flat)}
-        symbols, sizes = self.merge(np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat)), np.fromiter(map(len, short), np.int64, len(short)))
-        data, ends = symbols.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
-        odd = set(np.repeat(np.arange(len(short)), sizes)[symbols >= len(self.pieces)].tolist())
-        start = 0
-        for i, (s, end) in enumerate(zip(short, ends, strict=True)):
-            self.known[s] = self.plain(np.frombuffer(data[start:end], "<u4"), strange) if i in odd else data[start:end]
-            start = end
-        for s in segments:
-            if len(s) > LONG:
-                self.known[s] = self.plain(np.array(self.merge_long([symbol(c) for c in s])), strange)
+        for part in ([w for w in words if len(w) <= ALONE], *([w] for w in words if len(w) > ALONE)):
+            flat = "".join(part)
+            numbers = {ch: symbol(ch) for ch in set(flat)}
+            cuts: list[int] = []
+            if self.stride:
+                begin = 0
+                for w in part:
+                    if w.startswith(self.run):
+                        cuts += range(begin + self.stride, begin + len(w) - len(w.lstrip(SPACE)) - 2 * self.reach, self.stride)
+                    begin += len(w)
+            symbols, sizes = self.merge(np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat)), np.fromiter(map(len, part), np.int64, len(part)), cuts)
+            data, ends = symbols.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
+            odd = set(np.repeat(np.arange(len(part)), sizes)[symbols >= len(self.pieces)].tolist())
+            start = 0
+            for i, (w, end) in enumerate(zip(part, ends, strict=True)):
+                self.known[w] = self.plain(np.frombuffer(data[start:end], "<u4"), strange) if i in odd else data[start:end]
+                start = end
 
     def plain(self, found: np.ndarray, strange: dict[int, str]) -> bytes:
         """Ids of merged symbols: a character that is no piece becomes the pieces of its bytes."""
@@ -255,7 +287,9 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """doc_id, n_tokens, ids, ids_sha256, decoded_sha256 of every row.
 
     Null and empty texts have the begin and end ids only.  Null ids and repeated rows are treated like
-    others; an empty table gives an empty result; other columns are not read.  No shuffle.
+    others, and ids of any size are exact.  A very long text is encoded whole, in memory that grows with its
+    distinct words.  Pairs of equal rank merge from the left.  An empty table gives an empty result; other
+    columns, whatever their names, are not read.  No shuffle.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -264,10 +298,10 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             out = []
             for ids in model.encode(pdf["text"].tolist()):
                 decoded = model.decode(ids).encode("utf-8", "replace")
-                out.append((len(ids), ids if with_ids else None, hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+                out.append((len(ids), ids.astype(np.int64) if with_ids else None, hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
             frame = pd.DataFrame(out, columns=["n_tokens", "ids", "ids_sha256", "decoded_sha256"])
-            frame.insert(0, "doc_id", pdf["doc_id"].to_numpy())
+            frame.insert(0, "doc_id", pdf["doc_id"].array)
             yield frame if with_ids else frame.drop(columns="ids")
 
     schema = "doc_id long, n_tokens long, ids array<long>, ids_sha256 string, decoded_sha256 string"
-    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, schema if with_ids else schema.replace("ids array<long>, ", ""))
+    return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), run, schema if with_ids else schema.replace("ids array<long>, ", ""))

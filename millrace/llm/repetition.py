@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from millrace.llm.common import mix64, small_batches
+from millrace.llm.common import map_slices, mix64
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,15 +100,20 @@ def measure(text: str | None) -> tuple:
 
 @F.pandas_udf(BooleanType())
 def passes(texts: pd.Series) -> pd.Series:
-    """The verdict alone, as a column."""
+    """The verdict alone, as a column: never null, false for null and empty texts.
+
+    It reads the text only, so that ids, repeated rows and other columns play no part; an empty table gives no value.
+    """
     return pd.Series([measure(t)[-1] for t in texts], dtype=bool)
 
 
 def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Measures and verdict of every row: one output row per input row, no shuffle.
 
-    Null and empty texts: all counts zero, base_failed.  A null id stays null.  Repeated rows give
-    repeated results.  An empty table gives an empty result.  Other columns are neither read nor kept.
+    Null and empty texts: all counts zero, base_failed.  A null id stays null; ids of any size are exact.
+    Repeated rows give repeated results.  A very long text is measured whole, in memory that grows with its
+    words.  A share equal to its limit passes.  An empty table gives an empty result.  Other columns,
+    whatever their names, are neither read nor kept.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,8 +121,7 @@ def repetition_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for pdf in batches:
             rows = [measure(t) for t in pdf["text"]]
             out = pd.DataFrame(rows, columns=names[1:])
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy(object, na_value=None))
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            out.insert(0, "doc_id", pdf["doc_id"])
             yield out
 
-    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, SCHEMA)
+    return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), run, SCHEMA)

@@ -1,9 +1,9 @@
 """SimHash near-duplicates by a self-join of binary tries.
 
 1. Each text gets a 64-bit fingerprint; equal fingerprints collapse to one class (partial aggregation).
-2. The classes are dealt by the leading bits of the fingerprint, the top of one big binary trie.
-   Every pair of subtrees whose leading bits differ in at most ``radius`` bits is one task; subtrees
-   above ``block`` classes are cut into chunks, so a task never gets more than two chunks.
+2. The classes are dealt several times, each time led by other blocks of bits, to the subtrees at the top
+   of a binary trie over those bits: of radius + 1 blocks, two classes within the radius agree in one.
+   Every subtree is one task; subtrees above ``block`` classes are cut into chunks, two for each task.
 3. In a task the two tries descend together.  A node is a range of a sorted array; the differing bits
    add up on the way and a node pair is dropped once they exceed the radius.  Small node pairs compare
    their leaves at once.  A task gives a spanning forest of its links, not the links.
@@ -21,13 +21,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import shared_dir, small_batches, stored
+from millrace.llm.common import map_slices, shared_dir, stored
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Edges in a partition of a checkpoint: components shrink fast, and their files should not outnumber them.
 EDGES = 50_000
 #: Up to so many edges, a table with a row for each node (16 bytes) is broadcast.
 HELD = 200_000
+#: Up to so many ids of documents that go (8 bytes each) are broadcast.
+MAX_GONE = 2_000_000
 SHIFTS = np.arange(64, dtype=np.uint64)
 
 
@@ -54,7 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.fromiter((fingerprint(t, width) for t in pdf["text"]), np.uint64, len(pdf))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp.view(np.int64)})
 
-    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null").mapInPandas(run, "doc_id long, fp long")
+    return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null"), run, "doc_id long, fp long")
 
 
 # ---------------------------------------------------------------- one pair of subtrees
@@ -134,64 +136,82 @@ def leaves(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, radius: int, shift:
 # ---------------------------------------------------------------- the distributed join
 
 
-def tasks(classes: DataFrame, radius: int, block: int) -> tuple[DataFrame, int]:
-    """(task, side, fps, reps): each chunk of a subtree, packed and sorted, for each pair of chunks that it takes part in.
+def blocks_of(m: int) -> list[tuple[int, int]]:
+    """(first bit from the top, width) of m blocks of a fingerprint."""
+    cuts = [round(64 * i / m) for i in range(m + 1)]
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    A task's number is that of the lower chunk times the span, plus that of the higher; the span comes second.
+
+def deals(n: int, radius: int, block: int) -> tuple[list[tuple[tuple[int, int], ...]], int]:
+    """Which blocks of bits lead each deal, and how many of their bits name a subtree.
+
+    With m blocks, two fingerprints within the radius agree in m - radius of them at least, so that they
+    meet in the deal led by those.  m is the least with which the leading bits can part n classes in
+    subtrees of half a ``block``: m is radius + 1 up to hundreds of millions of classes, and each class is
+    copied once for each deal, whatever n.
     """
-    n = classes.count()
-    bits = int(min(14, max(0, np.ceil(np.log2(max(1, n / (block / 2)))))))
-    prefix = F.shiftrightunsigned("fp", 64 - bits) if bits else F.lit(0).cast("long")
-    sizes = {int(r[0]): int(r[1]) for r in classes.groupBy(prefix.alias("p")).count().collect()}  # at most 2**14 rows
-    parts = np.zeros(1 << bits, np.int64)
-    for p, size in sizes.items():
-        parts[p] = -(-size // block)
-    most = int(parts.max(initial=1))
-    span = most << bits
-    masks = [sum(1 << i for i in c) for k in range(min(radius, bits) + 1) for c in combinations(range(bits), k)]
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            own = (fp >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(fp), np.int64)
-            chunk = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts[own]
-            yield pdf.assign(chunk=own * most + chunk)[["chunk", "fp", "rep"]]
+    want = max(0, int(np.ceil(np.log2(max(1.0, n / (block / 2))))))
+    m = radius + 1
+    while m < 2 * radius + 2 and min(sum(w for _, w in c) for c in combinations(blocks_of(m), m - radius)) < want:
+        m += 1
+    leads = list(combinations(blocks_of(m), m - radius))
+    return leads, min(want, *(sum(w for _, w in c) for c in leads))
+
 
-    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(key)
-        fps, reps = key[order].tobytes(), pdf["rep"].to_numpy(np.int64)[order].tobytes()
-        mine = int(pdf["chunk"].iloc[0])
-        theirs = [p * most + k for p in (mine // most ^ mask for mask in masks) for k in range(int(parts[p]))]
-        rows = [(min(mine, t) * span + max(mine, t), int(mine > t), fps, reps) for t in theirs]
-        return pd.DataFrame(rows, columns=["task", "side", "fps", "reps"]).astype({"side": "int8"})
+def leading(fp: Column, lead: tuple[tuple[int, int], ...], bits: int) -> Column:
+    """The first ``bits`` bits of the blocks that lead a deal."""
+    out, total = F.lit(0).cast("long"), 0
+    for first, width in lead:
+        part = F.shiftrightunsigned(fp, 64 - first - width) if first + width < 64 else fp
+        if width < 64:
+            part = part.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        out, total = F.shiftleft(out, width).bitwiseOR(part) if total else part, total + width
+    return F.shiftrightunsigned(out, total - bits) if bits < total else out
 
-    placed = classes.mapInPandas(place, "chunk long, fp long, rep long")
-    return placed.groupBy("chunk").applyInPandas(spread, "task long, side byte, fps binary, reps binary"), span
+
+def dealt(classes: DataFrame, radius: int, block: int) -> DataFrame:
+    """(deal, prefix, low, high, chunk, fp, rep): every class in each of its tasks.
+
+    A task is a subtree, or two chunks of one that has over ``block`` classes.
+    """
+    leads, bits = deals(classes.count(), radius, block)
+    prefix = [F.struct(F.lit(i).alias("deal"), (leading(F.col("fp"), c, bits) if bits else F.lit(0).cast("long")).alias("prefix")) for i, c in enumerate(leads)]
+    if not bits:  # one subtree: any deal has all pairs
+        prefix = prefix[:1]
+    rows = classes.select(F.explode(F.array(*prefix)).alias("d"), "fp", "rep").select("d.*", "fp", "rep")
+    large = stored(rows.groupBy("deal", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > block).select("deal", "prefix", F.ceil(F.col("n") / block).cast("int").alias("parts")), "subtrees")
+    few = large.count()
+    if not few:
+        return rows.select("deal", "prefix", F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(0).alias("chunk"), "fp", "rep")
+    parted = rows.join(F.broadcast(large) if few <= HELD else large, ["deal", "prefix"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    chunk = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    met = parted.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return met.select("deal", "prefix", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "fp", "rep")
+
+
+def forest_of(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
+    """A spanning forest of the links of a task, between representatives."""
+    key, rep = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["rep"].to_numpy(np.int64)
+    low, high = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
+    side = pdf["chunk"].to_numpy() != low if low != high else np.zeros(len(pdf), bool)
+    order = np.lexsort((key, side))
+    key, rep, n = key[order], rep[order], int((~side).sum())
+    if low == high:
+        label = trie_links(key, None, radius)
+    elif 0 < n < len(key):
+        label = trie_links(key[:n], key[n:], radius)
+    else:
+        return pd.DataFrame({"a": rep[:0], "b": rep[:0]})
+    least = rep.copy()
+    np.minimum.at(least, label, rep)
+    root = least[label]
+    return pd.DataFrame({"a": rep[root != rep], "b": root[root != rep]})
 
 
 def links(classes: DataFrame, radius: int = 3, block: int = 8192) -> DataFrame:
     """(a, b): edges of a spanning forest of each task's links between representatives, a > b."""
-    dealt, span = tasks(classes, radius, block)
-
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("side")
-        keys = [np.frombuffer(x, np.uint64) for x in pdf["fps"]]
-        rep = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["reps"]])
-        task = int(pdf["task"].iloc[0])
-        if task // span == task % span:
-            label = trie_links(keys[0], None, radius)
-        elif len(keys) == 2:
-            label = trie_links(keys[0], keys[1], radius)
-        else:
-            return pd.DataFrame({"a": rep[:0], "b": rep[:0]})
-        low = rep.copy()
-        np.minimum.at(low, label, rep)
-        root = low[label]
-        linked = root != rep
-        return pd.DataFrame({"a": rep[linked], "b": root[linked]})
-
-    return dealt.groupBy("task").applyInPandas(join, "a long, b long").distinct()
+    grouped = dealt(classes, radius, block).groupBy("deal", "prefix", "low", "high")
+    return grouped.applyInPandas(lambda pdf: forest_of(pdf, radius), "a long, b long").distinct()
 
 
 def star_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -224,7 +244,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row.
 
     Null and empty texts have fingerprint zero and link like any other; a row whose id is null takes no
-    part and is left out; repeated rows give repeated results; an empty table gives an empty result.
+    part and is left out; ids of any size are exact.  Repeated rows give repeated results; of rows with one
+    id and different texts, each has its own component.  A very long text is read whole.  A bit set in
+    exactly half of the hashes is 0.  An empty table gives an empty result; other columns, whatever their
+    names, are not read.
     """
     spark = docs.sparkSession
     prints = stored(fingerprints(docs, id_col, text_col, width), "fingerprints")
@@ -235,12 +258,18 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(named, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The rows of each component's smallest id, with all their columns; rows without an id stay.
+def keep_representatives(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """The rows of each component's smallest id, with all their columns, and rows without an id.
 
-    Repeated rows of that id are one document and stay together.
+    The ids that go are held by each task if there are at most MAX_GONE, so that no text moves; otherwise
+    the texts move once, to their ids.  Repeated rows of a kept id are one document and stay together.
     """
-    found = simhash_components(docs, id_col, text_col, **options)
-    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
-    kept = docs.join(chosen, docs[id_col].cast("long") == chosen["__chosen"], "left_semi")
-    return kept.union(docs.where(docs[id_col].isNull()))
+    own = found.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("own"))
+    gone = stored(own.where("own = 0").select(F.col("doc_id").alias("__gone")), "gone")
+    gone = F.broadcast(gone) if gone.count() <= MAX_GONE else gone
+    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
+    """``keep_representatives`` by components of fingerprints."""
+    return keep_representatives(docs, simhash_components(docs, id_col, text_col, **options), id_col)

@@ -5,7 +5,9 @@ keeps its rows (the forward index) and the largest and smallest component of eac
 sum over terms of the larger of ``q * max`` and ``q * min`` bounds every score in a block.  Blocks are
 visited by falling bound, and a query stops once a bound falls below its k-th score so far.
 
-The queries come in chunks of bounded size; a chunk is broadcast and meets all rows in one pass.
+Blocks are built once, written with their bounds and forward indexes, and so are the queries, in chunks of
+bounded size.  One stage then runs a grid of query chunk and group of index files; a task reads its files
+one after the other and carries each query's k best, whose last prunes the next block.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import map_slices, written
+
 BLOCK = 64
+#: Queries in a chunk, and vectors in a row of the index.
 CHUNK = 2048
+INDEXED = 4096
 
 
 def order_by_splits(x: np.ndarray, block: int = BLOCK) -> np.ndarray:
@@ -46,8 +52,8 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
 class Blocks:
     """Blocks of integer vectors of one length, with their forward indexes and term bounds."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, block: int = BLOCK) -> None:
-        order = order_by_splits(x, block)
+    def __init__(self, ids: np.ndarray, x: np.ndarray, block: int = BLOCK, ordered: bool = False) -> None:
+        order = slice(None) if ordered else order_by_splits(x, block)
         self.ids, self.x = ids[order], x[order]
         self.starts = np.arange(0, len(ids), block)
         self.stops = np.append(self.starts[1:], len(ids))
@@ -84,6 +90,38 @@ def matrices(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield ids[at], np.stack(x.iloc[at].to_numpy()).astype(np.float64) if size else np.zeros((len(at), 0))
 
 
+def packed(rows: DataFrame, at_once: int, order: int | None) -> DataFrame:
+    """(dims, ids, x): vectors of one length, at most ``at_once`` in a row, as bytes; in the order of blocks if one is given."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for ids, x in matrices(pdf):
+                if order:
+                    by = order_by_splits(x, order)
+                    ids, x = ids[by], x[by]
+                out.append((x.shape[1], ids.tobytes(), x.tobytes()))
+            yield pd.DataFrame(out, columns=["dims", "ids", "x"])
+
+    return map_slices(rows, run, PACKED, rows=at_once)
+
+
+PACKED = "dims int, ids binary, x binary"
+
+
+def unpacked(path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of each row of a file of ``packed``, a few at a time."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    disk, at = fs.FileSystem.from_uri(path)
+    with disk.open_input_file(at) as f:
+        for batch in pq.ParquetFile(f).iter_batches(batch_size=4):
+            for dims, ids, x in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                keys = np.frombuffer(ids, np.int64)
+                yield keys, np.frombuffer(x, np.float64).reshape(len(keys), dims)
+
+
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """vec_id, x: floor(scale * component) of the vectors that are whole and finite."""
     x = F.transform(F.col(vec_col), lambda v: v.cast("double"))
@@ -96,39 +134,40 @@ def exact_top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 25
     """query_id, rank, vec_id, score: the k best rows for each row whose id is divisible by ``every``.
 
     Scores are exact integers as long as they stay below 2**53.  Ties go to the smaller id; all rows with
-    the query's id are its own and left out; repeated ids count as many candidates.  Vectors that are null
-    or hold null or non-finite components, and null ids, take no part.  Only vectors of equal length are
-    compared; those without components score 0.  An empty table gives an empty result.
+    the query's id are its own and left out; repeated ids count as many candidates, and of the vectors of a
+    repeated query id the least one (in the order of its components) asks.  Vectors that are null or hold
+    null or non-finite components, and null ids, take no part.  Only vectors of equal length are compared,
+    however long; those without components score 0.  An empty table gives an empty result; other columns,
+    whatever their names, are not read.
     """
     spark = vectors.sparkSession
     rows = quantised(vectors, id_col, vec_col, scale)
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    n = vectors.where(F.col(id_col) % every == 0).count()
-    parts = max(1, -(-n // chunk))
-    found = None
-    for part in range(parts):
-        mine = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).toPandas()
-        if not len(mine):
-            continue
-        sent = spark.sparkContext.broadcast([(i, q) for i, q in matrices(mine)])  # about ``chunk`` vectors
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            none = np.empty(0, np.int64), np.empty(0)
-            for pdf in batches:
-                for ids, x in matrices(pdf):
-                    index = Blocks(ids, x, block)
-                    for own, q in sent.value:
-                        if q.shape[1] == x.shape[1]:
-                            bounds = np.maximum(q, 0) @ index.high.T + np.minimum(q, 0) @ index.low.T
-                            for i, o in enumerate(own.tolist()):
-                                best[o] = index.search(o, q[i], bounds[i], *best.get(o, none), k)
-            out = [(o, i, s) for o, (ids, scores) in best.items() for i, s in zip(ids.tolist(), scores.tolist(), strict=True)]
-            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
-
-        local = rows.mapInPandas(run, "query_id long, vec_id long, score long")
-        found = local if found is None else found.union(local)
-    if found is None:
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
+    index = written(packed(rows, INDEXED, block), "index")[0].inputFiles()
+    asking = written(packed(asked, chunk, None), "queries")[0].inputFiles()
+    if not index or not asking:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    groups = min(len(index), max(1, -(-4 * spark.sparkContext.defaultParallelism // len(asking))))
+    cells = [(q, index[g::groups]) for q in asking for g in range(groups)]  # names of files only
+    grid = spark.createDataFrame(cells, "asking string, index array<string>").repartition(len(cells), "asking", F.col("index")[0])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        none = np.empty(0, np.int64), np.empty(0)
+        for pdf in batches:
+            for asked_in, files in zip(pdf["asking"], pdf["index"], strict=True):
+                sent = list(unpacked(asked_in))
+                best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+                for path in files:
+                    for ids, x in unpacked(path):
+                        blocks = Blocks(ids, x, block, ordered=True)
+                        for own, q in sent:
+                            if q.shape[1] == x.shape[1]:
+                                bounds = np.maximum(q, 0) @ blocks.high.T + np.minimum(q, 0) @ blocks.low.T
+                                for i, o in enumerate(own.tolist()):
+                                    best[o] = blocks.search(o, q[i], bounds[i], *best.get(o, none), k)
+                out = [(o, i, s) for o, (ids, scores) in best.items() for i, s in zip(ids.tolist(), scores.tolist(), strict=True)]
+                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
+
+    found = map_slices(grid, run, "query_id long, vec_id long, score long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

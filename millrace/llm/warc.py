@@ -21,13 +21,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh_path, small_batches, stored
+from millrace.llm.common import exact_ids, frame_of, fresh_path, map_slices, stored
 
 MAGIC = 0x184D2A5D
 DICT_BYTES = 64 << 10
 SAMPLE_BYTES = 2 << 20
 ROLL_BYTES = 32 << 20
 TASK_BYTES = 64 << 20
+#: Shared payloads (about 80 bytes each) that a task may hold; beyond that, pages are joined to them by digest and salt.
+MAX_HELD = 200_000
+SALT = 32
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -62,7 +65,10 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to
 
 
 def build_dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
-    """Trained on an even sample of the records; the first bytes of records where that is too little to train on."""
+    """Trained on an even sample of the records, of each at most its first 64 KiB; the first bytes of records where that is too little.
+
+    The sample decides how well records compress, never what they hold.
+    """
     size = sum(map(len, records))
     stride = max(1, -(-size // SAMPLE_BYTES))
     sample = [r[: 64 << 10] for r in records[::stride]]
@@ -117,18 +123,28 @@ def filesystem(uri: str):  # noqa: ANN201
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
     """Write all pages; the table of archives (path, records, bytes), stored, so that archives are written once.
 
-    Only digests and ids are grouped; a payload moves once, by its page's id, so that neither a frequent
-    payload nor a host can fill a task.  An archive's name has its task attempt in it; archives of lost
-    attempts are in no row of the table and are never read.
+    Digests are counted before they move.  The digests that several pages share are held by each task if
+    there are at most ``MAX_HELD``, and then no payload moves: pages are written in the order of their
+    scan.  Otherwise pages move once, by digest and salt, to a partition for each ``TASK_BYTES`` of
+    payloads, so that a frequent payload fills no task.  An archive's name has its task attempt in it;
+    archives of lost attempts are in no row of the table and are never read.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
-    keys = rows.where(F.octet_length("html") >= min_bytes).where("page_id is not null").select("page_id", "digest")
-    first = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    known = keys.join(first, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    digest = F.unhex(F.sha1(payload.cast("binary")))
+    shareable = F.col("page_id").isNotNull() & (F.octet_length("html") >= min_bytes)
+    plain = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("html"), digest.alias("digest"))
+    rows = plain.withColumn("digest", F.when(shareable, F.col("digest")))
+    counted = rows.where("digest is not null").groupBy("digest").agg(F.min("page_id").alias("least"), F.max("page_id").alias("refers_to"))
+    first = stored(counted.where("least < refers_to").select("digest", "refers_to"), "shared-payloads")
     total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))  # else small tasks make small archives
-    marked = rows.join(known, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to").coalesce(int(tasks))
+    tasks = int(max(pages.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES)))
+    if first.count() <= MAX_HELD:
+        joined = rows.join(F.broadcast(first), "digest", "left").coalesce(tasks)  # fewer tasks only: else small ones make small archives
+    else:
+        salt = F.pmod(F.xxhash64("page_id"), F.lit(SALT)).cast("int")
+        salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        joined = rows.withColumn("salt", F.coalesce(salt, F.lit(0))).repartition(tasks, "digest", "salt").join(salted.repartition(tasks, "digest", "salt"), ["digest", "salt"], "left")
+    marked = joined.select("page_id", "url", "html", F.when(F.col("page_id") != F.col("refers_to"), F.col("refers_to")).alias("refers_to"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
@@ -149,8 +165,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             return found
 
         for pdf in batches:
-            ids, refs = (pdf[c].astype("Int64").astype(object).where(pdf[c].notna(), None) for c in ("page_id", "refers_to"))
-            for page_id, url, html, ref in zip(ids, pdf["url"], pdf["html"], refs, strict=True):
+            for page_id, url, html, ref in zip(exact_ids(pdf["page_id"]), pdf["url"], pdf["html"], exact_ids(pdf["refers_to"]), strict=True):
                 records.append(build_record(page_id, url if isinstance(url, str) else None, html.encode("utf-8", "replace"), ref))
                 size += len(records[-1])
                 if size >= ROLL_BYTES:
@@ -158,7 +173,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if records:
             yield roll()
 
-    return stored(marked.mapInPandas(write, "path string, records long, bytes long"), "archives")
+    return stored(map_slices(marked, write, "path string, records long, bytes long"), "archives")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -181,17 +196,18 @@ def read_archives(archives: DataFrame) -> DataFrame:
                             raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
                         page, ref = fields.get("X-Page-ID"), fields.get("X-Refers-To-Page-ID")
                         rows.append((page and int(page), size, digest, kind, ref and int(ref), fields.get("WARC-Target-URI")))
-                frame = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri"])
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield frame_of(rows, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri"], ("page_id", "refers_to"))
 
-    return archives.select("path").mapInPandas(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string")
+    return map_slices(archives.select("path"), read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string")
 
 
 def warc_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
     """Write every page to archives in the shared folder and read them back: one row per page.
 
-    A null html counts as empty.  A page without an id is a response of its own.  Repeated rows of the
-    largest id of a payload are all responses.  An empty table gives no archive and no row.
+    A null html counts as empty.  A page without an id is a response of its own; ids of any size are exact.
+    Repeated rows of the largest id of a payload are all responses.  A very long page is one record, in an
+    archive that may exceed ROLL_BYTES by it.  An empty table gives no archive and no row.  Other columns,
+    whatever their names, are neither read nor kept.
     """
     folder = fresh_path(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, folder, id_col, url_col, html_col, min_bytes))

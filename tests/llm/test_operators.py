@@ -121,13 +121,76 @@ def test_threshold_of_the_kth_key(spark, k):
 def test_importance_keeps_clean_texts(spark, data, awkward):
     docs, labels = queries.table(spark, data, "documents"), queries.table(spark, data, "labels")
     r = queries.op2_importance(spark, data).toPandas().merge(labels.toPandas(), on="doc_id")
-    assert r[r.quality == 1].kept.mean() > 0.97 and r[r.quality == 0].kept.mean() < 0.5
+    assert r[r.quality == 1].kept.mean() > 0.95 and r[r.quality == 0].kept.mean() < 0.5
     assert {x["doc_id"] for x in importance.accepted(docs, labels).collect()} == {x["doc_id"] for x in importance.resample(docs, labels).where("kept").collect()}
     assert importance.resample(awkward, labels.limit(0)).where("not kept").count() == 0
     assert importance.resample(awkward.limit(0), labels).count() == 0
     assert importance.accepted(awkward, labels.selectExpr("doc_id % 5 AS doc_id", "quality", "toxic")).columns == awkward.columns
 
 
+def grams_by_hand(text):
+    mask, out = (1 << 64) - 1, Counter()
+    data = (text or "").encode()
+    for n in (3, 4, 5):
+        for i in range(len(data) - n + 1):
+            x = (int.from_bytes(data[i : i + n], "big") * 8 + n) & mask
+            x ^= x >> 31
+            x = x * 0x9E3779B97F4A7C15 & mask
+            x ^= x >> 29
+            x = x * 0xD6E8FEB86659FD93 & mask
+            out[(x ^ x >> 32) >> 48] += 1
+    return out
+
+
+def test_resampling_equals_brute_force(spark):
+    rng = random.Random(11)
+    good = [prose(rng.randrange(20, 60), rng) for _ in range(60)]
+    odd = ["".join(rng.choice("#$%&zq 0") for _ in range(rng.randrange(0, 300))) for _ in range(40)]
+    mixed = [f"{g[:200]} {o[: 4 * i]}" for i, (g, o) in enumerate(zip(good[:40], odd, strict=True))]  # from good to odd by steps
+    texts = [*good, *odd, *mixed, None, "", good[0], "日本語" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    aimed = {i for i in range(0, 140, 2) if i < 60 or 100 <= i < 112}
+    labels = spark.createDataFrame([(i, int(i in aimed)) for i in range(0, 140, 2)], "doc_id long, quality int")
+    grams = [grams_by_hand(t) for t in texts]
+    raw, target = sum(grams, Counter()), sum((g for i, g in enumerate(grams) if i in aimed), Counter())
+    p, q = sum(target.values()) + importance.BUCKETS, sum(raw.values()) + importance.BUCKETS
+    ratio = {b: np.log((target[b] + 1) / p / ((raw[b] + 1) / q)) for b in raw}
+    weight = [round(sum(ratio[b] * n for b, n in g.items()), 6) for g in grams]
+    value = [w * min(1, 256 / max(1, sum(g.values()))) for w, g in zip(weight, grams, strict=True)]
+    aims = sorted(v for i, v in enumerate(value) if i in aimed)
+    cut = aims[int(0.005 * (len(aims) - 1))]
+    k = sum(v >= cut for v in value)
+    plain = set(sorted(range(len(texts)), key=lambda i: (-value[i], i))[:k])
+    noise = lambda i, seed: -np.log(-np.log(((np.uint64(hashes[seed][i]) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53))
+    hashes = {seed: {r[0]: r[1] & (1 << 64) - 1 for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(seed))).collect()} for seed in range(12)}
+    kept_of = []
+    for seed in range(12):
+        key = [v / importance.TEMPERATURE + noise(i, seed) for i, v in enumerate(value)]
+        want = set(sorted(range(len(texts)), key=lambda i: (-key[i], i))[:k])
+        if seed < 3:
+            rows = importance.resample(docs, labels, seed=seed).collect()
+            assert all(abs(r["log_weight"] - weight[r["doc_id"]]) < 1e-4 and abs(r["key"] - key[r["doc_id"]]) < 1e-4 and r["n_grams"] == sum(grams[r["doc_id"]].values()) for r in rows)
+            assert {r["doc_id"] for r in rows if r["kept"]} == want
+        kept_of.append(want)
+    assert any(w != plain for w in kept_of)  # the draw decides, not the weights alone
+    often = np.array([sum(i in w for w in kept_of) for i in range(len(texts))])
+    order = np.argsort(value)
+    border = order[len(order) - k - 6 : len(order) - k + 6]
+    assert often[order[-50:]].mean() > often[border].mean() > often[order[:20]].mean()
+
+
+def test_the_draw_decides_on_the_table(spark):
+    docs, labels = (queries.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    kept = []
+    for seed in (1, 2):
+        r = importance.resample(docs, labels, seed=seed).toPandas().sort_values("doc_id")
+        value = r.log_weight * np.minimum(1, 256 / np.maximum(1, r.n_grams))
+        plain = set(r.doc_id.to_numpy()[np.lexsort((r.doc_id, -value))[: r.kept.sum()]])
+        kept.append(set(r.doc_id[r.kept]))
+        assert 0.002 * len(r) <= len(plain ^ kept[-1]) <= 0.1 * len(r)
+    assert kept[0] != kept[1]
+
+
 # ---------------------------------------------------------------- 3
 
 
@@ -275,6 +338,45 @@ def test_article_of_nested_divs_is_whole():
         assert html.extract(page, []) == html.extract(page, [html.vote(page)]) == want
 
 
+LINES = "body text of the post, which goes on for a while. " * 6
+READERS = "<div class='comments'><p>" + "A reader comment, longer than the article. " * 20 + "</p></div>"
+WHOLE = [
+    f'<div class="layout has-sidebar"><div class="post"><h1>T</h1><p>{LINES}</p></div></div>', f'<div id="content-with-comments"><article><h1>T</h1><p>{LINES}</p></article>{READERS}</div>',
+    f'<div id="content-with-comments"><div class="post"><h1>T</h1><p>{LINES}</p></div>{READERS}</div>', f'<div class="page no-ads"><main><h1>T</h1><p>{LINES}</p></main></div>',
+    f'<div class="page no-ads"><h1>T</h1><p>{LINES}</p></div>', f'<form action="x"><div class="c"><h1>T</h1><p>{LINES}</p></div><input><button>Go</button></form>', f'<nav>menu</nav><form><article><h1>T</h1><p>{LINES}</p></article></form>',
+    f'<article><div class="entry-header"><h1>T</h1></div><p>{LINES}</p></article>', f'<div class="post"><div class="entry-header"><h1>T</h1></div><div class="entry"><p>{LINES}</p></div></div>', f'<article><header><h1>T</h1></header><p>{LINES}</p></article>',
+    f'<header><h1>Site</h1><nav>x</nav></header><div class="post"><header><h1>T</h1></header><p>{LINES}</p></div>', f'<div class="post comments-open"><h1>T</h1><p>{LINES}</p></div>{READERS}',
+    f'<div class="post"><h1>T</h1><p title="the hidden valley">{LINES}</p><p hidden>no</p><p style="display: none">no</p><p aria-hidden="true">no</p></div>',
+    f'<div class="post"><h1>T</h1><p>body <span hidden>no<b>no</b></span>{LINES[5:]}</p></div>', f'<div class="post"><h1>T</h1><p>{LINES.strip()[:-1]}<label>.</label></p><object>no</object><svg><text>no</text></svg><dialog>no</dialog></div>',
+    f'<div class="post"><h1>T</h1><p>{LINES.strip()[:-1]}<math><mo>.</mo></math></p></div><div class="sidebar"><article class="teaser">{"tease " * 300}</article></div>',
+    f'<div class="wrap"><div class="post"><h1>T</h1><p>{LINES}</p></div><div class="related-posts"><h2>Rel</h2><p>{"tease " * 300}</p></div></div>',
+    f'<main><article class="post hentry"><header class="entry-header"><h1 class="header">T</h1></header><p>{LINES}</p><div class="share-buttons">Share</div><footer>me</footer></article><ol class="comment-list"><li><article class="comment-body">{"Nice. " * 400}</article></li></ol></main><aside>side</aside>',
+]
+
+
+@pytest.mark.parametrize("body", WHOLE)
+def test_articles_are_whole(body):
+    page = f"<html><body>{body}</body></html>"
+    assert html.extract(page, []) == html.extract(page, [html.vote(page)]) == "T\n\n" + LINES.strip()
+
+
+def test_pages_without_an_article_are_empty():
+    for body in ("<nav>Menu</nav>", READERS, "<div class='ad'>Buy this</div>", "<footer>Foot</footer>", "<p hidden>x</p>", "<script>x</script>"):
+        assert html.extract(f"<body>{body}</body>", []) == ""
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    for part in ("<b>x", "<i><div>", "<p><b>x", "<form>x", "<article>", "<div class=ad>x", "<li><span>", "<table><tr><td>"):
+        began = time.process_time()
+        html.extract(part * 8000, [])
+        assert time.process_time() - began < 5, part
+    began = time.process_time()
+    assert len(html.extract("<article><h1>T</h1>" + f"<p>{prose(40)}</p>" * 4000 + "</article>", [])) > 500_000
+    assert time.process_time() - began < 10
+
+
 def test_consensus_helps_a_page_that_votes_otherwise(spark, data):
     other = "<html><body><div class='x'><p>" + "teaser text " * 40 + "</p></div><div class='post'><p>Short.</p></div></body></html>"
     usual = "<html><body><div class='x'><p>t</p></div><div class='post'><p>" + "main text " * 40 + "</p></div></body></html>"
@@ -453,21 +555,47 @@ def test_toxicity(spark, data, awkward):
     assert toxicity.toxicity(awkward.limit(0), labels).count() == 0
 
 
-def test_counterfactuals_lower_the_weight_of_a_group():
-    rng = random.Random(4)
-    texts, labels = [], []
-    for i in range(400):
-        bad = i % 2
-        words = {rng.choice(WORDS) for _ in range(5)} | ({"idiot"} if bad and rng.random() < 0.8 else set()) | ({"muslim"} if rng.random() < (0.7 if bad else 0.1) else set()) | ({"christian"} if not bad and rng.random() < 0.6 else set())
-        texts.append(words)
-        labels.append(bad)
-    codes = lambda ws: np.array(sorted({c for w in ws for c in toxicity.codes_of(w)}), "<u4")
-    twins = [codes({toxicity.SWAP.get(w, w) for w in ws}) if not ws.isdisjoint(toxicity.SWAP) else None for ws in texts]
-    arrays = [codes(ws) for ws in texts]
-    fair = toxicity.fit(arrays, twins, np.array(labels))
-    unfair = toxicity.fit(arrays, twins, np.array(labels), fairness=0.0)
-    neutral = "a muslim neighbour"
-    assert unfair.score(neutral) > 0.5 > fair.score(neutral) and fair.score("idiot") > 0.5
+def test_counterfactual_sentences():
+    pairs = list(toxicity.counterfactuals("A muslim neighbour came. Nothing here.\nThe Woman and the man spoke!", 5))
+    assert pairs == [({"a", "muslim", "neighbour", "came"}, {"a", "christian", "neighbour", "came"}), ({"the", "woman", "and", "man", "spoke"}, {"the", "man", "and", "spoke"})]
+    mentioned = list(toxicity.counterfactuals("No group. At all.", 8))
+    assert len(mentioned) == 2 and mentioned[0][0] - mentioned[0][1] == {toxicity.TERMS[1]} and mentioned[1][1] - mentioned[1][0] == {toxicity.SWAP[toxicity.TERMS[1]]}
+    assert [list(toxicity.counterfactuals(t, 1)) for t in (None, "", " .\n")] == [[], [], []]
+
+
+def test_the_penalty_is_minimised(spark):
+    """The fit against a plain descent on the same sum."""
+    rng = np.random.default_rng(2)
+    x, y = np.hstack([rng.integers(0, 2, (60, 4)), np.ones((60, 1))]).astype(float), rng.integers(0, 2, 60).astype(float)
+    left, right = x[:20].copy(), x[:20].copy()
+    right[:, 0], right[:, 1] = left[:, 1], left[:, 0]
+    w = toxicity.newton(x, y, np.ones(60), (left, right), np.zeros(5), 0.3, 10.0, 60)
+    sig = lambda z: 1 / (1 + np.exp(-z))
+
+    def value(v):
+        return (np.logaddexp(0, x @ v) - y * (x @ v)).sum() + (0.3 * v[:-1] ** 2).sum() / 2 + 1e-6 * v[-1] ** 2 / 2 + 5 * ((sig(left @ v) - sig(right @ v)) ** 2).sum()
+
+    v, step = np.zeros(5), 0.5
+    while step > 1e-7:
+        better = [v + d for d in step * np.vstack([np.eye(5), -np.eye(5)]) if value(v + d) < value(v)]
+        v, step = (min(better, key=value), step) if better else (v, step / 2)
+    assert value(w) <= value(v) + 1e-6
+
+
+def test_counterfactuals_lower_false_positives_on_mentions(spark):
+    """Texts of the table, in which toxic ones mention a group far more often than clean ones do."""
+    docs, labels = (queries.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(100))
+    biased = docs.join(labels, "doc_id", "left").withColumn("text", F.when(((F.col("toxic") == 1) & (share < 90)) | ((F.col("toxic") == 0) & (share < 2)), F.concat("text", F.lit(" muslim."))).otherwise(F.col("text"))).select("doc_id", "text")
+    clean = [r["text"] or "" for r in docs.join(labels, "doc_id").where("toxic = 0").select("text").collect()]
+    insulting = [r["text"] for r in docs.join(labels, "doc_id").where("toxic = 1").select("text").collect()]
+    scores = {}
+    for fairness in (0.0, toxicity.FAIRNESS):
+        model = toxicity.train(biased, labels, fairness=fairness)
+        scores[fairness] = np.array([model.score(f"{t} muslim") for t in clean]), np.array([model.score(t) for t in insulting])
+    unfair, fair = scores[0.0], scores[toxicity.FAIRNESS]
+    assert (fair[0] >= 0.5).mean() < 0.5 * (unfair[0] >= 0.5).mean() and fair[0].mean() < unfair[0].mean()
+    assert (fair[1] >= 0.5).mean() > 0.5
 
 
 # ---------------------------------------------------------------- 10
@@ -479,10 +607,12 @@ def test_pieces_equal_the_library(spark, data, awkward):
     sp = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer("piece_bpe_32k.model"))
     model = pieces.PieceModel(queries.tokenizer("piece_bpe_32k.model"))
     alphabet = "ab cdeéßΣ \t\n.!?'<|>0123日本𠀀▁▁  the<s>"
-    texts = ["".join(RNG.choice(alphabet) for _ in range(RNG.randint(0, 60))) for _ in range(500)] + ["a" * 2000, "  " * 700, "ab" * 900, "�\x00", LONG]
+    texts = ["".join(RNG.choice(alphabet) for _ in range(RNG.randint(0, 60))) for _ in range(500)] + ["a" * 20_000, "  " * 7000, " " * 501 + "the" + " " * 99, "ab" * 9000, "�\x00", LONG, "日本語のテキストはスペースなし" * 1500, "".join(RNG.choice(["the", "community", "understand", "ing"]) for _ in range(3000))]
     for x, ids in zip(texts, model.encode(texts), strict=True):
         assert ids.tolist() == sp.encode(x, add_bos=True, add_eos=True)
         assert model.decode(ids) == sp.decode(ids.tolist())
+    next(model.encode(["".join(RNG.choice(["nation", "fox", "working"]) for _ in range(3000))]))
+    assert 0 < model.rounds < 1000  # of many thousand merges
     for _ in range(200):
         ids = np.array([RNG.choice([RNG.randrange(3, 259), RNG.randrange(259, 32000)]) for _ in range(12)])
         assert model.decode(ids) == sp.decode(ids.tolist())
@@ -496,6 +626,74 @@ def test_pieces_equal_the_library(spark, data, awkward):
     assert pieces.encode_texts(awkward.limit(0), queries.tokenizer("piece_bpe_32k.model")).count() == 0
 
 
+# ---------------------------------------------------------------- ids
+
+
+BIG = 2**53
+
+
+def test_ids_of_any_size_survive_beside_a_null(spark, data):
+    """Each operator over one batch that holds a null id, ids that no double can hold, and clashing column names."""
+    import corpus_pipeline as C
+
+    ids = [BIG + 1, BIG + 3, None, -BIG - 1, 2**63 - 1]
+    texts = [prose(70), prose(70), prose(70), PASSAGE, f"{PASSAGE} {prose(60)}"]
+    clash = "a AS doc_id2, 'x' AS digest, 1L AS refers_to, 'h' AS host, 'f' AS fp, 1 AS rep, true AS kept, 'k' AS __gone, 1L AS code"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1) for i, t in zip(ids, texts, strict=True)], "doc_id long, text string, lang string, source string, n_chars long, a int").coalesce(1).selectExpr("doc_id", "text", "lang", "source", "n_chars", *clash.split(", "))
+    labels = spark.createDataFrame([(BIG + 1, 1, 0), (BIG + 3, 1, 1), (2**63 - 1, 0, 1)], "doc_id long, quality int, toxic int")
+    pages = docs.selectExpr("doc_id AS page_id", "'http://h/' AS url", "concat('<article><p>', text, '</p></article>') AS html", "digest", "refers_to", "host")
+    name = queries.tokenizer
+    some, every = Counter(i for i in ids if i is not None), Counter(ids)
+    found = {
+        "op1": suffix.cut_spans(docs), "op3": warc.warc_round_trip(pages), "op5": packing.pack(docs, name("word_bpe_49k.json")), "op6": html.main_text(pages), "op8": repetition.repetition_rules(docs),
+        "op9": toxicity.toxicity(docs, labels), "op10": pieces.encode_texts(docs, name("piece_bpe_32k.model")),
+    }
+    for op, df in found.items():
+        column = "page_id" if op in ("op3", "op6") else "doc_id"
+        seen = [r[0] for r in df.select(column).collect()]
+        assert Counter(set(seen) if op == "op5" else seen) == every, op
+    assert Counter(r["doc_id"] for r in importance.resample(docs, labels).collect()) == some
+    assert Counter(r["doc_id"] for r in simhash.simhash_components(docs).collect()) == some
+    same = pages.withColumn("html", F.lit("one payload"))
+    assert {(r["page_id"], r["refers_to"]) for r in warc.warc_round_trip(same).collect()} == {(i, 2**63 - 1 if i is not None and i != 2**63 - 1 else None) for i in ids}
+    vectors = spark.createDataFrame([(i, [1.0, 2.0]) for i in [*ids, 50 * (BIG // 50 + 1)]], "vec_id long, embedding array<float>")
+    assert {r["vec_id"] for r in topk.exact_top_k(vectors).collect()} == set(some)
+    for label, stage in C.STAGES:
+        assert {r["doc_id"] for r in stage(spark, docs, data).select("doc_id").collect()} <= set(ids), label
+
+
+def test_archives_by_digest_and_salt(spark, data, monkeypatch):
+    want = pdf(queries.op3_warc(spark, data))
+    monkeypatch.setattr(warc, "MAX_HELD", -1)
+    monkeypatch.setattr(warc, "TASK_BYTES", 1 << 16)
+    assert pdf(queries.op3_warc(spark, data)).equals(want)
+
+
+def test_deals_meet_every_pair_and_copies_stay_linear(spark):
+    assert [len(simhash.deals(n, 3, 8192)[0]) for n in (10, 10**6, 10**8, 10**11)] == [4, 4, 4, 10]
+    rng = np.random.default_rng(3)
+    fps = rng.permutation(np.unique(rng.integers(-(2**63), 2**63 - 1, 4000, dtype=np.int64)))
+    classes = spark.createDataFrame(pd.DataFrame({"fp": fps, "rep": np.arange(len(fps))}))
+    copies = [simhash.dealt(classes.limit(n), 3, 64).count() / n for n in (500, 3900)]
+    assert max(copies) <= 4 * 2  # a class in each deal, and in a few chunks
+
+
+def test_session_settings_stay(spark, data):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    queries.op8_repetition(spark, data).count()
+    assert spark.conf.get(key) == before
+
+
+def test_no_folder_of_its_own_on_a_cluster():
+    from types import SimpleNamespace
+
+    from millrace.llm.common import shared_dir
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
 # ---------------------------------------------------------------- pipeline
 
 
