@@ -6,10 +6,12 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a docu
    least.  Equal windows name equal anchors.  Consecutive windows with one anchor form a segment.  The
    documents are dealt to units by a hash of their id; a unit tells each bucket of anchors which anchors
    it has, once, however often they occur.  An anchor that no two documents share starts no match.
-2. Index.  The segments of shared anchors go to the bucket of their anchor, equal ones of a unit once.
-   There they come in order of their smallest document, in batches.  A batch gets a suffix array of its
-   windows (sorted to LENGTH bytes), which is merge-scanned against the existing levels for equal
-   windows; what is new becomes a level, and levels of like size merge, so that there are O(log n).
+2. Index.  A unit sorts its segments of shared anchors as suffixes; of equal neighbours the smallest document
+   stands for all.  The distinct ones go to the bucket of their anchor.  There they come in order of their
+   smallest document, in batches.  A batch gets the suffix array of its segments, which is merged with
+   that of each level: the neighbours of a suffix in the merged order give the longest string, of LENGTH
+   bytes or more, that starts in an earlier document.  What no level has becomes a level, and levels of
+   like size merge, so that there are O(log n).
 3. Cuts.  Each unit gets the matched windows of its segments back and cuts the spans out of its texts.
 
 All three steps read one exchange of the texts.  Between them go only anchors and the segments of shared
@@ -35,7 +37,14 @@ SPREAD = LENGTH - ANCHOR + 1
 LOW = np.uint64(63)
 PIECE = 1 << 18
 UNIT_BYTES = 6 << 20
+#: Partitions of the texts at most; beyond that a partition has several units, which are still read one at a time.
+MAX_PARTS = 20_000
+#: Units for each bucket of anchors.
+UNITS = 2
 BATCH = 1 << 18
+#: The longest segment, and the bytes of a key: a segment or suffix, filled up with zeros, and its length.
+WIDE = LENGTH + SPREAD - 1
+KEY = f"S{WIDE + 1}"
 
 # ---------------------------------------------------------------- segments of a unit
 
@@ -135,96 +144,151 @@ class Unit:
             return anchor, np.empty(0, bool)
         return anchor[start], np.maximum.reduceat(doc, start) != np.minimum.reduceat(doc, start)
 
-    def shared(self, anchors: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
-        """(anchor, text, first window in the text, windows, bytes) of the segments with one of the sorted anchors."""
-        if not len(anchors):
-            return
-        for data, text, shift, first, last, anchor in self.parts():
-            at = np.searchsorted(anchors, anchor)
-            hit = np.flatnonzero(anchors[np.minimum(at, len(anchors) - 1)] == anchor)
-            rows = zip(anchor[hit].tolist(), text[hit].tolist(), (first + shift)[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True)
-            for a, t, f, x, y in rows:
-                yield a, t, f, y - x + 1, data[x : y + LENGTH]
+    def shared(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, text, first window in the text, windows, key) of the segments with one of the sorted anchors."""
+        found = []
+        if len(anchors):
+            for data, text, shift, first, last, anchor in self.parts():
+                at = np.searchsorted(anchors, anchor)
+                hit = np.flatnonzero(anchors[np.minimum(at, len(anchors) - 1)] == anchor)
+                sizes = last[hit] - first[hit] + LENGTH
+                found.append((anchor[hit], text[hit], (first + shift)[hit], sizes - LENGTH + 1, keys_of(np.frombuffer(data, np.uint8), first[hit], sizes)))
+        if not found:
+            none = np.empty(0, np.int64)
+            return none.astype(np.uint64), none, none, none, np.empty(0, KEY)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-# ---------------------------------------------------------------- the index family
+# ---------------------------------------------------------------- suffixes
 
 
-class Family:
-    """Levels of sorted distinct windows with the smallest document of each; sizes at least double from level to level."""
+def keys_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sortable keys of strings in ``data``: their bytes, zeros up to WIDE, and the length, which parts strings that end in zeros."""
+    padded = np.concatenate((data, np.zeros(WIDE, np.uint8)))
+    out = np.empty((len(starts), WIDE + 1), np.uint8)
+    out[:, :WIDE] = np.lib.stride_tricks.sliding_window_view(padded, WIDE)[starts]
+    out[:, :WIDE][np.arange(WIDE) >= sizes[:, None]] = 0
+    out[:, WIDE] = sizes
+    return out.view(KEY).ravel()
 
-    def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, windows: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Index a batch; the smallest document, here or in an earlier batch, of each of its windows."""
-        order = np.argsort(windows, kind="stable")  # the batch's suffix array, to LENGTH bytes
-        ranked = windows[order]
-        start = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        size = np.diff(np.append(start, len(ranked)))
-        distinct, least = ranked[start], np.minimum.reduceat(docs[order], start)
-        fresh = np.ones(len(distinct), bool)
-        for known, first in self.levels:
-            at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-            same = known[at] == distinct
-            least[same] = np.minimum(least[same], first[at[same]])
-            fresh &= ~same
-        out = np.empty(len(windows), docs.dtype)
-        out[order] = np.repeat(least, size)
-        if fresh.any():
-            level = distinct[fresh], least[fresh]
-            while self.levels and len(self.levels[-1][0]) <= 2 * len(level[0]):
-                other = self.levels.pop()
-                both = np.concatenate((other[0], level[0]))
-                order = np.argsort(both, kind="stable")
-                level = both[order], np.concatenate((other[1], level[1]))[order]
-            self.levels.append(level)
-        return out
-
-
-def windows_of(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of the segments in order, and how many each has."""
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+def bytes_of(keys: np.ndarray) -> np.ndarray:
+    return keys.view(np.uint8).reshape(len(keys), WIDE + 1)
+
+
+def sizes_of(keys: np.ndarray) -> np.ndarray:
+    return bytes_of(keys)[:, WIDE].astype(np.int64)
+
+
+def suffixes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, segment, window) of all suffixes of LENGTH bytes or more."""
+    sizes = sizes_of(keys)
     counts = sizes - LENGTH + 1
-    begin = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
-    rows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[begin]
-    return np.ascontiguousarray(rows).view(f"S{LENGTH}").ravel(), counts
+    segment = np.repeat(np.arange(len(keys)), counts)
+    window = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    flat = np.ascontiguousarray(bytes_of(keys)[:, :WIDE]).ravel()
+    return keys_of(flat, segment * WIDE + window, sizes[segment] - window), segment, window
 
 
-def matched(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(units, segments, masks): which windows of the segments start in a document smaller than the segment's own.
+def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The length of the longest common prefix of each two keys."""
+    x, y = bytes_of(a), bytes_of(b)
+    differ = x[:, :WIDE] != y[:, :WIDE]
+    return np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), WIDE), np.minimum(x[:, WIDE], y[:, WIDE]))
 
-    ``rows`` are (document, unit, segment, bytes); bit i of a mask is the i-th window; masks of 0 are left out.
-    Equal segments are indexed once, for the smallest document.
-    """
-    rows.sort(key=lambda r: r[:3])
+
+def least_of(ranked: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each key of a suffix array, the smallest document of those that share its first LENGTH bytes."""
+    head = bytes_of(ranked)[:, :LENGTH]
+    start = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]).any(axis=1))))
+    return np.repeat(np.minimum.reduceat(docs, start), np.diff(np.append(start, len(ranked))))
+
+
+def distinct(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys in suffix order, smallest document of each, number of each given key among them): equal neighbours are one."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))[: len(ranked)]
+    start = np.flatnonzero(new)
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[start], np.minimum.reduceat(docs[order], start) if len(start) else docs[:0], number
+
+
+class Family:
+    """Levels: suffix arrays with the smallest document of each LENGTH-byte head; sizes at least double from level to level."""
+
+    def __init__(self) -> None:
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def scan(self, ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge a suffix array with each level.
+
+        For each suffix the longest match with a neighbour in the merged orders, and the smallest document
+        of any level with a match of LENGTH bytes or more, and of those that match the whole suffix.
+        """
+        longest = np.zeros(len(ranked), np.int64)
+        least = np.full(len(ranked), np.iinfo(np.int64).max)
+        whole = least.copy()
+        for known, first in self.levels:
+            place = np.searchsorted(known, ranked)  # of a sorted array: the positions of the merge
+            for at in (place, place - 1):
+                ok = np.flatnonzero((at >= 0) & (at < len(known)))
+                length = common(known[at[ok]], ranked[ok])
+                longest[ok] = np.maximum(longest[ok], length)
+                ok, length = ok[length >= LENGTH], length[length >= LENGTH]
+                least[ok] = np.minimum(least[ok], first[at[ok]])
+                ok = ok[length == sizes_of(ranked[ok])]
+                whole[ok] = np.minimum(whole[ok], first[at[ok]])
+        return longest, least, whole
+
+    def add(self, ranked: np.ndarray, docs: np.ndarray) -> None:
+        """A suffix array that becomes a level, and merges with those of like size."""
+        while self.levels and len(self.levels[-1][0]) <= 2 * len(ranked):
+            known, first = self.levels.pop()
+            both = np.concatenate((known, ranked))
+            order = np.argsort(both, kind="stable")  # two sorted runs: a merge
+            ranked, docs = both[order], np.concatenate((first, docs))[order]
+        if len(ranked):
+            self.levels.append((ranked, least_of(ranked, docs)))
+
+    def take(self, keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Masks of a batch of segments, each with its smallest document; no document is smaller than one of an earlier batch.
+
+        Bit i is set if the i-th window of the segment starts in a smaller document too.  A segment that an
+        earlier document has whole is one long match: its other suffixes need neither scan nor place.
+        """
+        ranked, least, number = distinct(keys, docs)
+        whole = self.scan(ranked)[2]
+        own = np.flatnonzero(whole >= least)  # a level that has all of the others already has their suffixes too
+        parts, segment, window = suffixes(ranked[own])
+        order = np.argsort(parts, kind="stable")
+        parts, segment, window = parts[order], segment[order], window[order]
+        of = least[own][segment]
+        longest, before, _ = self.scan(parts)
+        first = np.minimum(before, least_of(parts, of)) if len(parts) else before
+        masks = np.zeros(len(ranked), np.int64)
+        np.bitwise_or.at(masks, own[segment], (first < of).astype(np.int64) << window)
+        masks[whole < least] = (1 << (sizes_of(ranked[whole < least]) - LENGTH + 1)) - 1
+        fresh = longest < sizes_of(parts) if len(parts) else np.zeros(0, bool)
+        self.add(parts[fresh], of[fresh])
+        full = (1 << (sizes_of(keys) - LENGTH + 1)) - 1
+        return np.where(docs > least[number], full, masks[number])
+
+
+def matched(docs: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The mask of each segment: which of its windows start in a document smaller than its own, by batches of a family."""
+    order = np.argsort(docs, kind="stable")
+    sizes = np.cumsum(sizes_of(keys[order]) - LENGTH + 1)
     family = Family()
+    masks = np.zeros(len(keys), np.int64)
     at = 0
-    seen: dict[bytes, int] = {}
-    while at < len(rows):
-        batch: list[tuple[int, int, int, bytes]] = []
-        copies: list[tuple[int, int, int]] = []
-        size = 0
-        while at < len(rows) and size < BATCH:
-            row = doc, unit, segment, data = rows[at]
-            at += 1
-            if seen.setdefault(data, doc) < doc:  # an earlier document has the whole segment
-                copies.append((unit, segment, (1 << len(data) - LENGTH + 1) - 1))
-                continue
-            batch.append(row)
-            size += len(data) - LENGTH + 1
-        if copies:
-            yield tuple(np.array(x) for x in zip(*copies, strict=True))
-        if batch:
-            windows, counts = windows_of([b[3] for b in batch])
-            docs = np.repeat(np.array([b[0] for b in batch], np.int64), counts)
-            hit = family.add(windows, docs) < docs
-            start = np.cumsum(counts) - counts
-            bit = np.arange(len(docs)) - np.repeat(start, counts)
-            masks = np.add.reduceat(hit.astype(np.int64) << bit, start)
-            some = np.flatnonzero(masks)
-            yield np.array([batch[i][1] for i in some], np.int64), np.array([batch[i][2] for i in some], np.int64), masks[some]
+    while at < len(order):
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH, "right")))
+        part = order[at:end]
+        masks[part] = family.take(keys[part], docs[part])
+        at = end
+    return masks
 
 
 # ---------------------------------------------------------------- the plan
@@ -251,8 +315,10 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
     Columns named in ``carry`` follow as carry0, carry1 and so on.
 
     Null and empty texts have no bytes.  Rows with the same id never cut each other.  A row without an id
-    is compared with none and kept whole.  An empty table gives an empty result.  kept_text is the kept
-    bytes as UTF-8 without the characters that a cut has split.
+    is compared with none and kept whole; ids of any size are exact.  Repeated rows are cut alike.  A very
+    long text is read whole, with its unit.  An empty table gives an empty result; columns that are not in
+    ``carry`` are not read, whatever their names.  kept_text is the kept bytes as UTF-8 without the
+    characters that a cut has split.
     """
     whole_numbers = {c for c, kind in docs.dtypes if kind in ("bigint", "int")}  # as text on the way: nulls would make them doubles
     extra = [(docs[c].cast("string") if c in whole_numbers else docs[c]).alias(f"carry{i}") for i, c in enumerate(carry)]
@@ -260,11 +326,12 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *extra)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     units = int(max(1, -(-total // unit_bytes)))
-    texts = rows.where("doc_id is not null").select(F.pmod(F.xxhash64("doc_id"), F.lit(units)).cast("int").alias("unit"), "doc_id", "text", *others).repartition(units, "unit")
+    buckets = -(-units // UNITS)
+    texts = rows.where("doc_id is not null").select(F.pmod(F.xxhash64("doc_id"), F.lit(units)).cast("int").alias("unit"), "doc_id", "text", *others).repartition(min(units, MAX_PARTS), "unit")
 
     def tell(pdf: pd.DataFrame) -> pd.DataFrame:
         anchors, many = Unit(pdf).anchors()
-        out = [(b, anchors[at].tobytes(), many[at].tobytes()) for b, at in by_bucket(anchors, units)]
+        out = [(b, anchors[at].tobytes(), many[at].tobytes()) for b, at in by_bucket(anchors, buckets)]
         frame = pd.DataFrame(out, columns=["bucket", "numbers", "masks"])
         frame.insert(0, "unit", np.int32(pdf["unit"].iloc[0]))
         return frame
@@ -284,53 +351,44 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
         frame = pd.DataFrame(out, columns=["unit", "bucket", "numbers"])
         return frame.assign(kind=np.int8(0), masks=None)[["unit", "bucket", "kind", "numbers", "masks"]]
 
-    def numbered(unit: Unit, answers: pd.DataFrame) -> tuple[np.ndarray, dict[bytes, int], list[tuple]]:
-        """Shared anchors, the number of each distinct segment with one, and all such segments."""
+    def numbered(unit: Unit, answers: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        """The segments of shared anchors (anchor, text, first window, windows), the number of each among the distinct ones, those in suffix order, and their smallest documents."""
         blobs = [np.frombuffer(x, np.uint64) for x in answers.loc[answers["kind"] == 0, "numbers"]]
-        anchors = np.sort(np.concatenate(blobs)) if blobs else np.empty(0, np.uint64)
-        numbers: dict[bytes, int] = {}
-        found = [(a, t, f, n, numbers.setdefault(data, len(numbers))) for a, t, f, n, data in unit.shared(anchors)]
-        return anchors, numbers, found
+        anchor, text, first, count, keys = unit.shared(np.sort(np.concatenate(blobs)) if blobs else np.empty(0, np.uint64))
+        ranked, least, number = distinct(keys, unit.ids[text])
+        return anchor, text, first, count, number, ranked, least
 
     def send(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["bucket", "unit", "lengths", "docs", "numbers", "data", "size"]
         if not len(texts) or not len(answers):
             return pd.DataFrame(columns=columns)
-        unit = Unit(texts)
-        _, numbers, found = numbered(unit, answers)
-        size = len(numbers)
-        doc, anchor = np.full(size, np.iinfo(np.int64).max), np.zeros(size, np.uint64)
-        which = np.array([f[4] for f in found], np.int64)
-        np.minimum.at(doc, which, unit.ids[[f[1] for f in found]])
-        anchor[which] = np.array([f[0] for f in found], np.uint64)
-        contents = list(numbers)
+        own, _, _, _, number, ranked, least = numbered(Unit(texts), answers)
+        anchor = np.zeros(len(ranked), np.uint64)
+        anchor[number] = own
         packer = zstandard.ZstdCompressor(level=1)
         out = []
-        for b, at in by_bucket(anchor, units):
-            mine = sorted(at.tolist(), key=contents.__getitem__)
-            parts = [contents[i] for i in mine]
-            data = b"".join(parts)
-            out.append((b, int(texts["unit"].iloc[0]), np.array([len(p) for p in parts], np.uint8).tobytes(), doc[mine].tobytes(), np.array(mine, np.int32).tobytes(), packer.compress(data), len(data)))
+        for b, at in by_bucket(anchor, buckets):
+            at = np.sort(at)
+            raw, sizes = bytes_of(ranked[at]), sizes_of(ranked[at])
+            data = raw[:, :WIDE][np.arange(WIDE) < sizes[:, None]].tobytes()
+            out.append((b, int(texts["unit"].iloc[0]), sizes.astype(np.uint8).tobytes(), least[at].tobytes(), at.astype(np.int32).tobytes(), packer.compress(data), len(data)))
         return pd.DataFrame(out, columns=columns)
 
     def index(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple[int, int, int, bytes]] = []
         opener = zstandard.ZstdDecompressor()
+        docs, keys = [], []
         for r in pdf.itertuples():
-            data, at = opener.decompress(r.data, max_output_size=max(1, r.size)), 0
-            sizes = np.frombuffer(r.lengths, np.uint8).tolist()
-            for n, d, i in zip(sizes, np.frombuffer(r.docs, np.int64).tolist(), np.frombuffer(r.numbers, np.int32).tolist(), strict=True):
-                rows.append((d, r.unit, i, data[at : at + n]))
-                at += n
-        found = list(matched(rows))
-        bucket = int(pdf["bucket"].iloc[0])
-        out = []
-        if found:
-            units_, names, masks = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(units_, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(units_[order])) + 1):
-                if len(part):
-                    out.append((units_[part[0]], bucket, 1, names[part].astype(np.int32).tobytes(), masks[part].astype(np.uint32).tobytes()))
+            data, sizes = opener.decompress(r.data, max_output_size=max(1, r.size)), np.frombuffer(r.lengths, np.uint8).astype(np.int64)
+            docs.append(np.frombuffer(r.docs, np.int64))
+            keys.append(keys_of(np.frombuffer(data, np.uint8), np.cumsum(sizes) - sizes, sizes))
+        masks = matched(np.concatenate(docs), np.concatenate(keys))
+        out, at = [], 0
+        for unit, numbers in zip(pdf["unit"], pdf["numbers"], strict=True):
+            names = np.frombuffer(numbers, np.int32)
+            own = masks[at : at + len(names)]
+            at += len(names)
+            if (some := own != 0).any():
+                out.append((unit, int(pdf["bucket"].iloc[0]), 1, names[some].tobytes(), own[some].astype(np.uint32).tobytes()))
         return pd.DataFrame(out, columns=["unit", "bucket", "kind", "numbers", "masks"]).astype({"unit": "int32", "bucket": "int32", "kind": "int8"})
 
     kinds = dict(rows.dtypes)
@@ -357,15 +415,11 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
         unit = Unit(texts) if len(texts) else None
         if unit is None:
             return pd.DataFrame(columns=[*names, *others])
-        _, numbers, found = numbered(unit, answers)
-        columns = np.array([f[1:] for f in found], np.int64).reshape(-1, 4)
-        text, first, count, number = columns.T
-        least = np.full(len(numbers), np.iinfo(np.int64).max)
-        np.minimum.at(least, number, unit.ids[text])
-        masks = np.zeros(len(numbers), np.int64)
+        _, text, first, count, number, ranked, least = numbered(unit, answers)
+        masks = np.zeros(len(ranked), np.int64)
         for r in answers[answers["kind"] == 1].itertuples():
             masks[np.frombuffer(r.numbers, np.int32)] = np.frombuffer(r.masks, np.uint32)
-        # A segment that an earlier document of this unit has goes whole.
+        # Of equal segments of this unit, those of later documents are matched over their whole length.
         mask = np.where(unit.ids[text] > least[number], (1 << count) - 1, masks[number])
         row, bit = np.nonzero(mask[:, None] >> np.arange(SPREAD) & 1)
         starts = first[row] + bit

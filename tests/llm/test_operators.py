@@ -77,17 +77,30 @@ def test_suffix_dedup_on_tables(spark, data, awkward):
     assert carried.count() == len(AWKWARD) + 2 and dict(carried.dtypes)["carry0"] == "int"
 
 
+def keys_of(strings):
+    sizes = np.array([len(x) for x in strings], np.int64)
+    return suffix.keys_of(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(sizes) - sizes, sizes)
+
+
 def test_families_of_levels():
-    family = suffix.Family()
-    rng = np.random.default_rng(1)
-    seen = {}
-    for d in range(40):
-        windows = np.array([bytes(rng.integers(97, 99, 50, dtype=np.uint8)) if i % 2 else b"q" * 49 + bytes([97 + i % 5]) for i in range(60)], "S50")
-        found = family.add(windows, np.full(60, d))
-        for w, f in zip(windows, found, strict=True):
-            assert f == seen.setdefault(w, d)
+    """Every match, within a batch and across levels, comes from suffix arrays and equals brute force."""
+    rng = random.Random(1)
+    family, seen, lengths = suffix.Family(), {}, []
+    for d in range(60):
+        strings = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(50, 77))) if i % 3 else b"q" * rng.randrange(45, 70) + bytes([97 + i % 5]) * 6 for i in range(40)]
+        strings += [s[rng.randrange(3) :] for s in strings[:5] if len(s) > 53]
+        docs = np.array([2 * d + (i > 20) for i in range(len(strings))])
+        masks = family.take(keys_of(strings), docs)
+        for s, doc in zip(strings, docs, strict=True):
+            for i in range(len(s) - 49):
+                seen[s[i : i + 50]] = min(seen.get(s[i : i + 50], doc), doc)
+        for s, doc, mask in zip(strings, docs, masks, strict=True):
+            assert int(mask) == sum(1 << i for i in range(len(s) - 49) if seen[s[i : i + 50]] < doc)
+        lengths.append(family.scan(suffix.distinct(keys_of(strings), docs)[0])[0].max())
     sizes = [len(x[0]) for x in family.levels]
-    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False)) and sum(sizes) == len(seen)
+    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False)) and max(lengths) > 60  # longer than LENGTH
+    for ranked, _ in family.levels:
+        assert [bytes(x) for x in suffix.bytes_of(ranked)] == sorted(bytes(x) for x in suffix.bytes_of(ranked))
 
 
 def test_long_texts_are_cut_in_overlapping_pieces(monkeypatch):
