@@ -15,6 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from millrace.llm import html, importance, packing, pieces, queries, repetition, shingles, simhash, suffix, topk, toxicity, warc
+from millrace.llm.common import stored
 
 RNG = random.Random(7)
 WORDS = ["alpha", "beta", "gamma", "delta", "épsilon", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu", "nu", "xi"]
@@ -730,7 +731,7 @@ def test_pipeline(spark, data):
     names = docs.columns
     before = docs
     for name, stage in C.STAGES[:-1]:
-        after = C.stored(stage(spark, before, data), "test")
+        after = stored(stage(spark, before, data), "test")
         assert after.columns == names and after.dtypes == docs.dtypes, name
         assert 0 < after.count() <= before.count()
         before = after
