@@ -40,8 +40,8 @@ UNIT_BYTES = 6 << 20
 #: Partitions of the texts at most; beyond that a partition has several units, which are still read one at a time.
 MAX_PARTS = 20_000
 #: Units for each bucket of anchors.
-UNITS = 2
-BATCH = 1 << 18
+UNITS = 1
+BATCH = 1 << 16
 #: The longest segment, and the bytes of a key: a segment or suffix, filled up with zeros, and its length.
 WIDE = LENGTH + SPREAD - 1
 KEY = f"S{WIDE + 1}"
