@@ -131,6 +131,41 @@ def plant_comparisons() -> list[Comparison]:
 
 # ---------------------------------------------------------------- estimation
 
+
+def numbered(df: DataFrame, id_col: str, parts: int = 64) -> DataFrame:
+    """Rows numbered from 0 without a single sort: by a hash of the id, then by id; only the parts' counts meet."""
+    part = F.pmod(F.xxhash64(id_col), F.lit(parts))
+    dealt = df.withColumn("__part", part)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(id_col)) - 1
+    return dealt.withColumn("__within", within).join(F.broadcast(starts), "__part").withColumn("__number", F.col("__before") + F.col("__within")).drop("__part", "__within", "__before")
+
+
+def random_pairs(left: DataFrame, right: DataFrame, max_pairs: int = 1_000_000, seed: int = 17, id_col: str = "unique_id") -> DataFrame:
+    """Pairs at random, whatever their blocking keys: all of them if there are at most ``max_pairs``, else a seeded draw of about so many.
+
+    Pairs are drawn as numbers and joined to the numbered frames by equality: no product of the frames is made.
+    """
+    n, m = left.count(), right.count()
+    spark = left.sparkSession
+    many = min(n * m, max_pairs)
+    at = spark.range(many)
+    if n * m <= max_pairs:
+        pairs = at.select(F.floor(F.col("id") / F.lit(max(1, m))).cast("bigint").alias("__l"), (F.col("id") % F.lit(max(1, m))).alias("__r"))
+    else:
+        pick = lambda k, salt: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(salt)), F.lit(k))
+        pairs = at.select(pick(n, 0).alias("__l"), pick(m, 1).alias("__r")).distinct()
+    l, r = (sided(numbered(df, id_col), s) for df, s in ((left, "l"), (right, "r")))
+    return pairs.join(l, F.col("__l") == F.col("__number_l")).join(r, F.col("__r") == F.col("__number_r")).drop("__l", "__r", "__number_l", "__number_r")
+
+
+def u_from_random(pairs: DataFrame, comparisons: Sequence[Comparison]) -> dict[str, dict[int, float | None]]:
+    """u: the share of each level among pairs at random, which are overwhelmingly no matches."""
+    counts = patterns(pairs, comparisons)
+    return {c.name: shares(counts, i, sorted(c.labels())) for i, c in enumerate(comparisons)}
+
+
 Pattern = tuple[int, ...]
 
 
@@ -191,7 +226,7 @@ def expectation_maximisation(counts: dict[Pattern, int], names: Sequence[str], l
     return m
 
 
-def estimate(pairs: DataFrame, everything: DataFrame, comparisons: Sequence[Comparison], n_left: int, n_right: int, keys: Sequence[str] = KEYS) -> Weights:
+def estimate(pairs: DataFrame, random: DataFrame, comparisons: Sequence[Comparison], n_left: int, n_right: int, keys: Sequence[str] = KEYS) -> Weights:
     """u from pairs at random, m from one EM pass per blocking key.
 
     A pass leaves out what its key decides.  Several passes' estimates of a level are averaged; a level
@@ -199,12 +234,18 @@ def estimate(pairs: DataFrame, everything: DataFrame, comparisons: Sequence[Comp
     """
     names = [c.name for c in comparisons]
     levels = {c.name: sorted(c.labels()) for c in comparisons}
-    random = patterns(everything, comparisons)
     out = Weights(1 / max(n_left, n_right, 2))
-    out.u = {n: shares(random, i, levels[n]) for i, n in enumerate(names)}
+    out.u = u_from_random(random, comparisons)
+    equal = [F.coalesce(F.col(f"{k}_l") == F.col(f"{k}_r"), F.lit(False)).alias(f"__same_{k}") for k in keys]
+    gammas = [F.col(f"gamma_{n}") for n in names]
+    rows = pairs.groupBy(*gammas, *equal).agg(F.count("*").alias("n")).collect()  # one pass for all keys: at most patterns x 2**keys rows
     seen: dict[str, dict[int, list[float]]] = {n: {g: [] for g in levels[n]} for n in names}
     for key in keys:
-        counts = patterns(pairs.where(F.col(f"{key}_l") == F.col(f"{key}_r")), comparisons)
+        counts: dict[Pattern, int] = {}
+        for row in rows:
+            if row[f"__same_{key}"]:
+                p = tuple(row[: len(names)])
+                counts[p] = counts.get(p, 0) + row["n"]
         use = [c.name for c in comparisons if key not in c.trained_out_by]
         if counts:
             for n, by in expectation_maximisation(counts, names, levels, out.u, use, 0.1).items():

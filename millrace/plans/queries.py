@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from millrace.functions import text as T
 from millrace.functions.udfs import jaro_winkler, parse_alias_list
+from millrace.operators import evaluation as E
 from millrace.operators import geo as G
 from millrace.operators import linkage as L
 from millrace.operators import rows as R
@@ -117,19 +118,27 @@ def q_dup_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.count_distinct("l_shipdate").alias("dates")).where("n > 1")
 
 
-@query(f"WITH {SPANS_SQL} SELECT a.entity, a.version_number AS left_version, b.version_number AS right_version FROM spans a JOIN spans b ON a.entity = b.entity AND a.version_number < b.version_number AND a.valid_from_year < coalesce(b.valid_to_year, 9999) AND b.valid_from_year < coalesce(a.valid_to_year, 9999) + 1")
+WIDER_SQL = f"{SPANS_SQL}, wider AS (SELECT entity, version_number, valid_from_year, CASE WHEN version_number % 2 = 1 THEN valid_to_year + 2 ELSE valid_to_year END AS valid_to_year, valid_to_year IS NULL AND entity % 3 <> 0 AS is_current FROM spans)"
+OVERLAP_SQL = "SELECT a.entity, a.version_number AS left_version, b.version_number AS right_version FROM wider a JOIN wider b ON a.entity = b.entity AND a.version_number < b.version_number AND a.valid_from_year < coalesce(b.valid_to_year, 9999) AND b.valid_from_year < coalesce(a.valid_to_year, 9999)"
+
+
+def wider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history with faults: every other version ends too late, and a third of the entities has no current one."""
+    late = F.when(F.col("version_number") % 2 == 1, F.col("valid_to_year") + 2).otherwise(F.col("valid_to_year"))
+    return spans(spark, sf_dir).withColumn("is_current", F.col("valid_to_year").isNull() & (F.col("entity") % 3 != 0)).withColumn("valid_to_year", late)
+
+
+@query(f"WITH {WIDER_SQL} {OVERLAP_SQL}")
 def q_interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed instead of half-open ends on the left side, so that neighbours do overlap."""
-    wide = spans(spark, sf_dir)
-    a, b = wide.alias("a"), wide.alias("b")
-    end = lambda x: F.coalesce(F.col(f"{x}.valid_to_year"), F.lit(9999))
-    on = (F.col("a.entity") == F.col("b.entity")) & (F.col("a.version_number") < F.col("b.version_number")) & (F.col("a.valid_from_year") < end("b")) & (F.col("b.valid_from_year") < end("a") + 1)
-    return a.join(b, on).select(F.col("a.entity"), F.col("a.version_number").alias("left_version"), F.col("b.version_number").alias("right_version"))
+    return R.overlapping(wider(spark, sf_dir), "entity")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS not_one_current")
+@query(f"""
+    WITH {WIDER_SQL}, o AS ({OVERLAP_SQL}), bare AS (SELECT entity FROM wider GROUP BY 1 HAVING count(*) FILTER (WHERE is_current) <> 1)
+    SELECT (SELECT count(*) FROM o)::BIGINT AS overlaps, (SELECT count(*) FROM bare)::BIGINT AS not_one_current
+""")
 def q_history_assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = spans(spark, sf_dir)
+    made = wider(spark, sf_dir)
     return Q.no_overlap(made, "entity").agg(F.count("*").alias("overlaps")).crossJoin(Q.one_current(made, "entity").agg(F.count("*").alias("not_one_current")))
 
 
@@ -535,12 +544,72 @@ def q_score_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("unique_id_l", "unique_id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 6).alias("match_probability"))
 
 
+def at_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = L.random_pairs(t(spark, sf_dir, "supplier", *SMALL_LEFT), t(spark, sf_dir, "customer", *SMALL_RIGHT))
+    return pairs.select("*", *(c.gamma() for c in comparisons()))
+
+
+U_SQL = f"WITH {GAMMA_SQL.replace(BLOCK_SQL, 'true')} " + " UNION ALL ".join(f"SELECT '{n}' AS comparison, CAST(gamma_{n} AS INTEGER) AS gamma, round(count(*)::DOUBLE / sum(count(*)) OVER (), 9) AS u FROM g WHERE gamma_{n} >= 0 GROUP BY gamma_{n}" for n in ("zip5", "street", "start_year", "county"))
+
+
+@query(U_SQL)
+def q_u_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """u from pairs at random; all pairs where there are at most a million."""
+    u = L.u_from_random(at_random(spark, sf_dir), comparisons())
+    rows = [(n, g, v) for n, by in u.items() for g, v in by.items() if v is not None]
+    return spark.createDataFrame(rows, "comparison string, gamma int, u double").withColumn("u", F.round("u", 9))
+
+
 @query()
 def q_em_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """m, u, weights and support of each level; u from blocked pairs here, as the tables have no pairs at random."""
+    """m by EM over the blocked pairs, u from pairs at random, weights and support of each level."""
     pairs = gammas(spark, sf_dir)
     l, r = t(spark, sf_dir, "supplier").count(), t(spark, sf_dir, "customer").count()
-    return L.comparator_report(pairs, comparisons(), L.estimate(pairs, pairs, comparisons(), l, r))
+    return L.comparator_report(pairs, comparisons(), L.estimate(pairs, at_random(spark, sf_dir), comparisons(), l, r))
+
+
+SCORED_SQL = f"{GAMMA_SQL}, w AS (SELECT *, {WEIGHT_SQL} AS mw FROM g), sc AS (SELECT unique_id_l, unique_id_r, round(1 / (1 + pow(2.0, -mw)), 6) AS p FROM w)"
+BEST_SQL = f"{SCORED_SQL}, b AS (SELECT r.unique_id, r.county_fips, r.zip5, coalesce(max(p), 0) AS p FROM r LEFT JOIN sc ON sc.unique_id_r = r.unique_id GROUP BY 1, 2, 3)"
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.score(gammas(spark, sf_dir), comparisons(), FIXED).select("unique_id_l", "unique_id_r", F.round("match_probability", 6).alias("match_probability"))
+
+
+@query(f"""
+    WITH {BEST_SQL}, n AS (SELECT county_fips, count(*) AS n FROM r WHERE county_fips IS NOT NULL GROUP BY 1), x AS (SELECT CASE WHEN n > 1 THEN 'shared county' WHEN n = 1 THEN 'alone' END AS county_crowding, p FROM b LEFT JOIN n USING (county_fips))
+    SELECT county_crowding, CAST(count(*) AS BIGINT) AS plants, round(quantile_cont(p, 0.5), 6) AS median, round(quantile_cont(p, 0.75), 6) AS p75, round(quantile_cont(p, 0.9), 6) AS p90, max(p) AS max,
+           CAST(count(*) FILTER (WHERE p > 0.5) AS BIGINT) AS above_0_5, CAST(count(*) FILTER (WHERE p > 0.9) AS BIGINT) AS above_0_9 FROM x GROUP BY 1
+""")
+def q_by_crowding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = E.by_crowding(t(spark, sf_dir, "customer", *SMALL_RIGHT), scored(spark, sf_dir))
+    return report.withColumns({c: F.round(c, 6) for c in ("median", "p75", "p90")})
+
+
+WATCHED = {"3": "Third", "7": "Seventh", "99": "Nowhere"}
+
+
+@query(
+    f"WITH {BEST_SQL}, v AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{n}')" for k, n in WATCHED.items()) + """) v(county_fips, county)),
+    c AS (SELECT county, CAST(count(unique_id) AS BIGINT) AS plants, CAST(count(zip5) AS BIGINT) AS with_zip, CAST(count(DISTINCT zip5) AS BIGINT) AS distinct_zips, CAST(count(*) FILTER (WHERE p > 0.9) AS BIGINT) AS best_above_0_9, CAST(count(*) FILTER (WHERE p > 0.5) AS BIGINT) AS best_above_0_5 FROM v LEFT JOIN b USING (county_fips) GROUP BY 1)
+    SELECT *, with_zip = plants AND distinct_zips = plants AS zip_separates_all FROM c"""
+)
+def q_watched_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.watched_areas(t(spark, sf_dir, "customer", *SMALL_RIGHT), scored(spark, sf_dir), WATCHED)
+
+
+@query(f"""
+    WITH {SCORED_SQL} SELECT l.unique_id, CAST(count(sc.p) AS BIGINT) AS candidate_pairs, CASE WHEN count(sc.p) = 0 THEN 'never compared' ELSE 'compared, best below threshold' END AS outcome, coalesce(max(p), 0) AS best_match_probability
+    FROM (SELECT unique_id FROM l UNION ALL SELECT 'nobody') l LEFT JOIN sc ON sc.unique_id_l = l.unique_id GROUP BY 1
+""")
+def q_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = t(spark, sf_dir, "supplier", "CAST(s_suppkey AS STRING) AS unique_id").union(spark.createDataFrame([("nobody",)], "unique_id string"))
+    return E.outcomes(records, scored(spark, sf_dir))
+
+
+@query(f"WITH {SCORED_SQL} SELECT round(quantile_cont(p, 0.5), 6) AS p50, round(quantile_cont(p, 0.75), 6) AS p75, round(quantile_cont(p, 0.9), 6) AS p90, round(quantile_cont(p, 0.95), 6) AS p95, round(quantile_cont(p, 0.99), 6) AS p99, CAST(count(p) AS BIGINT) AS n, max(p) AS max FROM sc")
+def q_overall_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.quantiles(scored(spark, sf_dir), "match_probability").withColumns({f"p{n}": F.round(f"p{n}", 6) for n in (50, 75, 90, 95, 99)})
 
 
 # ---------------------------------------------------------------- strata, queues, evaluation
@@ -624,10 +693,65 @@ def q_confusion_by_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(L.confusion(labelled(spark, sf_dir), ["stratum"], p="p", truth=F.col("truth")))
 
 
-@query(f"WITH {LABELLED_SQL} SELECT stratum, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE truth) AS BIGINT) AS matches, round(quantile_cont(p, 0.5), 6) AS median, round(avg(CASE WHEN (p >= 0.5) = truth THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS agreement FROM j GROUP BY 1")
+@query(f"WITH {LABELLED_SQL} SELECT stratum, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE truth) AS BIGINT) AS matches, round(quantile_cont(p, 0.5), 6) AS median FROM j GROUP BY 1")
 def q_by_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    agrees = F.avg(((F.col("p") >= 0.5) == F.col("truth")).cast("double"))
-    return labelled(spark, sf_dir).groupBy("stratum").agg(F.count("*").alias("n"), F.count_if("truth").alias("matches"), F.round(F.percentile("p", 0.5), 6).alias("median"), F.round(agrees, 6).alias("agreement"))
+    rows = E.by_stratum(labelled(spark, sf_dir), "p", F.col("truth"))
+    return rows.select("stratum", F.col("labelled").alias("n"), "matches", F.round("median_probability", 6).alias("median"))
+
+
+VERDICT_SQL = "v AS (SELECT l.doc_id, CASE WHEN l.doc_id % 11 = 0 THEN 'unsure' WHEN l.quality = 1 THEN 'match' ELSE 'no_match' END AS verdict, least(d.n_chars / 4000.0::DOUBLE, 1.0::DOUBLE) AS match_probability, CASE WHEN d.lang = 'en' THEN 'contested' ELSE d.lang END AS stratum, CASE WHEN l.doc_id % 3 = 0 THEN 0.5 END AS probability_shown FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
+
+
+def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = t(spark, sf_dir, "documents", "doc_id", "least(n_chars / 4000.0D, 1.0D) AS match_probability", "CASE WHEN lang = 'en' THEN 'contested' ELSE lang END AS stratum")
+    return t(spark, sf_dir, "labels", "doc_id", "CASE WHEN doc_id % 11 = 0 THEN 'unsure' WHEN quality = 1 THEN 'match' ELSE 'no_match' END AS verdict", "CASE WHEN doc_id % 3 = 0 THEN 0.5D END AS probability_shown").join(d, "doc_id")
+
+
+@query(f"WITH {VERDICT_SQL}, c AS (SELECT CASE WHEN stratum = 'contested' THEN stratum ELSE 'not contested' END AS \"group\", CAST(count(*) FILTER (WHERE match_probability >= 0.25 AND verdict = 'match') AS BIGINT) AS tp, CAST(count(*) FILTER (WHERE match_probability >= 0.25 AND verdict <> 'match') AS BIGINT) AS fp FROM v GROUP BY 1) SELECT \"group\", tp + fp AS predicted_positive, tp, fp, round(CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) END, 9) AS precision FROM c")
+def q_contested_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.contested_split(verdicts(spark, sf_dir), 0.25).withColumn("precision", F.round("precision", 9))
+
+
+@query(f"""
+    WITH {VERDICT_SQL}, a AS (SELECT *, CASE WHEN verdict <> 'unsure' THEN ((match_probability >= 0.5) = (verdict = 'match'))::INT::DOUBLE END AS agrees FROM v)
+    SELECT CAST(count(*) AS BIGINT) AS labels, CAST(count(probability_shown) AS BIGINT) AS model_opinion_shown, CAST(count(*) - count(probability_shown) AS BIGINT) AS model_opinion_hidden,
+           round(avg(agrees) FILTER (WHERE probability_shown IS NOT NULL), 9) AS agreement_when_shown, round(avg(agrees) FILTER (WHERE probability_shown IS NULL), 9) AS agreement_when_hidden FROM a
+""")
+def q_anchoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.anchoring(verdicts(spark, sf_dir)).withColumns({c: F.round(c, 9) for c in ("agreement_when_shown", "agreement_when_hidden")})
+
+
+CHANGED = L.Weights(FIXED.prior, {**FIXED.m, "zip5": {1: 0.5, 0: 0.5}}, FIXED.u)
+
+
+@query(f"""
+    WITH x(comparison, gamma, em_only, with_labels) AS (VALUES {", ".join(f"('{n}', {g}, log2({v}::DOUBLE / {FIXED.u[n][g]}::DOUBLE), log2({CHANGED.m[n][g]}::DOUBLE / {FIXED.u[n][g]}::DOUBLE))" for n, by in FIXED.m.items() for g, v in by.items())})
+    SELECT comparison, CAST(gamma AS INTEGER) AS gamma, round(em_only, 9) AS em_only, round(with_labels, 9) AS with_labels, round(with_labels - em_only, 9) AS change FROM x
+""")
+def q_weight_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = gammas(spark, sf_dir)
+    both = E.weight_comparison(L.comparator_report(pairs, comparisons(), FIXED), L.comparator_report(pairs, comparisons(), CHANGED))
+    return both.withColumns({c: F.round(c, 9) for c in ("em_only", "with_labels", "change")})
+
+
+@query(f"""
+    WITH {STRATA_SQL}, d AS (SELECT DISTINCT pair_id, stratum FROM s), k AS (SELECT pair_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY md5(concat(pair_id, '||7')), pair_id) AS draw_rank FROM d),
+    j AS (SELECT * FROM k WHERE draw_rank <= CASE stratum WHEN 'ambiguous' THEN 20 WHEN 'contested' THEN 10 WHEN 'unsampled' THEN 0 ELSE 30 END)
+    SELECT pair_id, stratum, CAST(7 AS BIGINT) AS queue_seed, CAST(list_position(['ambiguous', 'contested', 'cook_county', 'high_confidence', 'low_confidence', 'unsampled'], stratum) AS BIGINT) AS stratum_rank FROM j
+""")
+def q_label_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quotas = {"ambiguous": 20, "contested": 10, "cook_county": 30, "high_confidence": 30, "low_confidence": 30, "unsampled": 0}
+    return E.queue(stratified(spark, sf_dir).select("pair_id", "stratum").distinct(), 7, quotas).drop("draw_rank")
+
+
+@query(f"""
+    WITH {SCORED_SQL}, c AS (SELECT concat(unique_id_l, '|', unique_id_r) AS pair_id, CASE WHEN CAST(unique_id_r AS INT) % 2 = 0 THEN 'match' ELSE 'no_match' END AS verdict FROM sc WHERE CAST(unique_id_r AS INT) % 5 = 0 UNION ALL SELECT 'gone|pair', 'match')
+    SELECT c.pair_id, verdict, p AS match_probability FROM c JOIN (SELECT concat(unique_id_l, '|', unique_id_r) AS pair_id, p FROM sc) s ON s.pair_id = c.pair_id
+""")
+def q_labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = scored(spark, sf_dir)
+    said = E.with_pair_id(pairs).where("CAST(unique_id_r AS INT) % 5 = 0").selectExpr("pair_id", "CASE WHEN CAST(unique_id_r AS INT) % 2 = 0 THEN 'match' ELSE 'no_match' END AS verdict")
+    return E.labelled_pairs(said.union(spark.createDataFrame([("gone|pair", "match")], said.schema)), pairs).select("pair_id", "verdict", "match_probability")
 
 
 @query("SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, arg_max(length(text), turn) AS n_chars FROM (SELECT conv_id, turn, min(role) AS role, min(text) AS text FROM conversations GROUP BY 1, 2) GROUP BY conv_id")

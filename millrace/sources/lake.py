@@ -1,4 +1,4 @@
-"""Snapshotted tables in a folder: a write makes a new snapshot and then moves the pointer to it."""
+"""Snapshotted tables in a folder: a write makes a new snapshot and then a new pointer to it; nothing is replaced in place."""
 
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ class LakeConfig:
 
 
 class Lake:
-    """Tables as ``root/namespace/name/v<number>``; ``current.json`` names the snapshot, never a guess by date.
+    """Tables as ``root/namespace/name/v<number>``; of the pointers ``current-<number>.json`` the largest names the snapshot.
 
     Folders are reached through Hadoop's file system, so any store of Spark's will do.
     """
@@ -46,16 +46,23 @@ class Lake:
         return sorted(int(m[1]) for c in self.children(self.home(namespace, name)) if (m := re.fullmatch(r"v(\d+)", c)))
 
     def pointer(self, namespace: str, name: str) -> dict | None:
-        at = f"{self.home(namespace, name)}/current.json"
-        return json.loads(self.spark.read.text(at, wholetext=True).first()[0]) if self.fs.exists(self.path(at)) else None
+        numbers = self.pointers(namespace, name)
+        return json.loads(self.spark.read.text(f"{self.home(namespace, name)}/current-{numbers[-1]}.json", wholetext=True).first()[0]) if numbers else None
+
+    def pointers(self, namespace: str, name: str) -> list[int]:
+        return sorted(int(m[1]) for c in self.children(self.home(namespace, name)) if (m := re.fullmatch(r"current-(\d+)\.json", c)))
 
     def point(self, namespace: str, name: str, state: dict) -> None:
-        at = f"{self.home(namespace, name)}/current.json"
+        """A new pointer, there at once or not at all; those before the last one go."""
+        before = self.pointers(namespace, name)
+        at = f"{self.home(namespace, name)}/current-{max(before, default=0) + 1}.json"
         out = self.fs.create(self.path(at + ".new"), True)
         out.write(bytearray(json.dumps(state), "utf-8"))
         out.close()
-        self.fs.delete(self.path(at), False)
-        self.fs.rename(self.path(at + ".new"), self.path(at))
+        if not self.fs.rename(self.path(at + ".new"), self.path(at)):
+            raise ValueError(f"{at} is there already: another writer was first")
+        for n in before[:-1]:
+            self.fs.delete(self.path(f"{self.home(namespace, name)}/current-{n}.json"), False)
 
     def write(self, df: DataFrame, namespace: str, name: str, partition_by: tuple[str, ...] = (), evolve: bool = False) -> int:
         """Replace the table.  Columns and types are frozen from the first write on, unless ``evolve``."""

@@ -26,6 +26,7 @@ PLANTGEN_COLUMNS = {
     "MSA83": "msa83", "MSA93": "msa93", "PMSA83": "pmsa83", "PMSA93": "pmsa93", "PlantStartYr": "plant_start_yr", "PhoneNumber": "phone_number", "StreetAddress": "street_address",
     "City": "city", "ZipCode": "zip_code", "AISICode": "aisi_code", "ShutdownYr": "shutdown_yr", "SpecialtyGrade": "specialty_grade",
 }
+# What the production sheet measures.
 METRICS = {"Crude steel": "crude_steel", "BOF steel": "bof_steel", "EAF steel": "eaf_steel", "OHF steel": "ohf_steel", "Iron": "iron", "BF": "bf", "DRI": "dri"}
 
 
@@ -61,6 +62,7 @@ def read_plantgen(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- workbooks
 
 SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def sheet_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str | None]]:
@@ -70,11 +72,15 @@ def sheet_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str | Non
         shared = []
         if "xl/sharedStrings.xml" in names:
             shared = ["".join(t.text or "" for t in si.iter(f"{SHEET}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{SHEET}si")]
-        sheets = [s.get("name") for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{SHEET}sheet")]
+        sheets = {s.get("name"): s.get(RELATION) for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{SHEET}sheet")}
         if sheet is not None and sheet not in sheets:
-            raise ValueError(f"no sheet {sheet!r}; there are {sheets}")
-        number = sheets.index(sheet) + 1 if sheet else 1
-        with z.open(f"xl/worksheets/sheet{number}.xml") as f:
+            raise ValueError(f"no sheet {sheet!r}; there are {list(sheets)}")
+        related = sheets[sheet] if sheet else next(iter(sheets.values()), None)
+        part = "worksheets/sheet1.xml"  # without relations there is one sheet
+        if "xl/_rels/workbook.xml.rels" in names:  # the order of names says nothing about the numbers of parts
+            targets = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+            part = targets.get(related, part)
+        with z.open(part.lstrip("/") if part.startswith("/") else f"xl/{part}") as f:
             for _, row in ET.iterparse(f):
                 if row.tag != f"{SHEET}row":
                     continue
@@ -145,7 +151,7 @@ def read_gspt_plants(spark: SparkSession, path: str, sheet: str | None = None) -
     return df.withColumns(texts).withColumns({"latitude": lat, "longitude": lon, "has_coordinates": lat.isNotNull() & lon.isNotNull(), "source_file": F.lit(path)})
 
 
-LABEL = re.compile(r"^(?P<metric>.+?) production (?P<year>\d{4}) \(ttpa\)$")
+LABEL = re.compile(r"^(?P<metric>.+?)\s+production\s+(?P<year>\d{4})\s*\(ttpa\)$", re.I)
 
 
 def production_columns(banner: Sequence[str | None], labels: Sequence[str | None]) -> list[tuple[int, int, str]]:
@@ -153,14 +159,15 @@ def production_columns(banner: Sequence[str | None], labels: Sequence[str | None
     if "Plant ID" not in labels:
         raise ValueError("the header has no 'Plant ID'")
     year: str | None = None
+    known = {k.lower(): v for k, v in METRICS.items()}
     found = []
     for i, label in enumerate(labels):
         over = banner[i] if i < len(banner) else None
         year = over if over not in (None, "") else year
         if not label or label in ("Plant ID", "Plant name (English)"):
             continue
-        m = LABEL.match(label)
-        metric = METRICS.get(m["metric"].removesuffix(" ").strip()) if m else None
+        m = LABEL.match(label.strip())
+        metric = known.get(" ".join(m["metric"].lower().split())) if m else None
         if not m or not metric:
             raise ValueError(f"unknown production column {label!r}")
         if year is None or int(float(year)) != int(m["year"]):

@@ -2,6 +2,7 @@
 
 import json
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from millrace.functions import text as T
 from millrace.functions.udfs import alias_list, jaro_winkler_of
+from millrace.operators import evaluation as E
 from millrace.operators import geo as G
 from millrace.operators import linkage as L
 from millrace.operators import rows as R
@@ -18,7 +20,7 @@ from millrace.plans.flow import Flow, mart_flow, run_all
 from millrace.sources import readers as S
 from millrace.sources.contracts import PLANTGEN, PRODUCTION, Contract, ContractError, fields
 from millrace.sources.lake import Lake, LakeConfig
-from millrace.streaming.arrivals import decisions_by_pair, on_new_vintage
+from millrace.streaming.arrivals import batches_of, decisions_by_pair, latest_decisions, on_new_vintage, vintages
 
 
 def column(spark, values, f):
@@ -300,13 +302,66 @@ def test_streams(spark, tmp_path):
         (root / f"source_version={v}").mkdir(parents=True)
         (root / f"source_version={v}" / "f.csv").write_text("x")
         on_new_vintage(spark, str(root), str(tmp_path / "check"), seen.append).awaitTermination()
-    assert seen == ["v1", "v2"]
+    (root / "source_version=v1" / "late.csv").write_text("x")
+    on_new_vintage(spark, str(root), str(tmp_path / "check"), seen.append).awaitTermination()
+    assert seen == ["v1", "v2"] == vintages(spark, str(root))  # a late file of a known vintage fires nothing
     logs = tmp_path / "logs"
     logs.mkdir()
     for i, verdict in enumerate(("unsure", "match")):
         (logs / f"{i}.jsonl").write_text(json.dumps(S.decision("a", "b", verdict, "x")) + "\n")
         decisions_by_pair(spark, str(logs), str(tmp_path / "check2"), str(tmp_path / "out")).awaitTermination()
-    assert [r["verdict"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["match"]
+    assert [r["verdict"] for r in latest_decisions(spark, str(tmp_path / "out")).collect()] == ["match"]
+    two = [S.decision("a", "b", v, "x", decided_at=at) for v, at in (("unsure", "2030"), ("no_match", "2020"))]
+    (logs / "2.jsonl").write_text("\n".join(map(json.dumps, two)) + "\nnot json\n")
+    decisions_by_pair(spark, str(logs), str(tmp_path / "check2"), str(tmp_path / "out")).awaitTermination()
+    assert [r["verdict"] for r in latest_decisions(spark, str(tmp_path / "out")).collect()] == ["no_match"]  # the last line, whatever its time
+    assert len(batches_of(spark, str(tmp_path / "out"))) == 2  # this snapshot and the one before
+    (tmp_path / "out" / "batch-2" / "_SUCCESS").unlink()  # a driver lost while it wrote
+    assert [r["verdict"] for r in latest_decisions(spark, str(tmp_path / "out")).collect()] == ["match"]
+
+
+def test_pointers_are_never_replaced(spark, tmp_path):
+    lake = Lake(spark, LakeConfig(str(tmp_path)))
+    for n in range(4):
+        lake.write(spark.range(n), "raw", "t")
+    assert lake.read("raw", "t").count() == 3 and len(lake.pointers("raw", "t")) == 2
+    (tmp_path / "raw" / "t" / "current-9.json.new").write_text("half a poin")
+    assert lake.read("raw", "t").count() == 3
+    lake.register("raw", "t", 2)
+    assert lake.read("raw", "t").count() == 1
+
+
+def test_sheets_are_found_by_their_relation(tmp_path):
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(tmp_path / "w.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="B" sheetId="2" r:id="rId7"/><sheet name="A" sheetId="1" r:id="rId5"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId5" Target="worksheets/sheet1.xml"/><Relationship Id="rId7" Target="/xl/worksheets/sheet3.xml"/></Relationships>')
+        for n, text in ((1, "a"), (3, "b")):
+            z.writestr(f"xl/worksheets/sheet{n}.xml", f'<worksheet xmlns="{main}"><sheetData><row><c t="inlineStr"><is><t>{text}</t></is></c></row></sheetData></worksheet>')
+    data = (tmp_path / "w.xlsx").read_bytes()
+    assert [list(S.sheet_rows(data, n)) for n in ("A", "B", None)] == [[["a"]], [["b"]], [["b"]]]
+    assert S.production_columns([None, "2019"], ["Plant ID", " Crude  Steel  Production 2019 (TTPA) "]) == [(1, 2019, "crude_steel")]
+
+
+def test_queues_and_labels(spark, tmp_path):
+    rows = [(f"G{i}", f"P{i}", i / 40, "ambiguous" if 4 <= i < 36 else "high_confidence" if i >= 36 else "low_confidence") for i in range(40)]
+    pairs = E.with_pair_id(spark.createDataFrame(rows, "unique_id_l string, unique_id_r string, match_probability double, stratum string"))
+    drawn = E.queue(pairs, 7, {"high_confidence": 2, "low_confidence": 2})
+    got = [(r["stratum"], r["pair_id"]) for r in drawn.collect()]
+    assert Counter(s for s, _ in got) == {"ambiguous": 32, "high_confidence": 2, "low_confidence": 2} and got == sorted(got, key=lambda x: (["ambiguous", "high_confidence", "low_confidence"].index(x[0]), x[1]))
+    E.export_queue(drawn, str(tmp_path / "q"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "q")).count() == 36
+    made = E.synthetic_labels(pairs, 3, error=0.0)
+    assert made.where("not synthetic").count() == 0 and made.where("verdict = 'unsure'").count() == 5 and made.where("verdict = 'match'").count() == 17
+    assert E.synthetic_labels(pairs, 3, error=1.0).where("verdict = 'match'").count() == 18
+    joined = E.labelled_pairs(made, pairs, drawn)
+    assert joined.count() == 40 and joined.where("stratum is null").count() == 4
+    few = L.random_pairs(pairs.selectExpr("unique_id_l AS unique_id"), pairs.selectExpr("unique_id_r AS unique_id"), max_pairs=100)
+    assert 90 < few.count() <= 100 and few.distinct().count() == few.count()
+    gspt = spark.createDataFrame([("G1", *"abcdefgh"), ("G1", *"bbcdefgh")], ["plant_id", *E.LEFT_FIELDS])
+    plantgen = spark.createDataFrame([("P1", *"abcdefgh")], ["plant_id", *E.RIGHT_FIELDS])
+    seen = E.readable(pairs, gspt, plantgen)
+    assert seen.count() == 40 and [r["gspt_name"] for r in seen.where("gspt_name is not null").collect()] == ["a"]
 
 
 def test_layers_do_not_import_the_corpus_operators():
