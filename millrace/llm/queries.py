@@ -71,6 +71,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 QUERIES["pipeline"] = pipeline
 
+def rules_sql() -> str:
+    """The repetition rules over words in rows: n-grams as texts, counted and marked by windows."""
+    word = "'[^\\x20\\x09-\\x0D]+'"
+    grams = lambda n: f"""
+        g{n} AS (SELECT r, pos, count(*) OVER (PARTITION BY r, gram) > 1 AS again FROM (SELECT r, pos, n, list(w) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS gram FROM ws) WHERE pos + {n} <= n + 1),
+        m{n} AS (SELECT ws.r, coalesce(bool_or(again) OVER (PARTITION BY ws.r ORDER BY ws.pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), false) AS hit, length(w) AS size FROM ws LEFT JOIN g{n} ON g{n}.r = ws.r AND g{n}.pos = ws.pos),
+        c{n} AS (SELECT r, count(*) FILTER (WHERE hit) AS repeated, coalesce(sum(size) FILTER (WHERE hit), 0) AS chars FROM m{n} GROUP BY r)"""
+    limits = repetition.MAX_NGRAM_SHARE
+    share = lambda n: f"coalesce(c{n}.chars, 0)::DOUBLE / word_chars"
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        base AS (SELECT r, doc_id, text, regexp_extract_all(text, {word}) AS words, regexp_extract_all(text, '[#*$%&|<>]') AS symbols FROM d),
+        ws AS (SELECT r, generate_subscripts(words, 1) AS pos, unnest(words) AS w, len(words) AS n FROM base),
+        lines AS (SELECT r, generate_subscripts(ls, 1) AS line_no, unnest(ls) AS line FROM (SELECT r, string_split(text, chr(10)) AS ls FROM base)),
+        known AS (SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY line_no) > 1 AS dup FROM lines WHERE regexp_matches(line, {word})),
+        dups AS (SELECT r, count(*) AS n, sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g'))) AS chars FROM known WHERE dup GROUP BY r),
+        {", ".join(grams(n) for n in (3, *limits))},
+        x AS (
+            SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS word_chars, len(symbols) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines,
+                   coalesce(c3.repeated, 0) AS n_repeat_words, coalesce(dups.chars, 0) AS dup_line_chars, {", ".join(f"c{n}.chars AS chars{n}" for n in limits)}
+            FROM base LEFT JOIN dups USING (r) LEFT JOIN c3 USING (r) {" ".join(f"LEFT JOIN c{n} USING (r)" for n in limits)}
+        ), y AS (
+            SELECT *, CASE WHEN word_chars = 0 THEN 0.0::DOUBLE ELSE greatest({", ".join(share(n).replace(f"c{n}.chars", f"chars{n}") for n in limits)}) END AS dup_ngram_share, n_words < {repetition.MIN_WORDS} OR 100 * n_repeat_words > {repetition.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+                   dup_line_chars > {repetition.MAX_LINE_SHARE}::DOUBLE * word_chars OR (word_chars > 0 AND ({" OR ".join(f"{share(n).replace(f'c{n}.chars', f'chars{n}')} > {most}::DOUBLE" for n, most in limits.items())})) AS over
+            FROM x
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+               CAST(dup_line_chars AS BIGINT) AS dup_line_chars, dup_ngram_share, base_failed, NOT base_failed AND NOT over AS kept FROM y
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_topk": """
         WITH v AS (
@@ -85,4 +116,5 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op8_repetition": rules_sql(),
 }
