@@ -1,4 +1,4 @@
-"""The few functions without a built-in form, as Arrow-batched UDFs over distinct values."""
+"""The few functions without a built-in form, as Arrow-batched UDFs; equal arguments of a worker are computed once."""
 
 from __future__ import annotations
 
