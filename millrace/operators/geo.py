@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Above this many vertices nearest_polygon refuses the polygons, which each task holds.
-MAX_BROADCAST_VERTICES = 5_000_000
+#: nearest_polygon sends its polygons to tasks in blocks of about this many vertices.
+BLOCK_VERTICES = 5_000_000
 
 
 def rings_of(value: object) -> list[np.ndarray]:
@@ -94,30 +95,64 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str
     return near.where(test("__x", "__y", "rings")).groupBy(F.col("__id").alias(id_col)).agg(F.min_by("geo_id", "position").alias("geo_id"))
 
 
-def nearest_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str, y: str, project: bool = True) -> DataFrame:
-    """(id, nearest geo_id, metres) over all polygons; ties go to the smaller position.
+Shape = tuple[int, str, list[np.ndarray]]
 
-    The polygons are a reference set of checked size that each task holds once; a larger set is refused.
+
+def nearest_of(x: float, y: float, shapes: list[Shape], boxes: np.ndarray) -> tuple[float | None, int | None, str | None]:
+    """(distance, position, geo_id) of the nearest shape, the first by position among equal distances.
+
+    Shapes are visited by the distance of their boxes (x0, y0, x1, y1), which is never more than their own, until that passes the best.
+    """
+    gap_x, gap_y = np.maximum(0, np.maximum(boxes[:, 0] - x, x - boxes[:, 2])), np.maximum(0, np.maximum(boxes[:, 1] - y, y - boxes[:, 3]))
+    bound = np.hypot(gap_x, gap_y)
+    best: tuple[float, int, str] | None = None
+    for k in np.argsort(bound, kind="stable").tolist():
+        if best and bound[k] > best[0] + 1e-6:  # distances are rounded
+            break
+        position, geo_id, rings = shapes[k]
+        found = (0.0 if inside(x, y, rings) else round(edge_distance(x, y, rings), 6), position, geo_id)
+        best = found if best is None else min(best, found)
+    return best or (None, None, None)
+
+
+def nearest_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str, y: str, project: bool = True, block: int = BLOCK_VERTICES) -> DataFrame:
+    """(id, nearest geo_id, metres) over all polygons; ties go to the smaller position; without a polygon: null.
+
+    Polygons go to the tasks in blocks of about ``block`` vertices by a hash of their id.  Each point meets every block, and the nearest of
+    the blocks' nearest polygons is kept, so that neither the driver nor a task holds more than a block.
     """
     size = polygons.agg(F.sum(F.size(F.flatten("rings")))).first()[0] or 0
-    if size > MAX_BROADCAST_VERTICES:
-        raise ValueError(f"{size} vertices are too many to hold in each task; generalise the polygons first")
-    rows = [(r["geo_id"], rings_of(r["rings"])) for r in polygons.orderBy("position").collect()]
+    blocks = max(1, -(-size // block))
     place = albers if project else lambda a, b: (a, b)
-    shapes = points.sparkSession.sparkContext.broadcast([(g, [np.stack(place(r[:, 0], r[:, 1]), axis=1) for r in rings]) for g, rings in rows])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            px, py = place(pdf["__x"].to_numpy(float), pdf["__y"].to_numpy(float))
-            out = []
-            for i, a, b in zip(pdf["__id"], px, py, strict=True):
-                best = min(((0.0 if inside(a, b, rings) else round(edge_distance(a, b, rings), 6), k, g) for k, (g, rings) in enumerate(shapes.value)), default=(None, 0, None))
-                out.append((i, best[2], best[0]))
-            yield pd.DataFrame(out, columns=["__id", "geo_id", "metres"])
-
     kind = points.schema[id_col].dataType.simpleString()
     spots = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(id_col).alias("__id"), F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
-    return spots.mapInPandas(run, f"__id {kind}, geo_id string, metres double").select(F.col("__id").alias(id_col), F.col("geo_id").alias("nearest_geo_id"), F.col("metres").alias("nearest_distance_m"))
+
+    def against(k: int) -> DataFrame:
+        part = polygons.where(F.pmod(F.xxhash64("geo_id", "position"), F.lit(blocks)) == k) if blocks > 1 else polygons
+        shapes = []
+        for r in part.select("position", "geo_id", "rings").toLocalIterator():
+            rings = [np.stack(place(g[:, 0], g[:, 1]), axis=1) for g in rings_of(r["rings"]) if len(g)]
+            if rings:
+                shapes.append((r["position"], r["geo_id"], rings))
+        sent = points.sparkSession.sparkContext.broadcast(shapes)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            boxes = np.array([[*np.min([g.min(axis=0) for g in rings], axis=0), *np.max([g.max(axis=0) for g in rings], axis=0)] for _, _, rings in sent.value]).reshape(-1, 4)
+            for batch in batches:
+                px, py = place(batch.column("__x").to_numpy(zero_copy_only=False), batch.column("__y").to_numpy(zero_copy_only=False))
+                best = [nearest_of(a, b, sent.value, boxes) for a, b in zip(px, py, strict=True)]
+                columns = [batch.column("__id"), pa.array([p for _, p, _ in best], pa.int64()), pa.array([g for _, _, g in best], pa.string()), pa.array([m for m, _, _ in best], pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["__id", "position", "geo_id", "metres"])
+
+        return spots.mapInArrow(run, f"__id {kind}, position long, geo_id string, metres double")
+
+    found = against(0)
+    if blocks > 1:
+        for k in range(1, blocks):
+            found = found.union(against(k))
+        by = F.struct(F.coalesce("metres", F.lit(math.inf)).alias("m"), "position")
+        found = found.groupBy("__id").agg(F.min_by("geo_id", by).alias("geo_id"), F.min("metres").alias("metres"))
+    return found.select(F.col("__id").alias(id_col), F.col("geo_id").alias("nearest_geo_id"), F.col("metres").alias("nearest_distance_m"))
 
 
 def assign_polygons(points: DataFrame, polygons: DataFrame, id_col: str, lat: str, lon: str) -> DataFrame:

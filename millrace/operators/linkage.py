@@ -102,10 +102,14 @@ def closest(name: str, columns: Sequence[str], limits: Sequence[float] = (0.92,
     return Comparison(name, gone, (("exact", any_level(*(l == r for l, r in pairs))), *((f"jaro_winkler_{n}", best >= n) for n in limits)))
 
 
-def alias(name: str, names: str, value: str) -> Comparison:
-    """A list of names against one value: an equal name, a name with the value among its words, else."""
-    l, r = F.col(f"{names}_l"), F.col(f"{value}_r")
-    return Comparison(name, l.isNull(), (("element", F.array_contains(l, r)), ("word", F.exists(l, lambda x: F.array_contains(F.split(x, " "), r)))))
+def alias(name: str, names: str, values: Sequence[str]) -> Comparison:
+    """Either side's list of names against the other side's values: an equal name, a name with a value among its words, else."""
+    sides = [(F.col(f"{names}_{a}"), F.col(f"{v}_{b}")) for a, b in (("l", "r"), ("r", "l")) for v in values]
+    element = any_level(*(F.array_contains(ns, v) for ns, v in sides))
+    has_word = lambda ns, v: F.exists(ns, lambda n: F.coalesce(F.array_contains(F.split(n, " "), v), F.lit(False)))
+    word = any_level(*(has_word(ns, v) for ns, v in sides))
+    l, r = both(names)
+    return Comparison(name, l.isNull() & r.isNull(), (("element", element), ("word", word)))
 
 
 def within(name: str, column: str, limits: Sequence[int] = (3,)) -> Comparison:
@@ -124,7 +128,7 @@ def area(name: str, exact_col: str, effective: str, distance: str, metres: Seque
 
 def plant_comparisons() -> list[Comparison]:
     return [
-        exact("zip5", "zip5", trained_out_by=("zip5",)), edit_distance("street", "street"), closest("place", ["plant_name", "city"]), alias("alias_place", "aliases", "plant_name"),
+        exact("zip5", "zip5", trained_out_by=("zip5",)), edit_distance("street", "street"), closest("place", ["plant_name", "city"]), alias("alias_place", "other_names", ["plant_name", "city"]),
         within("start_year", "start_year"), area("county", "county_fips", "county_fips_effective", "county_distance_m", trained_out_by=("county_fips",)),
     ]
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import argparse
 import graphlib
+import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.plans import enrich as E
 from millrace.plans import models as M
+from millrace.sources import readers as S
+from millrace.sources.contracts import CONTRACTS
 from millrace.sources.lake import Lake, LakeConfig
 
 
@@ -64,28 +68,109 @@ def mart_flow() -> Flow:
     return f
 
 
+GEO, PAIRS, BOUNDARIES = "geo.gspt_plant_county", "resolution.gspt_plantgen_candidates", "geo.counties"
+
+
+def whole_flow() -> Flow:
+    """The marts and the two derived tables that they need."""
+    f = mart_flow()
+    f.step(GEO, E.plant_county, "raw.gspt_plants", BOUNDARIES, "raw.plantgen")
+    f.step(PAIRS, E.candidates, "stg_gspt_plant_unit", "stg_plant_county", "stg_plantgen")
+    return f
+
+
+@dataclass(frozen=True)
+class Sources:
+    """Where the source files are: paths, and for furnaces (kind, version, path) of each file."""
+
+    plantgen: str | None = None
+    gspt_plants: str | None = None
+    gspt_production: str | None = None
+    furnace_years: tuple[tuple[str, str, str], ...] = ()
+    counties: str | None = None
+    sheets: dict[str, str] = field(default_factory=dict)
+    clean_version: str = "gspt_2024"
+
+    @classmethod
+    def read(cls, path: str) -> Sources:
+        with open(path) as f:
+            found = json.load(f)
+        return cls(**found | {"furnace_years": tuple(tuple(x) for x in found.get("furnace_years", ()))})
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    table: str
+    rows: int
+    snapshot: int
+
+
+def bronze(spark: SparkSession, sources: Sources, name: str) -> DataFrame:
+    """A raw table under its contract; a file that breaks it is an error that names every broken rule."""
+    if name == "furnace_years":
+        df = S.read_furnace_years(spark, sources.furnace_years, sources.clean_version)
+    elif name == "plantgen":
+        df = S.read_plantgen(spark, sources.plantgen)
+    else:
+        df = S.READERS[name](spark, getattr(sources, name), sources.sheets.get(name))
+    contract = CONTRACTS[name]
+    return contract.validate(contract.project(df))
+
+
+def ingest(spark: SparkSession, config: LakeConfig, sources: Sources, tables: Iterable[str] | None = None) -> list[LoadResult]:
+    """Replace raw tables, and the boundaries, by what the files say.  Without names: all whose files are known."""
+    lake, done = Lake(spark, config), []
+    for name in tables or [t for t in (*CONTRACTS, "counties") if getattr(sources, t)]:
+        if name not in CONTRACTS and name != "counties" or not getattr(sources, name):
+            raise ValueError(f"no source for {name!r}")
+        df = S.read_polygons(spark, sources.counties) if name == "counties" else bronze(spark, sources, name)
+        namespace = "geo" if name == "counties" else "raw"
+        number = lake.write(df, namespace, name)
+        done.append(LoadResult(f"{namespace}.{name}", lake.read(namespace, name).count(), number))
+    return done
+
+
 def run_all(spark: SparkSession, config: LakeConfig, targets: Iterable[str] | None = None) -> list[str]:
-    """Build staging views and mart tables from the lake's bronze and derived tables."""
-    lake = Lake(spark, config)
+    """Build derived tables, staging views and marts from the lake's raw tables, or only what the targets need.
+
+    Without boundaries in the lake, its own table of plants' counties is taken as it is.
+    """
+    lake, flow = Lake(spark, config), whole_flow()
     given = {f"{n}.{t}": lake.read(n, t) for n, t in lake.tables() if n not in ("staging", "marts")}
+    if BOUNDARIES not in given and GEO in given:
+        del flow.steps[GEO]
+    wanted = flow.order(targets)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         if name.startswith("stg_"):
             df.createOrReplaceTempView(name)
             return df
-        lake.write(df, "marts", name)
-        return lake.read("marts", name)
+        namespace, _, table = name.rpartition(".")
+        lake.write(df, namespace or "marts", table)
+        return lake.read(namespace or "marts", table)
 
-    return sorted(set(mart_flow().run(given, save, targets)) - set(given))
+    flow.run(given, save, targets)
+    return sorted(wanted)
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="millrace", description="Build marts from a lake.")
-    parser.add_argument("lake")
-    parser.add_argument("targets", nargs="*")
+    parser = argparse.ArgumentParser(prog="millrace", description="Load source files into a lake and build its tables.")
+    verbs = parser.add_subparsers(dest="verb", required=True)
+    for verb, text in (("ingest", "load raw tables"), ("geo", "counties of plants"), ("resolve", "scored candidate pairs"), ("build", "everything, or the steps named"), ("all", "load, then build everything")):
+        p = verbs.add_parser(verb, help=text)
+        p.add_argument("lake")
+        if verb in ("ingest", "all"):
+            p.add_argument("sources", help="a JSON file with the paths of the source files")
+        if verb in ("ingest", "build"):
+            p.add_argument("names", nargs="*")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("millrace").getOrCreate()
-    print("\n".join(run_all(spark, LakeConfig(args.lake), args.targets or None)))
+    spark, config = SparkSession.builder.appName("millrace").getOrCreate(), LakeConfig(args.lake)
+    if args.verb in ("ingest", "all"):
+        for r in ingest(spark, config, Sources.read(args.sources), getattr(args, "names", None) or None):
+            print(f"{r.table}: {r.rows} rows, snapshot {r.snapshot}")
+    if args.verb != "ingest":
+        targets = {"geo": [GEO], "resolve": [PAIRS]}.get(args.verb) or getattr(args, "names", None) or None
+        print("\n".join(run_all(spark, config, targets)))
 
 
 if __name__ == "__main__":

@@ -160,6 +160,11 @@ def bridge_plant_xref(candidates: DataFrame, units: DataFrame) -> DataFrame:
 COMPARISON_COLUMNS = ("unique_id", "source_dataset", "plant_name", "city", "aliases", "other_names", "state", "zip5", "street", "start_year", "county_fips", "county_fips_effective", "county_distance_m", "country_area")
 
 
+def known_names(first: Column, others: Column) -> Column:
+    """All distinct names, sorted; nulls are none."""
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(F.array(first), others))))
+
+
 def gspt_frame(units: DataFrame, counties: DataFrame) -> DataFrame:
     """One row per plant; an approximate position gives no geography, and one inside a county has distance 0."""
     one = units.groupBy("plant_id").agg(*(any_of(c) for c in ("plant_name", "city", "state_name", "location_address", "country_area")), F.array_join(F.array_sort(F.collect_set("other_plant_names")), "; ").alias("others"), any_of("start_date"))
@@ -167,7 +172,7 @@ def gspt_frame(units: DataFrame, counties: DataFrame) -> DataFrame:
     usable = ~F.col("coordinate_accuracy").eqNullSafe("approximate")
     name, names = T.normalize_text(F.col("plant_name")), T.split_aliases(F.col("others"))
     return one.join(c, "plant_id", "left").select(
-        F.col("plant_id").alias("unique_id"), F.lit("gspt").alias("source_dataset"), name.alias("plant_name"), T.normalize_text(F.col("city")).alias("city"), F.array_sort(F.array_distinct(names)).alias("aliases"),
+        F.col("plant_id").alias("unique_id"), F.lit("gspt").alias("source_dataset"), name.alias("plant_name"), T.normalize_text(F.col("city")).alias("city"), known_names(name, T.other_names(names, name)).alias("aliases"),
         T.other_names(names, name).alias("other_names"), T.normalize_subdivision(F.col("state_name")).alias("state"), T.extract_zip(F.col("location_address")).alias("zip5"),
         T.normalize_street(F.col("location_address")).alias("street"), T.parse_year(F.col("start_date")).cast("bigint").alias("start_year"), F.when(usable, F.col("county_fips")).alias("county_fips"),
         F.when(usable, F.coalesce("county_fips", "nearest_county_fips")).alias("county_fips_effective"),
@@ -176,9 +181,9 @@ def gspt_frame(units: DataFrame, counties: DataFrame) -> DataFrame:
 
 
 def plantgen_frame(plantgen: DataFrame) -> DataFrame:
-    none = F.array().cast("array<string>")
+    name, city = T.normalize_text(F.col("plant_name")), T.normalize_text(F.col("city"))
     return plantgen.select(
-        F.col("plant_id").alias("unique_id"), F.lit("plantgen").alias("source_dataset"), T.normalize_text(F.col("plant_name")).alias("plant_name"), T.normalize_text(F.col("city")).alias("city"), none.alias("aliases"), none.alias("other_names"),
+        F.col("plant_id").alias("unique_id"), F.lit("plantgen").alias("source_dataset"), name.alias("plant_name"), city.alias("city"), known_names(name, F.array(city)).alias("aliases"), F.array().cast("array<string>").alias("other_names"),
         T.normalize_subdivision(F.col("state")).alias("state"), F.col("zip_code").alias("zip5"), T.normalize_street(F.col("street_address")).alias("street"), F.col("start_year").cast("bigint").alias("start_year"),
         "county_fips", F.col("county_fips").alias("county_fips_effective"), F.when(F.col("county_fips").isNotNull(), 0.0).alias("county_distance_m"), F.lit("United States").alias("country_area"),
     )

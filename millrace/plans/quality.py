@@ -49,6 +49,29 @@ def unresolved_without_key(bridge: DataFrame) -> DataFrame:
     return bridge.where((F.col("resolution_status") == "never_compared") & F.col("plantgen_plant_key").isNotNull())
 
 
+def repeats_removed(bronze: DataFrame, staged: DataFrame, expected: int, version: str = "owner_filled_2025") -> DataFrame:
+    """A row with both counts unless staging dropped exactly as many repeats as are known."""
+    kept = (F.col("source_version") == version) & (F.col("alignment_status") != "unaligned_no_key")
+    counts = bronze.agg(F.count_if(kept).alias("bronze_rows")).crossJoin(staged.agg(F.count("*").alias("staged_rows")))
+    return counts.withColumn("removed", F.col("bronze_rows") - F.col("staged_rows")).where(F.col("removed") != expected)
+
+
+def no_null_facility(facts: DataFrame) -> DataFrame:
+    return not_null(facts.select("furnace_key", "facility_id"), "facility_id")
+
+
+def transfer_survives(changes: DataFrame, facility: str, year: int) -> DataFrame:
+    """Changes of a facility in the year of a known transfer that are not called credible: an excursion before it must not take it along."""
+    known = (F.col("facility_key") == facility) & (F.col("change_year") == year)
+    return changes.where(known & (F.col("change_class") != "credible_transfer")).select("facility_key", "change_year", "from_owner_raw", "to_owner_raw", "change_class")
+
+
+def verdict_columns(df: DataFrame) -> DataFrame:
+    """The columns that state a verdict, as rows; none of the frame's own rows is read, but it must be there."""
+    named = df.sparkSession.createDataFrame([(c,) for c in no_verdict_column(df)], "column string")
+    return named.union(df.limit(0).select(F.lit("").alias("column")))
+
+
 def distinguishable(df: DataFrame, c: str, least: int = 2) -> DataFrame:
     return df.agg(F.count_distinct(c).alias("n")).where(F.col("n") < least)
 

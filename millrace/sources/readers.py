@@ -9,6 +9,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -219,6 +220,14 @@ def read_furnaces(spark: SparkSession, kind: str, version: str, path: str) -> Da
     ).withColumn("align_key", F.when(F.col("furnace_key").isNotNull() & F.col("year").isNotNull(), F.col("__key"))).drop("__key")
 
 
+def read_furnace_years(spark: SparkSession, files: Sequence[tuple[str, str, str]], clean_version: str = "gspt_2024") -> DataFrame:
+    """All vintages, (kind, version, path) each, one below the other and aligned with the intact one."""
+    frames = [read_furnaces(spark, *f) for f in files]
+    if not frames:
+        raise ValueError("no furnace file is named")
+    return align_furnaces(reduce(DataFrame.unionByName, frames), clean_version)
+
+
 def align_furnaces(frame: DataFrame, clean_version: str) -> DataFrame:
     """Names as the intact vintage spells them, and flags for what the other one lost."""
     clean = frame.where(F.col("source_version") == clean_version)
@@ -245,7 +254,7 @@ def encoding_audit(frame: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- polygons, logs, directories
 
 
-def read_polygons(spark: SparkSession, path: str, id_key: str = "GEOID", name_key: str = "NAME") -> DataFrame:
+def read_polygons(spark: SparkSession, path: str, id_key: str = "GEOID", name_key: str = "NAME", state_key: str = "STUSPS") -> DataFrame:
     """GeoJSON polygons and multipolygons; a file without a reference system is refused."""
     data = json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
     crs = (data.get("crs") or {}).get("properties", {}).get("name") or data.get("crs_name")
@@ -255,8 +264,8 @@ def read_polygons(spark: SparkSession, path: str, id_key: str = "GEOID", name_ke
     for i, f in enumerate(data["features"]):
         shape = f["geometry"]
         parts = [shape["coordinates"]] if shape["type"] == "Polygon" else shape["coordinates"]
-        rows.append((str(f["properties"][id_key]), f["properties"].get(name_key), i, [[{"x": float(p[0]), "y": float(p[1])} for p in ring] for part in parts for ring in part], crs))
-    return spark.createDataFrame(rows, "geo_id string, name string, position int, rings array<array<struct<x: double, y: double>>>, crs string")
+        rows.append((str(f["properties"][id_key]), f["properties"].get(name_key), f["properties"].get(state_key), i, [[{"x": float(p[0]), "y": float(p[1])} for p in ring] for part in parts for ring in part], crs))
+    return spark.createDataFrame(rows, "geo_id string, name string, state string, position int, rings array<array<struct<x: double, y: double>>>, crs string")
 
 
 VERDICTS = ("match", "no_match", "unsure")

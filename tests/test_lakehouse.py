@@ -14,9 +14,10 @@ from millrace.operators import evaluation as E
 from millrace.operators import geo as G
 from millrace.operators import linkage as L
 from millrace.operators import rows as R
+from millrace.plans import enrich as N
 from millrace.plans import models as M
 from millrace.plans import quality as Q
-from millrace.plans.flow import Flow, mart_flow, run_all
+from millrace.plans.flow import Flow, main, mart_flow, run_all
 from millrace.sources import readers as S
 from millrace.sources.contracts import PLANTGEN, PRODUCTION, Contract, ContractError, fields
 from millrace.sources.lake import Lake, LakeConfig
@@ -233,7 +234,7 @@ def test_resolution_end_to_end(spark):
     got = pairs.select("*", *(c.gamma() for c in comparisons))
     assert {(r["unique_id_l"], r["unique_id_r"]): r["blocked_by"] for r in got.collect()} == {("G1", "1"): "county_fips", ("G2", "1"): "fallback", ("G2", "2"): "fallback"}
     best = got.where("unique_id_l = 'G1'").first()
-    assert [best[f"gamma_{c.name}"] for c in comparisons] == [1, 3, 3, 1 if "works" in ["old"] else 0, 2, 3]
+    assert [best[f"gamma_{c.name}"] for c in comparisons] == [1, 3, 3, 0, 2, 3]
     weights = L.estimate(got, got, comparisons, 2, 2)
     scored = L.score(got, comparisons, weights, {"zip5": L.term_frequencies(left, right, "zip5")})
     assert scored.where("match_probability between 0 and 1").count() == 3
@@ -295,6 +296,89 @@ def test_flow_order_and_marts(spark, tmp_path):
     assert {r["start_year_status"] for r in spark.table("stg_plantgen").collect()} == {"unknown", "reported"}
 
 
+PLANT_HEADER = (
+    "Plant ID;Plant name (English);Other plant names (English);Owner;Owner PermID;Owner GEM ID;Parent;Municipality;Subnational unit (province/state);Country/area;Location address;Coordinates;Coordinate accuracy;"
+    "Capacity operating status;Main production process;Main production equipment;Start date;Retired date;Nominal crude steel capacity (ttpa);Nominal BOF steel capacity (ttpa);"
+    "Nominal EAF steel capacity (ttpa);Nominal iron capacity (ttpa);Workforce size"
+).split(";")
+
+
+def plant(i, name, state, country, at, accuracy="exact", **more):
+    row = dict.fromkeys(PLANT_HEADER) | {"Plant ID": i, "Plant name (English)": name, "Subnational unit (province/state)": state, "Country/area": country, "Coordinates": at, "Coordinate accuracy": accuracy, "Owner": "Own Corp"}
+    return list((row | more).values())
+
+
+def test_from_files_to_marts(spark, tmp_path, capsys):
+    workbook(tmp_path / "plants.xlsx", [
+        PLANT_HEADER, plant("P1", "Alpha Works", "Connecticut", "United States", "39.5, -95.5"), plant("P1", "Alpha Works", "Connecticut", "United States", "39.5, -95.5"),
+        plant("P2", "Beta", "Ohio", "United States", "41.0, -95.5", "approximate"), plant("P3", "Gamma", "Ontario", "Canada", "unknown"), plant("P4", "Delta", None, "France", "1, 1"),
+    ])
+    workbook(tmp_path / "made.xlsx", PRODUCTION_ROWS)
+    (tmp_path / "plantgen.csv").write_text(CSV)
+    (tmp_path / "old.csv").write_text("Corrected C/L,ID,FID,Year,Year List,Owner,Owner2,Main Product Line,Data ID,No. of furnaces,Power (KWh/Metric Ton)\n\"['Plain']\",1,1,2015,\"['2015']\",Own,,x,1,1,1\n")
+    (tmp_path / "new.csv").write_text((tmp_path / "old.csv").read_text() + "\"['Plain']\",1,1,2016,\"['2016']\",Other Corp,,x,1,1,1\n")
+    ring = lambda x: [[x, 39.0], [x + 1, 39.0], [x + 1, 40.0], [x, 40.0], [x, 39.0]]
+    shapes = [{"properties": {"GEOID": g, "NAME": g, "STUSPS": "CT"}, "geometry": {"type": "Polygon", "coordinates": [ring(x)]}} for g, x in (("09001", -96.0), ("09003", -95.0))]
+    (tmp_path / "counties.json").write_text(json.dumps({"crs": {"properties": {"name": "EPSG:4269"}}, "features": shapes}))
+    at = lambda name: f"{tmp_path}/{name}"
+    (tmp_path / "sources.json").write_text(json.dumps({
+        "plantgen": at("plantgen.csv"), "gspt_plants": at("plants.xlsx"), "gspt_production": at("made.xlsx"), "counties": at("counties.json"),
+        "furnace_years": [["BOF", "gspt_2024", at("old.csv")], ["BOF", "owner_filled_2025", at("new.csv")]],
+    }))
+    root = f"file://{tmp_path}/lake"
+    main(["all", root, at("sources.json")])
+    said = capsys.readouterr().out
+    assert "raw.gspt_plants: 5 rows, snapshot 1" in said and "geo.counties: 2 rows, snapshot 1" in said
+    lake = Lake(spark, LakeConfig(root))
+    assert {t for n, t in lake.tables() if n == "marts"} == {n for n in mart_flow().steps if not n.startswith("stg_")}
+    geo = lake.read("geo", "gspt_plant_county")
+    got = {r["plant_id"]: r for r in geo.collect()}
+    assert set(got) == {"P1", "P2", "P3"}
+    assert (got["P1"]["county_fips"], got["P1"]["county_state"], got["P1"]["in_plantgen_county"], got["P1"]["nearest_county_fips"]) == ("09001", "CT", True, None)
+    assert (got["P2"]["county_fips"], got["P2"]["nearest_county_fips"], got["P2"]["in_plantgen_county"]) == (None, "09001", False) and got["P2"]["nearest_county_distance_m"] > 100_000
+    assert [got[p]["county_assignment_status"] for p in ("P1", "P2", "P3")] == ["assigned", "outside_county_boundaries", "no_coordinates"]
+    report = N.geo_coverage(geo, lake.read("raw", "plantgen")).first().asDict()
+    assert (report["plants_total"], report["plants_with_coordinates"], report["county_assigned"], report["county_unassigned"], report["matched_plantgen_county"]) == (3, 2, 1, 1, 1)
+    assert [r["plant_id"] for r in N.without_coordinates(geo).collect()] == ["P3"]
+    assert [tuple(r) for r in N.unassigned_by_country(geo).collect()] == [("United States", 1)]
+    assert {tuple(r) for r in N.coverage_by_accuracy(geo).collect()} == {("exact", 2, 1, 1), ("approximate", 1, 0, 0)}
+    pairs, bridge = lake.read("resolution", "gspt_plantgen_candidates"), lake.read("marts", "bridge_plant_xref")
+    assert len(pairs.columns) == 10 and pairs.count() and Q.bridge_reconciles(bridge, pairs).passed and Q.verdict_columns(bridge).isEmpty()
+    staged = spark.table("stg_furnace_year")
+    assert Q.repeats_removed(lake.read("raw", "furnace_years"), staged, 0).isEmpty() and Q.repeats_removed(lake.read("raw", "furnace_years"), staged, 1).first()["removed"] == 0
+    main(["geo", root])
+    assert lake.snapshots("geo", "gspt_plant_county") == [1, 2] and lake.snapshots("marts", "dim_plant") == [1]
+    with pytest.raises(ValueError, match="no source"):
+        main(["ingest", root, at("sources.json"), "nothing"])
+
+
+def test_assertions_of_the_build(spark):
+    changes = spark.createDataFrame([("BOF-70", 2022, "a", "c", "excursion"), ("BOF-70", 2018, "a", "b", "excursion"), ("BOF-71", 2022, "a", "b", "refinement")], "facility_key string, change_year long, from_owner_raw string, to_owner_raw string, change_class string")
+    assert [r["change_year"] for r in Q.transfer_survives(changes, "BOF-70", 2022).collect()] == [2022]
+    assert Q.transfer_survives(changes.withColumn("change_class", F.lit("credible_transfer")), "BOF-70", 2022).isEmpty()
+    facts = spark.createDataFrame([("BOF-1-x", "1"), ("BOF--x", None)], "furnace_key string, facility_id string")
+    assert [r["furnace_key"] for r in Q.no_null_facility(facts).collect()] == ["BOF--x"]
+    assert [r["column"] for r in Q.verdict_columns(facts.withColumn("is_match", F.lit(1))).collect()] == ["is_match"] and Q.verdict_columns(facts).isEmpty()
+
+
+def test_nearest_by_blocks(spark):
+    """Any number of blocks gives the plain search's answer, ties and points inside included."""
+    ring = lambda x, y, r: [[{"x": x + a * r, "y": y + b * r} for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))]]
+    shapes = [(f"g{i}", i, ring(float(i * 7 % 20), float(i * 5 % 20), 1.0 + i % 3)) for i in range(30)] + [("same", 40, ring(0.0, 0.0, 1.0)), ("none", 41, [])]
+    polygons = spark.createDataFrame(shapes, "geo_id string, position int, rings array<array<struct<x: double, y: double>>>")
+    spots = [(2**53 + i, float(i * 3 % 23) - 1.5, float(i * 11 % 29) - 2.25) for i in range(60)] + [(5, None, 1.0)]
+    points = spark.createDataFrame(spots, "i long, x double, y double")
+    expected = {}
+    for i, x, y in spots[:-1]:
+        rings = [(g, p, G.rings_of(r)) for g, p, r in shapes if r]
+        expected[i] = min((0.0 if G.inside(x, y, r) else round(G.edge_distance(x, y, r), 6), p, g) for g, p, r in rings)
+    for block in (5_000_000, 40):
+        got = {r["i"]: (r["nearest_distance_m"], r["nearest_geo_id"]) for r in G.nearest_polygon(points, polygons, "i", "x", "y", False, block).collect()}
+        assert got == {i: (m, g) for i, (m, _, g) in expected.items()}
+    nothing = G.nearest_polygon(points, polygons.limit(0), "i", "x", "y", False)
+    assert nothing.where("nearest_geo_id is null and nearest_distance_m is null").count() == 60
+
+
 def test_streams(spark, tmp_path):
     root = tmp_path / "raw"
     seen = []
