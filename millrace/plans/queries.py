@@ -17,6 +17,7 @@ from millrace.operators import evaluation as E
 from millrace.operators import geo as G
 from millrace.operators import linkage as L
 from millrace.operators import rows as R
+from millrace.plans import enrich as N
 from millrace.plans import quality as Q
 from millrace.sources.contracts import Contract, fields
 from millrace.sources.readers import unpivot_production
@@ -796,3 +797,60 @@ def q_point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = G.nearest_polygon(t(spark, sf_dir, "customer", *POINT), boxes(spark), "c_custkey", "x", "y", project=False)
     return near.withColumn("nearest_distance_m", F.round("nearest_distance_m", 6))
+
+
+COVERED_SQL = f"""
+    {BOX_SQL}, placed AS (SELECT c_custkey, min(geo_id) AS county FROM p JOIN b ON x > x0 AND x < x1 AND y > y0 AND y < y1 WHERE c_custkey % 11 <> 0 GROUP BY 1),
+    census AS (SELECT CASE s_suppkey % 5 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN NULL ELSE CAST(s_suppkey AS VARCHAR) END AS st_cnty_fips FROM supplier),
+    sizes AS (SELECT st_cnty_fips, count(*) AS n FROM census GROUP BY 1),
+    plants AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'approximate' END AS coordinate_accuracy, c_custkey % 11 <> 0 AS has, county, coalesce(county IN (SELECT st_cnty_fips FROM census WHERE st_cnty_fips IS NOT NULL), false) AS known FROM customer LEFT JOIN placed USING (c_custkey))
+"""
+
+
+def covered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers as plants, of which one in eleven has no coordinates, and suppliers as the census."""
+    spots = t(spark, sf_dir, "customer", "c_custkey", "CASE WHEN c_custkey % 11 <> 0 THEN c_acctbal / 1000 END AS x", "CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey % 97 AS DOUBLE) / 10 END AS y", "CASE c_custkey % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'approximate' END AS coordinate_accuracy")
+    census = t(spark, sf_dir, "supplier", "CASE s_suppkey % 5 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN NULL ELSE CAST(s_suppkey AS STRING) END AS st_cnty_fips")
+    held = G.point_in_polygon(spots, boxes(spark), "c_custkey", "x", "y").withColumnRenamed("geo_id", "county_fips")
+    return N.with_known_county(spots.withColumn("has_coordinates", F.col("x").isNotNull()).join(held, "c_custkey", "left"), census), census
+
+
+@query(f"""
+    WITH {COVERED_SQL} SELECT * FROM (SELECT count(*)::BIGINT AS plants_total, count(*) FILTER (has)::BIGINT AS plants_with_coordinates, count(*) FILTER (NOT has)::BIGINT AS plants_without_coordinates, count(county)::BIGINT AS county_assigned,
+        count(*) FILTER (has AND county IS NULL)::BIGINT AS county_unassigned, count(*) FILTER (known)::BIGINT AS matched_plantgen_county, count(*) FILTER (county IS NOT NULL AND NOT known)::BIGINT AS unmatched_plantgen_county FROM plants),
+      (SELECT count(*)::BIGINT AS plantgen_counties_total, count(*) FILTER (n = 1)::BIGINT AS plantgen_counties_with_one_plant, count(*) FILTER (n > 1)::BIGINT AS plantgen_counties_with_many_plants,
+        coalesce(sum(n) FILTER (n > 1), 0)::BIGINT AS plantgen_plants_in_shared_counties, coalesce(sum(n) FILTER (n = 1), 0)::BIGINT AS plantgen_plants_alone_in_county FROM sizes)
+""")
+def q_geo_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.geo_coverage(*covered(spark, sf_dir))
+
+
+@query(f"WITH {COVERED_SQL} SELECT coordinate_accuracy, count(*)::BIGINT AS plants, count(county)::BIGINT AS assigned, count(*) FILTER (known)::BIGINT AS matched FROM plants GROUP BY 1")
+def q_coverage_by_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.coverage_by_accuracy(covered(spark, sf_dir)[0])
+
+
+@query("""
+    WITH a AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 <> 0 THEN [p_name, p_brand] END AS l, CASE WHEN p_partkey % 7 > 1 THEN [p_type] END AS r, split_part(p_name, ' ', 1) AS name_r, p_brand AS city_r, p_type AS name_l, 'none' AS city_l FROM part)
+    SELECT k, CASE WHEN l IS NULL AND r IS NULL THEN -1
+        WHEN coalesce(list_contains(l, name_r), false) OR coalesce(k % 2 = 0 AND list_contains(l, city_r), false) OR coalesce(k % 3 = 0 AND list_contains(r, name_l), false) THEN 2
+        WHEN coalesce(len(list_filter(l, lambda n: list_contains(string_split(n, ' '), name_r))) > 0, false) OR coalesce(k % 2 = 0 AND len(list_filter(l, lambda n: list_contains(string_split(n, ' '), city_r))) > 0, false) OR coalesce(k % 3 = 0 AND len(list_filter(r, lambda n: list_contains(string_split(n, ' '), name_l))) > 0, false) THEN 1 ELSE 0 END::INTEGER AS gamma_alias
+    FROM a
+""")
+def q_alias_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(
+        spark, sf_dir, "part", "p_partkey AS k", "CASE WHEN p_partkey % 7 <> 0 THEN array(p_name, p_brand) END AS names_l", "CASE WHEN p_partkey % 7 > 1 THEN array(p_type) END AS names_r",
+        "split_part(p_name, ' ', 1) AS name_r", "CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS city_r", "CASE WHEN p_partkey % 3 = 0 THEN p_type END AS name_l", "'none' AS city_l",
+    )
+    return rows.select("k", L.alias("alias", "names", ["name", "city"]).gamma())
+
+
+@query("""
+    WITH raw AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 4 = 0 THEN 'gspt_2024' ELSE 'owner_filled_2025' END AS source_version, CASE WHEN l_linenumber = 7 THEN 'unaligned_no_key' ELSE 'aligned' END AS alignment_status FROM lineitem),
+         kept AS (SELECT * FROM raw WHERE source_version = 'owner_filled_2025' AND alignment_status <> 'unaligned_no_key'), n AS (SELECT (SELECT count(*) FROM kept)::BIGINT AS bronze_rows, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey FROM kept))::BIGINT AS staged_rows)
+    SELECT *, bronze_rows - staged_rows AS removed FROM n WHERE bronze_rows - staged_rows <> 24
+""")
+def q_repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = t(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "CASE WHEN l_orderkey % 4 = 0 THEN 'gspt_2024' ELSE 'owner_filled_2025' END AS source_version", "CASE WHEN l_linenumber = 7 THEN 'unaligned_no_key' ELSE 'aligned' END AS alignment_status")
+    kept = raw.where("source_version = 'owner_filled_2025' AND alignment_status <> 'unaligned_no_key'")
+    return Q.repeats_removed(raw, R.first_per_key(kept, ["l_orderkey"], ["l_linenumber"]), 24)
