@@ -36,6 +36,8 @@ STEP = 64
 CHUNK = 1 << 19
 PIECE = 12 << 20
 CACHE = 300_000
+#: Words that go to the library at once.
+PART = 512
 #: Shorter windows than this are padded like others, so that texts aren't cut into crumbs.
 LEAST = 128
 
@@ -61,8 +63,11 @@ class WordTokenizer:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tokenizer.model)  # for words that are lower-case printable ASCII: only the merges
+        self.bare.pre_tokenizer = WhitespaceSplit()
         self.mark = self.tokenizer.token_to_id("<|endoftext|>")
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
@@ -76,8 +81,9 @@ class WordTokenizer:
             self.last[i] = body != piece
             self.ends[i] = body != piece and body.rstrip("\"')»”’")[-1:] in {".", "!", "?"}
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def ids(self, text: str, tokenizer: object = None) -> np.ndarray:
+        """The library's ids, without the offsets that nothing here reads."""
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def split(self, keys: list, ids: np.ndarray, cuts: np.ndarray, gap: int, into: dict) -> None:
         """Keep the bytes of the ids between cuts, ``gap`` ids after each left out."""
@@ -105,17 +111,20 @@ class WordTokenizer:
         if len(self.words) > 2 * CACHE:
             self.words, self.old_words = {}, self.words
         known, old = self.words, self.old_words
-        new = []
+        plain, other = [], []
         lower = [r.lower() for r in alone]
         for w in {w for _, words in cut for w in words}.union(lower).difference(known):
             if w in old:
                 known[w] = old[w]
+            elif w.isascii() and w.isprintable():
+                plain.append(w)
             else:
-                new.append(w)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            ids = self.ids(" ".join(part))
-            self.split(part, ids, np.flatnonzero(self.last[ids]) + 1, 0, self.words)
+                other.append(w)
+        for tokenizer, new in ((self.bare, plain), (self.tokenizer, other)):
+            for at in range(0, len(new), PART):
+                part = new[at : at + PART]
+                ids = self.ids(" ".join(part), tokenizer)
+                self.split(part, ids, np.flatnonzero(self.last[ids]) + 1, 0, known)
         get = self.words.__getitem__
         self.known.update(zip(alone, map(get, lower), strict=True))
         for r, words in cut:
@@ -131,7 +140,10 @@ class WordTokenizer:
         Arrow splits the texts and numbers the distinct runs; ids are gathered for all runs at once.
         """
         for a, b in chunks([t if isinstance(t, str) else "" for t in texts], PIECE):
-            array = pa.array([t.encode("utf-8", "replace").decode() if isinstance(t, str) else "" for t in texts[a:b]], pa.large_string())
+            try:
+                array = pa.array(texts[a:b], pa.large_string(), from_pandas=True).fill_null("")
+            except UnicodeEncodeError:  # a lone surrogate
+                array = pa.array([t.encode("utf-8", "replace").decode() if isinstance(t, str) else "" for t in texts[a:b]], pa.large_string())
             # Texts whose characters normalise one by one are lowered here, so that a word's forms are one run.
             simple = pc.and_not(pc.match_substring_regex(array, ALL_SIMPLE), pc.match_substring(array, "<|"))
             runs = pc.ascii_split_whitespace(pc.if_else(simple, pc.utf8_lower(array), array))
@@ -140,18 +152,16 @@ class WordTokenizer:
             if len(self.known) > CACHE:  # the last generation stays at hand
                 self.known, self.old = {"": b""}, self.known
             known, old = self.known, self.old
-            parts = list(map(known.get, names))
+            parts = list(map(known.get, names)) if len(known) > 1 else [None] * len(names)
             missing = [i for i, p in enumerate(parts) if p is None]
-            unseen = []
-            for i in missing:
-                r = names[i]
-                if (p := old.get(r)) is None:
-                    unseen.append(r)
-                else:
-                    known[r] = p
-            self.learn(unseen)
-            for i in missing:
-                parts[i] = known[names[i]]
+            absent = [names[i] for i in missing]
+            kept = list(map(old.get, absent)) if old else [None] * len(absent)
+            self.learn([r for r, p in zip(absent, kept, strict=True) if p is None])
+            get = known.__getitem__
+            kept = [get(r) if p is None else p for r, p in zip(absent, kept, strict=True)]
+            known.update(zip(absent, kept, strict=True))
+            for i, p in zip(missing, kept, strict=True):
+                parts[i] = p
             sizes = np.fromiter(map(len, parts), np.int32, len(parts)) >> 2
             ids = np.frombuffer(b"".join(parts), np.uint32)
             counts = sizes[index]
@@ -205,14 +215,15 @@ def best_cuts(pos: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
 def cut_points(sizes: np.ndarray, sentence_ends: np.ndarray, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
     """Positions and costs of the allowed cuts in a stream of documents; 0 comes first."""
     ends = np.cumsum(sizes)
-    pos = np.unique(np.concatenate(([0], sentence_ends, ends)))
+    pos = np.sort(np.concatenate(([0], sentence_ends, ends)), kind="stable")  # of three rising runs
+    pos = pos[np.append(True, np.diff(pos) > 0)]
     gaps = np.diff(pos)
     wide = np.flatnonzero(gaps > 2 * step)
     more = [np.arange(pos[i] + step, pos[i + 1], step) for i in wide.tolist()]
     hard = np.concatenate(more) if more else np.empty(0, np.int64)
     everything = np.concatenate((pos, hard))
     cost = np.concatenate((np.full(len(pos), SENTENCE), np.full(len(hard), HARD)))
-    cost[: len(pos)][np.isin(pos, ends)] = 0
+    cost[np.searchsorted(pos, ends)] = 0
     cost[0] = 0
     order = np.argsort(everything, kind="stable")
     return everything[order], cost[order]
