@@ -17,26 +17,32 @@ from pyspark.sql import functions as F
 
 #: nearest_polygon sends its polygons to tasks in blocks of about this many vertices.
 BLOCK_VERTICES = 5_000_000
+#: Points times edges, or points times boxes, that are measured at once.
+AT_ONCE = 1 << 17
 
 
 def rings_of(value: object) -> list[np.ndarray]:
     return [np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in value]
 
 
-def inside(x: float, y: float, rings: list[np.ndarray]) -> bool:
-    """Strictly inside: even-odd over all rings, points on an edge are outside."""
-    odd = False
+def inside_each(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
+    """Strictly inside, for each point: even-odd over all rings, points on an edge are outside."""
+    odd, edge = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    x, y = x[:, None], y[:, None]
     for ring in rings:
-        a, b = ring, np.roll(ring, -1, axis=0)
-        cross = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
-        box = (np.minimum(a[:, 0], b[:, 0]) <= x) & (x <= np.maximum(a[:, 0], b[:, 0])) & (np.minimum(a[:, 1], b[:, 1]) <= y) & (y <= np.maximum(a[:, 1], b[:, 1]))
-        if ((cross == 0) & box).any():
-            return False
-        up = (a[:, 1] > y) != (b[:, 1] > y)
+        (ax, ay), (bx, by) = ring.T, np.roll(ring, -1, axis=0).T
+        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        box = (np.minimum(ax, bx) <= x) & (x <= np.maximum(ax, bx)) & (np.minimum(ay, by) <= y) & (y <= np.maximum(ay, by))
+        edge |= ((cross == 0) & box).any(axis=1)
+        up = (ay > y) != (by > y)
         with np.errstate(divide="ignore", invalid="ignore"):
-            at = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]
-        odd ^= bool((up & (x < at)).sum() % 2)
-    return odd
+            at = (bx - ax) * (y - ay) / (by - ay) + ax
+        odd ^= (up & (x < at)).sum(axis=1) % 2 == 1
+    return odd & ~edge
+
+
+def inside(x: float, y: float, rings: list[np.ndarray]) -> bool:
+    return bool(inside_each(np.array([x]), np.array([y]), rings)[0])
 
 
 def albers(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,17 +63,34 @@ def albers(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rho * np.sin(theta), a * np.sqrt(c - n * q(p0)) / n - rho * np.cos(theta)
 
 
-def edge_distance(x: float, y: float, rings: list[np.ndarray]) -> float:
-    best = math.inf
+def edge_distances(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
+    """Distance of each point to the nearest edge, unrounded.
+
+    Corners and edges along an axis take differences of coordinates alone, and an edge is measured the same from either end, so that
+    equal distances come out equal and others, however close, do not.
+    """
+    best = np.full(len(x), math.inf)
+    x, y = x[:, None], y[:, None]
     for ring in rings:
         a, b = ring, np.roll(ring, -1, axis=0)
-        d = b - a
-        size = (d**2).sum(axis=1)
-        t = np.clip(((x - a[:, 0]) * d[:, 0] + (y - a[:, 1]) * d[:, 1]) / np.where(size == 0, 1, size), 0, 1)
-        best = min(best, float(np.hypot(a[:, 0] + t * d[:, 0] - x, a[:, 1] + t * d[:, 1] - y).min()))
+        swap = ((a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1])))[:, None]
+        (ax, ay), (bx, by) = np.where(swap, b, a).T, np.where(swap, a, b).T
+        dx, dy = bx - ax, by - ay
+        size = dx * dx + dy * dy
+        size[size == 0] = 1
+        t = ((x - ax) * dx + (y - ay) * dy) / size
+        gap_x = np.where((dy == 0) & (ax <= x) & (x <= bx), 0.0, np.where(t < 1, ax, bx) - x)
+        gap_y = np.where((dx == 0) & (ay <= y) & (y <= by), 0.0, np.where(t < 1, ay, by) - y)
+        slanted = (t > 0) & (t < 1) & (dx != 0) & (dy != 0)
+        far = np.where(slanted, np.abs(dx * (y - ay) - dy * (x - ax)) / np.sqrt(size), np.sqrt(gap_x * gap_x + gap_y * gap_y))
+        best = np.minimum(best, far.min(axis=1))
     return best
 
 
+def edge_distance(x: float, y: float, rings: list[np.ndarray]) -> float:
+    return float(edge_distances(np.array([x]), np.array([y]), rings)[0])
+
+
 def cells(low_x: Column, high_x: Column, low_y: Column, high_y: Column, size: float) -> Column:
     step = lambda c: F.floor(c / size).cast("bigint")
     xs, ys = F.sequence(step(low_x), step(high_x)), F.sequence(step(low_y), step(high_y))
@@ -98,27 +121,45 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str
 Shape = tuple[int, str, list[np.ndarray]]
 
 
-def nearest_of(x: float, y: float, shapes: list[Shape], boxes: np.ndarray) -> tuple[float | None, int | None, str | None]:
-    """(distance, position, geo_id) of the nearest shape, the first by position among equal distances.
+def nearest_of(x: np.ndarray, y: np.ndarray, shapes: list[Shape], boxes: np.ndarray, rounded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(distance, number) of the shape nearest to each point, the first by position and geo_id among equal distances; -1 without a shape.
 
-    Shapes are visited by the distance of their boxes (x0, y0, x1, y1), which is never more than their own, until that passes the best.
+    A point visits shapes by the distance of their boxes (x0, y0, x1, y1), which is never more than their own, until that passes the best;
+    points that visit one shape do so together.  ``rounded`` compares distances at six decimals.
     """
-    gap_x, gap_y = np.maximum(0, np.maximum(boxes[:, 0] - x, x - boxes[:, 2])), np.maximum(0, np.maximum(boxes[:, 1] - y, y - boxes[:, 3]))
+    best, number = np.full(len(x), math.inf), np.full(len(x), -1)
+    if not shapes:
+        return best, number
+    rank = np.empty(len(shapes), np.int64)
+    rank[sorted(range(len(shapes)), key=lambda k: shapes[k][:2])] = np.arange(len(shapes))
+    gap_x = np.maximum(0, np.maximum(boxes[:, 0] - x[:, None], x[:, None] - boxes[:, 2]))
+    gap_y = np.maximum(0, np.maximum(boxes[:, 1] - y[:, None], y[:, None] - boxes[:, 3]))
     bound = np.hypot(gap_x, gap_y)
-    best: tuple[float, int, str] | None = None
-    for k in np.argsort(bound, kind="stable").tolist():
-        if best and bound[k] > best[0] + 1e-6:  # distances are rounded
+    order = np.argsort(bound, axis=1, kind="stable")
+    left = np.arange(len(x))
+    for k in order.T:
+        left = left[~(bound[left, k[left]] > best[left] * (1 + 1e-9) + 1e-6 * rounded)]  # the last bits of both are rounded
+        if not len(left):
             break
-        position, geo_id, rings = shapes[k]
-        found = (0.0 if inside(x, y, rings) else round(edge_distance(x, y, rings), 6), position, geo_id)
-        best = found if best is None else min(best, found)
-    return best or (None, None, None)
+        by = left[np.argsort(k[left], kind="stable")]
+        for same in np.split(by, np.flatnonzero(np.diff(k[by])) + 1):
+            shape = int(k[same[0]])
+            rings = shapes[shape][2]
+            step = max(1, AT_ONCE // max(len(r) for r in rings))
+            for i in range(0, len(same), step):
+                at = same[i : i + step]
+                far = np.where(inside_each(x[at], y[at], rings), 0.0, edge_distances(x[at], y[at], rings))
+                far = np.round(far, 6) if rounded else far
+                better = (far < best[at]) | ((far == best[at]) & ((number[at] < 0) | (rank[shape] < rank[number[at]])))
+                best[at[better]], number[at[better]] = far[better], shape
+    return best, number
 
 
 def nearest_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str, y: str, project: bool = True, block: int = BLOCK_VERTICES) -> DataFrame:
     """(id, nearest geo_id, metres) over all polygons; ties go to the smaller position; without a polygon: null.
 
-    Polygons go to the tasks in blocks of about ``block`` vertices by a hash of their id.  Each point meets every block, and the nearest of
+    Distances are given to six decimals and compared unrounded, except in the projection: its own rounding would part a
+    point on a border from one of the polygons there.  Polygons go to the tasks in blocks of about ``block`` vertices by a hash of their id.  Each point meets every block, and the nearest of
     the blocks' nearest polygons is kept, so that neither the driver nor a task holds more than a block.
     """
     size = polygons.agg(F.sum(F.size(F.flatten("rings")))).first()[0] or 0
@@ -140,9 +181,12 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str,
             boxes = np.array([[*np.min([g.min(axis=0) for g in rings], axis=0), *np.max([g.max(axis=0) for g in rings], axis=0)] for _, _, rings in sent.value]).reshape(-1, 4)
             for batch in batches:
                 px, py = place(batch.column("__x").to_numpy(zero_copy_only=False), batch.column("__y").to_numpy(zero_copy_only=False))
-                best = [nearest_of(a, b, sent.value, boxes) for a, b in zip(px, py, strict=True)]
-                columns = [batch.column("__id"), pa.array([p for _, p, _ in best], pa.int64()), pa.array([g for _, _, g in best], pa.string()), pa.array([m for m, _, _ in best], pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["__id", "position", "geo_id", "metres"])
+                step = max(1, AT_ONCE // max(1, len(boxes)))
+                for i in range(0, len(px), step):
+                    far, number = nearest_of(px[i : i + step], py[i : i + step], sent.value, boxes, project)
+                    found = [(sent.value[n][0], sent.value[n][1], m) if n >= 0 else (None, None, None) for n, m in zip(number.tolist(), far.tolist(), strict=True)]
+                    columns = [pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), (pa.int64(), pa.string(), pa.float64()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column("__id").slice(i, step), *columns], ["__id", "position", "geo_id", "metres"])
 
         return spots.mapInArrow(run, f"__id {kind}, position long, geo_id string, metres double")
 
@@ -152,7 +196,7 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, id_col: str, x: str,
             found = found.union(against(k))
         by = F.struct(F.coalesce("metres", F.lit(math.inf)).alias("m"), "position")
         found = found.groupBy("__id").agg(F.min_by("geo_id", by).alias("geo_id"), F.min("metres").alias("metres"))
-    return found.select(F.col("__id").alias(id_col), F.col("geo_id").alias("nearest_geo_id"), F.col("metres").alias("nearest_distance_m"))
+    return found.select(F.col("__id").alias(id_col), F.col("geo_id").alias("nearest_geo_id"), F.round("metres", 6).alias("nearest_distance_m"))
 
 
 def assign_polygons(points: DataFrame, polygons: DataFrame, id_col: str, lat: str, lon: str) -> DataFrame:

@@ -379,6 +379,18 @@ def test_nearest_by_blocks(spark):
     assert nothing.where("nearest_geo_id is null and nearest_distance_m is null").count() == 60
 
 
+def test_nearest_by_less_than_rounding(spark):
+    """Of two polygons whose distances round alike, the nearer one wins; equal distances go to the smaller position, from either end of an edge."""
+    ring = lambda *corners: [[{"x": x, "y": y} for x, y in corners]]
+    shapes = [("far", 0, ring((0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0))), ("near", 1, ring((4.0, 0.0), (8.0, 0.0), (8.0, 4.0), (4.0, 4.0)))]
+    slanted = [("b", 1, ring((20.0, 0.3), (21.0, 1.0), (22.0, 0.0))), ("a", 0, ring((22.0, 0.0), (21.0, 1.0), (20.0, 0.3)))]
+    polygons = spark.createDataFrame(shapes + slanted, "geo_id string, position int, rings array<array<struct<x: double, y: double>>>")
+    points = spark.createDataFrame([(1, 4.0008, 4.8), (2, 3.9992, 4.8), (3, 4.0, 4.8), (4, 20.4, 2.1), (5, 21.7, 1.9)], "i long, x double, y double")
+    for block in (5_000_000, 4):
+        got = {r["i"]: (r["nearest_geo_id"], r["nearest_distance_m"]) for r in G.nearest_polygon(points, polygons, "i", "x", "y", False, block).collect()}
+        assert [got[i] for i in (1, 2, 3)] == [("near", 0.8), ("far", 0.8), ("far", 0.8)] and got[4][0] == got[5][0] == "a"
+
+
 def test_streams(spark, tmp_path):
     root = tmp_path / "raw"
     seen = []
