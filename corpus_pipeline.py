@@ -31,6 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of texts whose five-word shingles have a Jaccard similarity of at least 0.8.
 
+    Tries of SimHash fingerprints and, beyond their radius, MinHash buckets find the candidates; stars are contracted; shingles decide.
     Texts without a word are one component; rows without an id stay; repeated rows of a kept id stay together; a pair at exactly
     0.8 is linked; very long texts are compared whole; an empty table stays empty; columns of any name stay.
     """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -81,6 +82,7 @@ def map_slices(df: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Itera
                 for at in range(0, batch.num_rows, rows):
                     yield batch.slice(at, rows).to_pandas(types_mapper=WHOLE.get)
 
+        trim()  # what an earlier task has left
         for frame in function(slices()):
             if len(frame):
                 yield pa.RecordBatch.from_pandas(frame[names], schema=target, preserve_index=False)
@@ -116,6 +118,14 @@ def chunks(blobs: list[bytes] | list[str], limit: int) -> Iterator[tuple[int, in
         yield start, len(blobs)
 
 
+def trim() -> None:
+    """Give back what this worker has freed: it is used again, by stages that need their own memory."""
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if release:
+        release(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit words (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(31))

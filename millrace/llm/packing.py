@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import chunks, exact_ids, frame_of, map_slices
+from millrace.llm.common import chunks, exact_ids, frame_of, map_slices, trim
 
 END_ID = 1
 SIZE = 2048
@@ -321,5 +321,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         finally:  # also when the task ends early: the worker is used again
             if collecting:
                 gc.enable()
+            del words
+            trim()
 
     return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), run, SCHEMA, rows=3000)

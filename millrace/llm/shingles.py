@@ -1,12 +1,14 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles; MinHash only finds the candidates.
+"""Near-duplicates by exact Jaccard similarity of word shingles, among candidates of two kinds.
 
 1. Texts with the same set of shingles are one class; its key is a hash of the set.
-2. A class has ``BANDS`` hashes of ``ROWS`` least hashes each.  Classes that share one are candidates: they are linked
-   to the least key of the bucket, and stars are contracted to groups.  A pair at 0.8 shares a bucket with
+2. A class has a SimHash fingerprint of its set.  A self-join of binary tries (``simhash.py``) links classes whose
+   fingerprints differ in at most RADIUS bits.
+3. Most pairs at the threshold lie beyond any radius that the tries can carry.  For these, a class has ``BANDS`` hashes of ``ROWS`` least hashes each.  Classes that share one are linked to the least
+   key of the bucket.  Stars of the links of both kinds are contracted to groups.  A pair at 0.8 shares a bucket with
    probability 1 - (1 - 0.8**ROWS)**BANDS = 0.99994, a more similar one with a higher one.
-3. A group is cut into chunks of at most ``BLOCK`` classes.  A task compares the shingles of a chunk exactly and gives
+4. A group is cut into chunks of at most ``BLOCK`` classes.  A task compares the shingles of a chunk exactly and gives
    a spanning forest of the pairs at or above the threshold.
-4. In a group of several chunks, the classes outside its largest component meet all its chunks once more,
+5. In a group of several chunks, the classes outside its largest component meet all its chunks once more,
    so that every pair of a group is compared unless it is linked already.
 """
 
@@ -21,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_slices, mix64, stored
-from millrace.llm.simhash import HELD, LOWER, keep_representatives, star_components
+from millrace.llm.simhash import HELD, LOWER, SHIFTS, keep_representatives, links, star_components
 
 WIDTH = 5
 #: The threshold is SHARE[0] / SHARE[1], in whole numbers.
 SHARE = (4, 5)
 BANDS, ROWS = 32, 6
+#: Bits in which fingerprints that the tries link may differ.
+RADIUS = 3
 #: Classes in a task.
 BLOCK = 128
 #: Shingles that are permuted at once: they stay in the processor's cache.
@@ -57,6 +61,12 @@ def key_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), 7)).view(np.int64))
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """Signed SimHash fingerprint of a set of shingles: a bit is set if more than half of the hashes have it; 0 for none."""
+    bits = np.unpackbits(found.view(np.uint8).reshape(len(found), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int((np.uint64(1) << SHIFTS[2 * bits > len(found)]).sum(dtype=np.uint64).view(np.int64))
+
+
 def bands(sets: list[np.ndarray]) -> np.ndarray:
     """The band hashes (BANDS columns) of sets that are not empty."""
     starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1])).astype(np.int64)
@@ -71,18 +81,18 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, key and bands of every row with an id; texts without words have no band and are one class."""
+    """doc_id, key, fingerprint and bands of every row with an id; texts without words have no band and are one class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys = np.empty(len(pdf), np.int64)
+            keys, prints = np.empty(len(pdf), np.int64), np.empty(len(pdf), np.int64)
             sig: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pdf)
             at: list[int] = []
             sets: list[np.ndarray] = []
             held = 0
             for i, text in enumerate(pdf["text"]):
                 found = shingles(text)
-                keys[i] = key_of(found)
+                keys[i], prints[i] = key_of(found), fingerprint(found)
                 if len(found):
                     at.append(i)
                     sets.append(found)
@@ -94,10 +104,10 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if at:
                 for j, row in zip(at, bands(sets), strict=True):
                     sig[j] = row
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "key": keys, "bands": sig})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "key": keys, "fp": prints, "bands": sig})
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
-    return map_slices(rows, run, "doc_id long, key long, bands array<long>")
+    return map_slices(rows, run, "doc_id long, key long, fp long, bands array<long>")
 
 
 def forest(keys: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -141,20 +151,29 @@ def compared(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(forest(keys, [sets[k] for k in keys]) if len(keys) > 1 else [], columns=["a", "b"]).astype("int64")
 
 
+def fingerprint_links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b), a > b: the tries' links between classes with shingles; classes of one fingerprint are linked to its least key."""
+    prints = classes.where(F.size("bands") > 0).select("key", "fp")
+    named = stored(prints.groupBy("fp").agg(F.min("key").alias("rep"), F.count("*").alias("n")), "tries")
+    held = F.broadcast if (several := named.where("n > 1").select("fp", "rep")).count() <= HELD else lambda df: df
+    same = prints.join(held(several), "fp").where("key > rep").select(F.col("key").alias("a"), F.col("rep").alias("b"))
+    return links(named.select("fp", "rep"), radius).union(same)
+
+
 def candidates(classes: DataFrame) -> DataFrame:
-    """(key, grp) of every class that shares a bucket with another; groups are joined buckets."""
+    """(key, grp) of every class that the tries link to another or that shares a bucket with one; groups are joined links."""
     dealt = classes.select("key", F.explode("bands").alias("bucket"))
     buckets = stored(dealt.groupBy("bucket").agg(F.min("key").alias("low"), F.count("*").alias("n")).where("n > 1").select("bucket", "low"), "buckets")
     held = F.broadcast if buckets.count() <= HELD else lambda df: df
     edges = dealt.join(held(buckets), "bucket").where("key > low").select(F.col("key").alias("a"), F.col("low").alias("b")).distinct()
-    found = star_components(edges).select(F.col("node").alias("key"), F.col("component").alias("grp"))
+    found = star_components(edges.union(fingerprint_links(classes)).distinct()).select(F.col("node").alias("key"), F.col("component").alias("grp"))
     return found.union(found.select(F.col("grp").alias("key"), "grp").distinct())
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id and component_id (the least id) of every row with an id."""
     prints = stored(signed(docs, id_col, text_col), "shingled")
-    classes = stored(prints.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = stored(prints.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "classes")
     grouped = candidates(classes)
     sizes = grouped.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(block)).alias("parts"))
     held = F.broadcast if sizes.count() <= HELD else lambda df: df

@@ -11,7 +11,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a docu
    smallest document, in batches.  A batch gets the suffix array of its segments, which is merged with
    that of each level: the neighbours of a suffix in the merged order give the longest string, of LENGTH
    bytes or more, that starts in an earlier document.  What no level has becomes a level, and levels of
-   like size merge, so that there are O(log n).
+   like size merge, so that there are O(log n).  A bucket is indexed in SUBS parts, by its anchors.
 3. Cuts.  Each unit gets the matched windows of its segments back and cuts the spans out of its texts.
 
 All three steps read one exchange of the texts.  Between them go only anchors and the segments of shared
@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mix64, utf8
+from millrace.llm.common import mix64, trim, utf8
 
 LENGTH = 50
 ANCHOR = 24
@@ -41,6 +41,8 @@ UNIT_BYTES = 6 << 20
 MAX_PARTS = 20_000
 #: Units for each bucket of anchors.
 UNITS = 1
+#: Parts of a bucket, by other bits of the anchor, that its task indexes one after another: no more than one is in memory.
+SUBS = 4
 BATCH = 1 << 16
 #: The longest segment, and the bytes of a key: a segment or suffix, filled up with zeros, and its length.
 WIDE = LENGTH + SPREAD - 1
@@ -300,6 +302,10 @@ def bucket_of(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchor >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
 
+def sub_of(anchor: np.ndarray) -> np.ndarray:
+    return ((anchor >> np.uint64(16)) % np.uint64(SUBS)).astype(np.int32)
+
+
 def by_bucket(anchors: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, indices in order) of an array of anchors."""
     own = bucket_of(anchors, buckets)
@@ -331,6 +337,7 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
 
     def tell(pdf: pd.DataFrame) -> pd.DataFrame:
         anchors, many = Unit(pdf).anchors()
+        trim()
         out = [(b, anchors[at].tobytes(), many[at].tobytes()) for b, at in by_bucket(anchors, buckets)]
         frame = pd.DataFrame(out, columns=["bucket", "numbers", "masks"])
         frame.insert(0, "unit", np.int32(pdf["unit"].iloc[0]))
@@ -359,7 +366,7 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
         return anchor, text, first, count, number, ranked, least
 
     def send(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "unit", "lengths", "docs", "numbers", "data", "size"]
+        columns = ["bucket", "unit", "parts", "lengths", "docs", "numbers", "data", "size"]
         if not len(texts) or not len(answers):
             return pd.DataFrame(columns=columns)
         own, _, _, _, number, ranked, least = numbered(Unit(texts), answers)
@@ -368,27 +375,33 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
         packer = zstandard.ZstdCompressor(level=1)
         out = []
         for b, at in by_bucket(anchor, buckets):
-            at = np.sort(at)
+            sub = sub_of(anchor[at])
+            at = at[np.lexsort((at, sub))]
             raw, sizes = bytes_of(ranked[at]), sizes_of(ranked[at])
             data = raw[:, :WIDE][np.arange(WIDE) < sizes[:, None]].tobytes()
-            out.append((b, int(texts["unit"].iloc[0]), sizes.astype(np.uint8).tobytes(), least[at].tobytes(), at.astype(np.int32).tobytes(), packer.compress(data), len(data)))
+            out.append((b, int(texts["unit"].iloc[0]), np.bincount(sub, minlength=SUBS).astype(np.int32).tobytes(), sizes.astype(np.uint8).tobytes(), least[at].tobytes(), at.astype(np.int32).tobytes(), packer.compress(data), len(data)))
         return pd.DataFrame(out, columns=columns)
 
     def index(pdf: pd.DataFrame) -> pd.DataFrame:
         opener = zstandard.ZstdDecompressor()
-        docs, keys = [], []
+        rows = []
         for r in pdf.itertuples():
-            data, sizes = opener.decompress(r.data, max_output_size=max(1, r.size)), np.frombuffer(r.lengths, np.uint8).astype(np.int64)
-            docs.append(np.frombuffer(r.docs, np.int64))
-            keys.append(keys_of(np.frombuffer(data, np.uint8), np.cumsum(sizes) - sizes, sizes))
-        masks = matched(np.concatenate(docs), np.concatenate(keys))
-        out, at = [], 0
-        for unit, numbers in zip(pdf["unit"], pdf["numbers"], strict=True):
-            names = np.frombuffer(numbers, np.int32)
-            own = masks[at : at + len(names)]
-            at += len(names)
-            if (some := own != 0).any():
-                out.append((unit, int(pdf["bucket"].iloc[0]), 1, names[some].tobytes(), own[some].astype(np.uint32).tobytes()))
+            sizes = np.frombuffer(r.lengths, np.uint8).astype(np.int64)
+            starts, cuts = np.cumsum(sizes) - sizes, np.concatenate(([0], np.cumsum(np.frombuffer(r.parts, np.int32))))
+            rows.append((np.frombuffer(opener.decompress(r.data, max_output_size=max(1, r.size)), np.uint8), starts, sizes, np.frombuffer(r.docs, np.int64), cuts, np.zeros(len(sizes), np.int64)))
+        for k in range(SUBS):
+            own = [slice(row[4][k], row[4][k + 1]) for row in rows]
+            found = matched(np.concatenate([row[3][at] for row, at in zip(rows, own, strict=True)]), np.concatenate([keys_of(row[0], row[1][at], row[2][at]) for row, at in zip(rows, own, strict=True)]))
+            done = 0
+            for row, at in zip(rows, own, strict=True):
+                row[5][at] = found[done : done + at.stop - at.start]
+                done += at.stop - at.start
+        out = []
+        for unit, numbers, row in zip(pdf["unit"], pdf["numbers"], rows, strict=True):
+            names, masks = np.frombuffer(numbers, np.int32), row[5]
+            if (some := masks != 0).any():
+                out.append((unit, int(pdf["bucket"].iloc[0]), 1, names[some].tobytes(), masks[some].astype(np.uint32).tobytes()))
+        trim()
         return pd.DataFrame(out, columns=["unit", "bucket", "kind", "numbers", "masks"]).astype({"unit": "int32", "bucket": "int32", "kind": "int8"})
 
     kinds = dict(rows.dtypes)
@@ -429,7 +442,7 @@ def cut_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", u
 
     told = texts.groupBy("unit").applyInPandas(tell, "unit int, bucket int, numbers binary, masks binary")
     shared = told.groupBy("bucket").applyInPandas(compare, ANSWER)
-    sent = texts.groupBy("unit").cogroup(shared.groupBy("unit")).applyInPandas(send, "bucket int, unit int, lengths binary, docs binary, numbers binary, data binary, size long")
+    sent = texts.groupBy("unit").cogroup(shared.groupBy("unit")).applyInPandas(send, "bucket int, unit int, parts binary, lengths binary, docs binary, numbers binary, data binary, size long")
     found = sent.groupBy("bucket").applyInPandas(index, ANSWER)
     done = texts.groupBy("unit").cogroup(shared.union(found).groupBy("unit")).applyInPandas(cut, full)
 

@@ -524,6 +524,26 @@ def test_stage_of_near_duplicates_equals_brute_force(spark, data, awkward):
     assert len({c for _, c in near_by_hand([tuple(r) for r in planted.collect()])}) < planted.count() / 2
 
 
+def test_stage_of_near_duplicates_joins_tries(spark):
+    """Fingerprints within the radius make candidates, whatever the buckets; a class without shingles has none."""
+    rows = [(5, 0b0111, [51]), (9, 0, [91]), (7, 0, [71]), (20, -1, [21]), (30, 0b1111 << 40, [31]), (40, 1, [])]
+    found = shingles.candidates(spark.createDataFrame(rows, "key long, fp long, bands array<long>"))
+    assert sorted(tuple(r) for r in found.collect()) == [(5, 5), (7, 5), (9, 5)]
+    found = shingles.shingles(prose(90, random.Random(4)))
+    assert shingles.fingerprint(found) & (1 << 64) - 1 == sum(1 << k for k in range(64) if 2 * sum(int(h) >> k & 1 for h in found) > len(found))
+    assert shingles.fingerprint(found[:0]) == 0
+
+
+def test_parts_of_a_bucket_keep_every_match(spark, data):
+    """Buckets of several sizes, each indexed in parts, cut alike."""
+    docs = queries.table(spark, data, "documents")
+    several = sorted(map(tuple, suffix.cut_spans(docs, unit_bytes=1 << 16).collect()))
+    assert sum(r[2] for r in several) and suffix.SUBS > 1
+    anchors = np.arange(1 << 12, dtype=np.uint64) << np.uint64(16)
+    assert set(suffix.sub_of(anchors).tolist()) == set(range(suffix.SUBS))
+    assert several == sorted(map(tuple, suffix.cut_spans(docs).collect()))
+
+
 # ---------------------------------------------------------------- 8
 
 
