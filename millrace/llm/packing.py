@@ -34,8 +34,9 @@ SIZE = 2048
 SENTENCE, HARD = 2, 24
 STEP = 64
 CHUNK = 1 << 19
-PIECE = 12 << 20
-CACHE = 300_000
+#: Characters that are encoded at once: what Arrow makes of them takes several times their bytes.
+PIECE = 2 << 20
+CACHE = 200_000
 #: Words that go to the library at once.
 PART = 512
 #: Shorter windows than this are padded like others, so that texts aren't cut into crumbs.
@@ -47,17 +48,55 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 #: Runs of these characters normalise one by one: lower case is all that the tokenizer changes.
 SIMPLE = re.compile(r"[\x00-\x7fÀ-ÿœŒ]+")
 ALL_SIMPLE = r"^[\x00-\x7fÀ-ÿœŒ]*$"
+LETTERS, PRINTABLE = r"^[A-Za-z]+$", r"^[ -~]*$"
 #: The tokenizer's pattern for them.
 TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^a-z0-9ß-öø-ÿœ]+")
 
 
+def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ids of runs that start and have as many in ``ids`` as given, one run after another."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    at = np.repeat(starts - (ends - sizes), sizes)
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at]
+
+
+class Known:
+    """Ids of distinct strings, in arrays: a third of what dictionaries of Python objects take."""
+
+    def __init__(self) -> None:
+        self.keep(pa.array([], pa.large_string()), np.empty(0, np.int32), np.empty(0, np.uint32))
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def keep(self, names: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Know these strings only."""
+        self.names, self.sizes, self.ids = names, sizes, ids
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """The number of each string, -1 for new ones."""
+        if not len(self):
+            return np.full(len(names), -1, np.int32)
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy().copy()
+
+    def add(self, names: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.keep(pa.concat_arrays([self.names, names]), np.concatenate((self.sizes, sizes)), np.concatenate((self.ids, ids)))
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of the strings with these numbers."""
+        sizes = self.sizes[at]
+        return sizes, gathered(self.ids, (np.cumsum(self.sizes, dtype=np.int32) - self.sizes)[at], sizes)
+
+
 class WordTokenizer:
     """Ids of texts by a ``tokenizers`` file whose pre-tokenizer drops white space.
 
     No token spans white space, so each distinct run of other characters is encoded once and kept.  A new
     run is cut into the tokenizer's words, and only words that are new too go to the library, many at a
     time: the last piece of each ends in the end-of-word mark.  Runs with characters that normalise in
-    context go to the library whole, parted by a special token.
+    context go to the library whole, parted by a special token.  Of runs and of words, ``CACHE`` at most are
+    kept beside those at hand.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,10 +108,7 @@ class WordTokenizer:
         self.bare = Tokenizer(self.tokenizer.model)  # for words that are lower-case printable ASCII: only the merges
         self.bare.pre_tokenizer = WhitespaceSplit()
         self.mark = self.tokenizer.token_to_id("<|endoftext|>")
-        self.known: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        self.runs, self.words = Known(), Known()
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 2, bool)
         self.last = np.zeros(max(vocab.values()) + 2, bool)
@@ -85,59 +121,83 @@ class WordTokenizer:
         """The library's ids, without the offsets that nothing here reads."""
         return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def split(self, keys: list, ids: np.ndarray, cuts: np.ndarray, gap: int, into: dict) -> None:
-        """Keep the bytes of the ids between cuts, ``gap`` ids after each left out."""
-        if len(cuts) != len(keys):
-            raise ValueError("the tokenizer gave other words than its pattern")
-        data, start = ids.tobytes(), 0
-        for key, end in zip(keys, (cuts * 4).tolist(), strict=True):
-            into[key] = data[start:end]
-            start = end + 4 * gap
-
-    def learn(self, runs: list[str]) -> None:
-        cut: list[tuple[str, list[str]]] = []
-        whole: list[str] = []
-        alone: list[str] = []
+    def learn_words(self, names: pa.Array) -> np.ndarray:
+        """The number of each of these distinct words among the known ones, which get those that are new."""
+        at = self.words.find(names)
+        new = np.flatnonzero(at < 0)
+        if not len(new):
+            return at
+        if len(self.words) > CACHE:  # those at hand stay
+            old = np.flatnonzero(at >= 0)
+            self.words.keep(names.take(pa.array(old)), *self.words.of(at[old]))
+            at[old] = np.arange(len(old), dtype=np.int32)
+        words = names.take(pa.array(new))
+        plain = pc.match_substring_regex(words, PRINTABLE).to_numpy(zero_copy_only=False)
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        words = words.take(pa.array(order))
+        at[new[order]] = len(self.words) + np.arange(len(new), dtype=np.int32)
+        edge = int(plain.sum())
+        sizes, ids = [], []
+        for tokenizer, some in ((self.bare, words[:edge]), (self.tokenizer, words[edge:])):
+            for a in range(0, len(some), PART):
+                part = some[a : a + PART].to_pylist()
+                found = self.ids(" ".join(part), tokenizer)
+                ends = np.flatnonzero(self.last[found]) + 1
+                if len(ends) != len(part):
+                    raise ValueError("the tokenizer gave other words than its pattern")
+                sizes.append(np.diff(ends, prepend=0).astype(np.int32))
+                ids.append(found[: ends[-1]])
+        self.words.add(words, np.concatenate(sizes), np.concatenate(ids))
+        return at
+
+    def learn(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, sizes, ids) of new runs; sizes and ids are those of the runs in that order."""
+        letters = pc.match_substring_regex(names, LETTERS)
+        single = letters.to_numpy(zero_copy_only=False)  # one word
+        others = np.flatnonzero(~single)
+        runs = names.take(pa.array(others)).to_pylist()
+        cut: list[int] = []
+        counts: list[int] = []
+        words: list[str] = []
+        whole: list[int] = []
+        alone: list[int] = []
         find = TOKEN.findall
-        for r in runs:
-            if r.isalpha() and r.isascii():  # one word
-                alone.append(r)
-            elif "<|" in r:
-                self.known[r] = self.ids(r).tobytes()
+        for i, r in enumerate(runs):
+            if "<|" in r:
+                alone.append(i)
             elif r.isascii() or SIMPLE.fullmatch(r):
-                cut.append((r, find(r.lower())))
-            else:
-                whole.append(r)
-        if len(self.words) > 2 * CACHE:
-            self.words, self.old_words = {}, self.words
-        known, old = self.words, self.old_words
-        plain, other = [], []
-        lower = [r.lower() for r in alone]
-        for w in {w for _, words in cut for w in words}.union(lower).difference(known):
-            if w in old:
-                known[w] = old[w]
-            elif w.isascii() and w.isprintable():
-                plain.append(w)
+                found = find(r.lower())
+                cut.append(i)
+                counts.append(len(found))
+                words += found
             else:
-                other.append(w)
-        for tokenizer, new in ((self.bare, plain), (self.tokenizer, other)):
-            for at in range(0, len(new), PART):
-                part = new[at : at + PART]
-                ids = self.ids(" ".join(part), tokenizer)
-                self.split(part, ids, np.flatnonzero(self.last[ids]) + 1, 0, known)
-        get = self.words.__getitem__
-        self.known.update(zip(alone, map(get, lower), strict=True))
-        for r, words in cut:
-            self.known[r] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
-        for at in range(0, len(whole), 4096):
-            part = whole[at : at + 4096]
-            ids = self.ids(" <|endoftext|> ".join(part))
-            self.split(part, ids, np.append(np.flatnonzero(ids == self.mark), len(ids)), 1, self.known)
+                whole.append(i)
+        flat = pa.concat_arrays([pc.ascii_lower(names.filter(letters)), pa.array(words, pa.large_string())]).dictionary_encode()
+        del words
+        at = self.learn_words(flat.dictionary)[flat.indices.to_numpy()]
+        pieces, found = self.words.of(at)
+        alike = len(names) - len(others)
+        ends = np.concatenate(([0], np.cumsum(pieces, dtype=np.int32)))
+        sizes = [pieces[:alike], np.diff(ends[alike + np.concatenate(([0], np.cumsum(counts, dtype=np.int32)))])]
+        ids = [found]
+        for i in alone:
+            ids.append(self.ids(runs[i]))
+            sizes.append(np.array([len(ids[-1])], np.int32))
+        for a in range(0, len(whole), 4096):
+            part = whole[a : a + 4096]
+            found = self.ids(" <|endoftext|> ".join([runs[i] for i in part]))
+            ends = np.append(np.flatnonzero(found == self.mark), len(found))
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer gave other words than its pattern")
+            ids.append(found[found != self.mark])
+            sizes.append((np.diff(ends, prepend=-1) - 1).astype(np.int32))
+        order = np.concatenate((np.flatnonzero(single), others[np.array(cut + alone + whole, np.int64)]))
+        return order, np.concatenate(sizes).astype(np.int32), np.concatenate(ids)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Each text's ids as unsigned 32-bit integers; a null text has none.
 
-        Arrow splits the texts and numbers the distinct runs; ids are gathered for all runs at once.
+        Arrow splits the texts, numbers the distinct runs and finds the known ones; ids are gathered for all runs at once.
         """
         for a, b in chunks([t if isinstance(t, str) else "" for t in texts], PIECE):
             try:
@@ -148,28 +208,21 @@ class WordTokenizer:
             simple = pc.and_not(pc.match_substring_regex(array, ALL_SIMPLE), pc.match_substring(array, "<|"))
             runs = pc.ascii_split_whitespace(pc.if_else(simple, pc.utf8_lower(array), array))
             flat = runs.flatten().dictionary_encode()
-            names, index = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), flat.indices.to_numpy()
-            if len(self.known) > CACHE:  # the last generation stays at hand
-                self.known, self.old = {"": b""}, self.known
-            known, old = self.known, self.old
-            parts = list(map(known.get, names)) if len(known) > 1 else [None] * len(names)
-            missing = [i for i, p in enumerate(parts) if p is None]
-            absent = [names[i] for i in missing]
-            kept = list(map(old.get, absent)) if old else [None] * len(absent)
-            self.learn([r for r, p in zip(absent, kept, strict=True) if p is None])
-            get = known.__getitem__
-            kept = [get(r) if p is None else p for r, p in zip(absent, kept, strict=True)]
-            known.update(zip(absent, kept, strict=True))
-            for i, p in zip(missing, kept, strict=True):
-                parts[i] = p
-            sizes = np.fromiter(map(len, parts), np.int32, len(parts)) >> 2
-            ids = np.frombuffer(b"".join(parts), np.uint32)
-            counts = sizes[index]
-            ends = np.cumsum(counts, dtype=np.int32)
-            at = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[index] - (ends - counts), counts)
-            at += np.arange(len(at), dtype=np.int32)
-            out = ids[at]
-            cuts = np.concatenate(([0], ends))[runs.offsets.to_numpy()].tolist()
+            names, index, cuts = flat.dictionary, flat.indices.to_numpy(), runs.offsets.to_numpy()
+            del array, simple, runs
+            at = self.runs.find(names)
+            new = np.flatnonzero(at < 0)
+            if len(new):
+                order, sizes, ids = self.learn(names.take(pa.array(new)))
+                new = new[order]
+                at[new] = len(self.runs) + np.arange(len(new), dtype=np.int32)
+                self.runs.add(names.take(pa.array(new)), sizes, ids)
+            counts, out = self.runs.of(at[index])
+            ends = np.concatenate(([0], np.cumsum(counts, dtype=np.int32)))
+            if len(self.runs) > CACHE:  # those at hand stay
+                self.runs.keep(names, *self.runs.of(at))
+            cuts = ends[cuts].tolist()
+            del flat, names, index, at, new, counts, ends
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 yield out[i:j]
 
@@ -324,4 +377,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             del words
             trim()
 
-    return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), run, SCHEMA, rows=3000)
+    return map_slices(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), run, SCHEMA, rows=1000)

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -321,6 +322,38 @@ def test_words_are_encoded_as_the_library_does():
     assert [x.tolist() for x in w.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_words_that_the_tokenizer_forgets_come_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "PIECE", 400)
+    monkeypatch.setattr(packing, "CACHE", 30)
+    monkeypatch.setattr(packing, "PART", 7)
+    rng = random.Random(9)
+    t, w = Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json")), packing.WordTokenizer(queries.tokenizer("word_bpe_49k.json"))
+    words = ["".join(rng.choice("abcDEé.,'1Σ日") for _ in range(rng.randint(1, 9))) for _ in range(200)] + ["<|endoftext|>", "x<|y", "plain", "Plain", "\x01"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 25))) for _ in range(300)]
+    assert [x.tolist() for x in w.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(w.runs) < 200 and len(w.words) < 300
+
+
+def test_known_words_take_few_bytes():
+    import tracemalloc
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(8)) + rng.choice(["", ",", "."]) for _ in range(60_000)]
+    w = packing.WordTokenizer(queries.tokenizer("word_bpe_49k.json"))
+    texts = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        for _ in w.encode(texts):
+            pass
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert held < 150 * len(set(words))  # runs and words: 96, and 274 as dictionaries of Python objects
+
+
 # ---------------------------------------------------------------- 6
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><header><h2>Site</h2></header>
