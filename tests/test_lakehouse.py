@@ -504,6 +504,7 @@ def tables_with_names(folder):
 #: Queries about pairs whose rows are fewer than these, with the frame that they count from.
 COUNTED = {
     "q_gamma_patterns": lambda spark, folder: QU.class_gammas(spark, folder),
+    "q_overall_quantiles": lambda spark, folder: QU.scored(QU.class_gammas(spark, folder), "copies_l"),
 }
 
 
