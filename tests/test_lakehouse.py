@@ -505,6 +505,7 @@ def tables_with_names(folder):
 COUNTED = {
     "q_gamma_patterns": lambda spark, folder: QU.class_gammas(spark, folder),
     "q_overall_quantiles": lambda spark, folder: QU.scored(QU.class_gammas(spark, folder), "copies_l"),
+    "q_em_weights": lambda spark, folder: QU.class_gammas(spark, folder),
 }
 
 
