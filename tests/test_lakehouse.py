@@ -508,6 +508,7 @@ COUNTED = {
     "q_em_weights": lambda spark, folder: QU.class_gammas(spark, folder),
     "q_by_crowding": lambda spark, folder: QU.scored_classes(spark, folder, "r")[1],
     "q_watched_areas": lambda spark, folder: QU.scored_classes(spark, folder, "r")[1],
+    "q_outcomes": lambda spark, folder: QU.scored_classes(spark, folder, "l")[1],
 }
 
 
