@@ -521,7 +521,7 @@ def test_pairs_are_counted_not_made(spark, tmp_path, name):
     assert COUNTED[name](spark, str(tmp_path)).count() < QU.gammas(*QU.records(spark, str(tmp_path))).count() / 3
 
 
-@pytest.mark.parametrize("name", ["q_gamma"])
+@pytest.mark.parametrize("name", ["q_gamma", "q_score_fixed"])
 def test_far_names_make_no_classes(spark, tmp_path, name):
     """All pairs of records of names of their own, from classes that only near names tell apart."""
     tables_with_names(tmp_path)
